@@ -171,10 +171,12 @@ def scores(metric: str, queries: np.ndarray, rows: np.ndarray, decimals: int) ->
             value = np.where(lengths > 0, products / lengths, np.nan)
         value = value if metric == "cosine" else 1 - value
     else:
+        # Differences rather than the expanded square, which cancels for near points.
         value = np.empty_like(products)
-        for i, query in enumerate(queries):
-            difference = rows - query
-            value[i] = np.einsum("ij,ij->i", difference, difference)
+        step = max(1, 2_000_000 // max(1, rows.size))
+        for i in range(0, len(queries), step):
+            difference = queries[i : i + step, None, :] - rows[None, :, :]
+            value[i : i + step] = np.einsum("ijk,ijk->ij", difference, difference)
         value = value if metric == "l2_sq" else np.sqrt(value)
     return np.round(value, decimals) + 0.0
 

@@ -122,11 +122,12 @@ def train_bpe(pieces: DataFrame, merges: int) -> tuple[list[str], DataFrame]:
     and takes the most frequent one, the smallest pair on ties.  Returns the
     merged symbols in order and the tokens with their final symbols.
     """
-    state = pieces.select("token", "n", F.split("token", "(?!^)(?!$)").alias("s"))
+    base = pieces.select("token", "n", F.split("token", "(?!^)(?!$)").alias("s"))
     learned: list[str] = []
-    for step in range(merges):
-        if step % MERGES_PER_CHECKPOINT == 0:
-            state = checkpoint(state)
+    pending: list[tuple[str, str]] = []
+    base = checkpoint(base)
+    for _ in range(merges):
+        state = _with_merges(base, pending)
         pairs = F.transform(
             F.slice(F.col("s"), F.lit(2), F.greatest(F.size("s") - 1, F.lit(0))),
             lambda right, i: F.struct(F.get("s", i).alias("a"), right.alias("b")),
@@ -142,20 +143,33 @@ def train_bpe(pieces: DataFrame, merges: int) -> tuple[list[str], DataFrame]:
             break
         left, right = best["pair"]["a"], best["pair"]["b"]
         learned.append(left + right)
-        touched = F.array_contains("s", left) & F.array_contains("s", right)
-        merged = _merge(F.col("s"), left, right)
-        state = state.withColumn("s", F.when(touched, merged).otherwise(F.col("s")))
-    return learned, state
+        pending.append((left, right))
+        if len(pending) == MERGES_PER_CHECKPOINT:
+            base, pending = checkpoint(_with_merges(base, pending)), []
+    return learned, _with_merges(base, pending)
 
 
-def _merge(symbols: Column, left: str, right: str) -> Column:
+def _with_merges(df: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """Apply merges in order; a fold keeps the expression as short as the list."""
+    if not merges:
+        return df
+    listed = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in merges])
+
+    def step(symbols: Column, pair: Column) -> Column:
+        touched = F.array_contains(symbols, pair["a"]) & F.array_contains(symbols, pair["b"])
+        return F.when(touched, _merge(symbols, pair["a"], pair["b"])).otherwise(symbols)
+
+    return df.withColumn("s", F.aggregate(listed, F.col("s"), step))
+
+
+def _merge(symbols: Column, left: Column, right: Column) -> Column:
     start = F.array().cast("array<string>")
 
     def add(acc: Column, symbol: Column) -> Column:
-        joins = F.coalesce(F.get(acc, F.size(acc) - 1) == left, F.lit(False)) & (symbol == right)
+        last = F.get(acc, F.size(acc) - 1)
+        joins = F.coalesce(last == left, F.lit(False)) & (symbol == right)
         kept = F.when(joins, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(acc)
-        last = F.when(joins, F.lit(left + right)).otherwise(symbol)
-        return F.concat(kept, F.array(last))
+        return F.concat(kept, F.array(F.when(joins, F.concat(left, right)).otherwise(symbol)))
 
     return F.aggregate(symbols, start, add)
 

@@ -38,7 +38,7 @@ def _(t: Tables) -> DataFrame:
 @query("chunk_words", r"""
 select doc_id, i as chunk_no, array_to_string(w[i * 512 + 1 : i * 512 + 512], ' ') as chunk
 from (select doc_id, w, unnest(generate_series(0, (len(w) - 1) // 512)) as i
-      from (select doc_id, list_filter(string_split_regex(text, '\s+'), x -> x <> '') as w from documents) where len(w) > 0)""")
+      from (select doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') as w from documents) where len(w) > 0)""")
 def _(t: Tables) -> DataFrame:
     return T.word_chunks(docs(t), "text")
 
@@ -75,7 +75,7 @@ COMMA5 = """(select frame_number, ip_src || ', ' || ip_dst || ', ' || coalesce(c
 select frame_number, i - 1 as i, toks[i] as token
 from (select frame_number, toks, unnest(generate_series(1, len(toks))) as i from (
   select frame_number, list_filter(string_split_regex(regexp_replace(lower(x),
-      '(\d+)\.(\d+)\.(\d+)\.(\d+)', '\1 . \2 . \3 . \4', 'g'), '[, ]+'), q -> q <> '') as toks from {COMMA5}))""")
+      '(\d+)\.(\d+)\.(\d+)\.(\d+)', '\1 . \2 . \3 . \4', 'g'), '[, ]+'), lambda q: q <> '') as toks from {COMMA5}))""")
 def _(t: Tables) -> DataFrame:
     tokens = T.pretokenize(F.col("packet_text"))
     return flow_texts(t).select("frame_number", F.posexplode(tokens).alias("i", "token"))
@@ -90,7 +90,7 @@ def _(t: Tables) -> DataFrame:
     return used.withColumn("merge_rank", F.array_position(ranked, F.col("symbol")))
 
 
-WORDS = r"list_filter(string_split_regex(text, '\s+'), x -> x <> '')"
+WORDS = r"list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')"
 
 
 @query("tok_pad_truncate", rf"""
