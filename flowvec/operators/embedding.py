@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import PCA, HashingTF, Word2Vec, Word2VecModel
+from pyspark.ml.feature import PCA, HashingTF, Normalizer, Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -50,9 +50,8 @@ def embed(df: DataFrame, text_col: str, load: Callable[[], Encoder], name: str =
 def hashed(df: DataFrame, tokens_col: str, dim: int = HASH_DIM, name: str = "embedding"):
     """Unit vector of hashed token counts; the JVM does the hashing.  No tokens, zeros."""
     counts = HashingTF(numFeatures=dim, inputCol=tokens_col, outputCol="_tf").transform(df)
-    dense = vector_to_array("_tf", "float64")
-    unit = F.coalesce(V.normalize(dense), dense)
-    return counts.withColumn(name, unit.cast("array<float>")).drop("_tf")
+    unit = Normalizer(p=2.0, inputCol="_tf", outputCol="_unit").transform(counts)
+    return unit.withColumn(name, vector_to_array("_unit", "float32")).drop("_tf", "_unit")
 
 
 def hashed_text(df: DataFrame, text_col: str, dim: int = HASH_DIM, name: str = "embedding"):

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowvec.functions import vectors as V
-from flowvec.operators.pairwise import compare_blocks, keep_best, scores, to_matrix
+from flowvec.operators.pairwise import compare_blocks, keep_best, near_pairs, scores, to_matrix
 
 HIT_SCHEMA = "query_id long, id long, score double"
 
@@ -63,9 +63,13 @@ def as_rows(df: DataFrame, id_col: str, vec_col: str, *extra: str) -> DataFrame:
 
 def _top_kernel(k: int, metric: str, ascending: bool):
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
-        value = scores(metric, to_matrix(left["q"]), to_matrix(right["v"]), V.TIE_DECIMALS)
-        query_ids = left["query_id"].to_numpy()
-        ids = right["id"].to_numpy()
+        queries, rows = to_matrix(left["q"]), to_matrix(right["v"])
+        query_ids, ids = left["query_id"].to_numpy(), right["id"].to_numpy()
+        if metric in ("l2", "l2_sq") and ascending:
+            q, r, value = near_pairs(queries, rows, k)
+            value = np.round(np.sqrt(value) if metric == "l2" else value, V.TIE_DECIMALS)
+            return _hits(query_ids[q], ids[r], value, k, ascending)
+        value = scores(metric, queries, rows, V.TIE_DECIMALS)
         order_by = np.where(np.isnan(value), np.inf, value if ascending else -value)
         if k < value.shape[1]:
             # Everything up to the k-th best score, ties included.

@@ -143,8 +143,12 @@ def _grid(
         theirs = F.explode(F.sequence(F.lit(0), F.col(other_n) - 1))
         return df.withColumn(own, mine).withColumn(other, theirs).drop("_lb", "_rb")
 
-    left = placed(left, left_id, "_l", "_r", "_lb", "_rb")
-    right = placed(right, right_id, "_r", "_l", "_rb", "_lb")
+    # Fresh names keep the sides apart where both come from one table.
+    def renewed(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+    left = renewed(placed(left, left_id, "_l", "_r", "_lb", "_rb"))
+    right = renewed(placed(right, right_id, "_r", "_l", "_rb", "_lb"))
     cells = [*keys, "_l", "_r"]
     empty = arrow_schema(spark_schema(left.sparkSession, schema)).empty_table()
 
@@ -181,6 +185,29 @@ def scores(metric: str, queries: np.ndarray, rows: np.ndarray, decimals: int) ->
     return np.round(value, decimals) + 0.0
 
 
+def near_pairs(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query and row numbers of a superset of the ``k`` nearest, with exact squared distances.
+
+    The matrix product picks the pairs.  Pairs within its rounding error, or
+    within a score that rounds alike, of the k-th best are kept as well.
+    """
+    sizes = (queries**2).sum(axis=1)[:, None] + (rows**2).sum(axis=1)[None, :]
+    rough = sizes - 2 * (queries @ rows.T)
+    if k < len(rows):
+        slack = 1e-13 * (queries.shape[1] + 8) * sizes.max(axis=1)
+        limit = np.partition(rough, k - 1, axis=1)[:, k - 1]
+        alike = 2e-9 * (1 + np.sqrt(np.maximum(limit, 0)))
+        q, r = np.nonzero(rough <= (limit + 2 * slack + alike)[:, None])
+    else:
+        q, r = np.nonzero(np.ones_like(rough, dtype=bool))
+    exact = np.empty(len(q))
+    step = max(1, 4_000_000 // max(1, queries.shape[1]))
+    for i in range(0, len(q), step):
+        difference = queries[q[i : i + step]] - rows[r[i : i + step]]
+        exact[i : i + step] = np.einsum("ij,ij->i", difference, difference)
+    return q, r, exact
+
+
 def keep_best(
     group: np.ndarray, ids: np.ndarray, values: np.ndarray, k: int, ascending: bool
 ) -> np.ndarray:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from flowvec.functions import templates as TP
 from flowvec.functions import vectors as V
 from flowvec.operators import analytics as A
-from flowvec.operators import ann
 from flowvec.operators import embedding as M
 from flowvec.operators import evaluation as E
 from flowvec.operators import knn as K
@@ -311,29 +310,30 @@ def _(t: Tables) -> DataFrame:
 
 @query("eval_encoder_compare")
 def _(t: Tables) -> DataFrame:
-    """The same labelled flows under three encoders: purity, silhouette, similarity."""
+    """The same labelled flows under three encoders: purity and silhouette."""
     families = G.family_flows(t.events, "event_id")
     codes = A.encode_labels(families, "family", "label").withColumnRenamed("event_id", "id")
     model = M.train_word2vec(codes, "tokens", size=10, window=2, epochs=5)
     mean = M.mean_of_tokens(codes, "id", "tokens", M.token_vectors(model), 10)
     encoders = {
-        "word2vec": (codes.select("id", "label").join(mean, "id"), 10),
-        "hashed_32": (M.hashed(codes, "tokens", 32), 32),
-        "hashed_256": (M.hashed(codes, "tokens", 256), 256),
+        "word2vec": codes.select("id", "label").join(mean, "id"),
+        "hashed_32": M.hashed(codes, "tokens", 32),
+        "hashed_256": M.hashed(codes, "tokens", 256),
     }
-    lines = []
-    for encoder, (embedded, dim) in encoders.items():
-        rows = embedded.select("id", "label", "embedding").persist()
-        clusters = E.kmeans(rows, "id", "embedding", 4, restarts=2)
+    stacked = None
+    for encoder, embedded in encoders.items():
+        rows = embedded.select("id", "label", "embedding")
+        clusters = E.kmeans(rows, "id", "embedding", 4, restarts=3)
         labelled = rows.join(clusters, "id")
-        width = E.silhouettes(labelled, "id", "embedding", "cluster", dim)
-        lines.append(
-            (
-                encoder,
-                float(E.purity(labelled, "label", "cluster")),
-                float(width.agg(F.avg("silhouette")).first()[0]),
-                int(ann.list_count(rows.count())),
-            )
+        line = t.spark.createDataFrame(
+            [
+                (
+                    encoder,
+                    float(E.purity(labelled, "label", "cluster")),
+                    E.silhouette_sq(labelled, "embedding", "cluster"),
+                )
+            ],
+            "encoder string, purity double, silhouette_sq double",
         )
-        rows.unpersist()
-    return t.spark.createDataFrame(lines, "encoder string, purity double, silhouette double, lists int")
+        stacked = line if stacked is None else stacked.unionByName(line)
+    return stacked
