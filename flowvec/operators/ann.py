@@ -15,14 +15,14 @@ import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from flowvec.functions import vectors as V
 from flowvec.operators import knn as K
-from flowvec.operators.pairwise import compare_blocks, to_matrix
-from flowvec.session import run_together
+from flowvec.operators.pairwise import best_pairs, compare_blocks, shared_groups, to_matrix
+from flowvec.session import fits, run_together
 
 # List count and probe count limits of the inverted-list index.
 MAX_LISTS, MAX_PROBES = 100, 10
@@ -94,22 +94,37 @@ class InvertedLists:
 
     rows: DataFrame
     centroids: np.ndarray
+    stored: bool = False
 
     @property
     def lists(self) -> int:
         return len(self.centroids)
 
     def write(self, path: str) -> None:
-        """One folder per list, so a probe reads only the lists it names."""
-        self.rows.write.mode("overwrite").partitionBy("list_id").parquet(path)
+        """One folder per list, so a search reads only the lists it probes."""
+        spark = self.rows.sparkSession
+        self.rows.write.mode("overwrite").partitionBy("list_id").parquet(f"{path}/rows")
+        centers = [(i, [float(x) for x in c]) for i, c in enumerate(self.centroids)]
+        table = spark.createDataFrame(centers, "list_id int, centroid array<double>")
+        table.write.mode("overwrite").parquet(f"{path}/centroids")
 
     def search(self, queries: DataFrame, k: int, metric: str = "l2", nprobe: int | None = None):
         """Top-``k`` inside the ``nprobe`` nearest lists of each query."""
         nprobe = probe_count(self.lists) if nprobe is None else min(nprobe, self.lists)
         probes = assign_lists(queries, self.centroids, "q", nearest=nprobe)
-        return K.knn_join(
-            probes, self.rows, k, metric, dim=self.centroids.shape[1], on=("list_id",)
-        )
+        rows = self.rows
+        if self.stored and nprobe < self.lists:
+            # At most one number per list; as literals they prune the folders.
+            probed = [r[0] for r in probes.select("list_id").distinct().collect()]
+            rows = rows.where(F.col("list_id").isin(probed))
+        return K.knn_join(probes, rows, k, metric, dim=self.centroids.shape[1], on=("list_id",))
+
+
+def read_ivf(spark: SparkSession, path: str) -> InvertedLists:
+    """An index written by :meth:`InvertedLists.write`."""
+    centers = spark.read.parquet(f"{path}/centroids").orderBy("list_id").collect()
+    rows = spark.read.parquet(f"{path}/rows")
+    return InvertedLists(rows, np.array([c["centroid"] for c in centers]), stored=True)
 
 
 def build_ivf(
@@ -154,7 +169,7 @@ class ProductCodes:
             q = np.repeat(np.arange(len(vectors)), len(codes))
             r = np.tile(np.arange(len(codes)), len(vectors))
             query_ids, ids = left["query_id"].to_numpy(), right["id"].to_numpy()
-            return K._hits(query_ids[q], ids[r], value[q, r], k, True)
+            return K.best_hits(query_ids[q], ids[r], value[q, r], k, True)
 
         hits = compare_blocks(
             probes,
@@ -214,24 +229,65 @@ def build_ivfpq(
 
 @dataclass
 class HashBuckets:
-    """Rows with one bucket number per hash table of random projections."""
+    """Rows with their bucket number in every hash table of random projections."""
 
     rows: DataFrame
     model: object
 
-    def search(self, queries: DataFrame, k: int, metric: str = "cosine_distance") -> DataFrame:
-        """Top-``k`` among the rows that share a bucket with the query in any table."""
-        return K.knn_join(
-            _bucketed(self.model, queries, "q"), self.rows, k, metric, on=("slot", "bucket")
+    def search(
+        self, queries: DataFrame, k: int, metric: str = "cosine_distance", max_queries: int = 50_000
+    ) -> DataFrame:
+        """Top-``k`` among the rows that share a bucket with the query in any table.
+
+        A bounded set of queries visits the rows where they are.  A larger one
+        meets them by table and bucket, hot buckets being cut into blocks.
+        """
+        asked = _bucketed(self.model, queries, "q")
+        if not fits(queries, max_queries):
+            placed = F.posexplode("buckets").alias("slot", "bucket")
+            return K.knn_join(
+                asked.select("query_id", "q", placed),
+                self.rows.select("id", "v", placed),
+                k, metric, on=("slot", "bucket"),
+            )
+        ascending = V.METRICS[metric]
+
+        def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+            vectors, rows = to_matrix(left["q"]), to_matrix(right["v"])
+            mine, theirs = _integers(left["buckets"]), _integers(right["buckets"])
+            query_ids, ids = left["query_id"].to_numpy(), right["id"].to_numpy()
+            found = []
+            for slot in range(mine.shape[1]):
+                for a, b in shared_groups(mine[:, slot : slot + 1], theirs[:, slot : slot + 1]):
+                    q, r, value = best_pairs(
+                        metric, vectors[a], rows[b], k, ascending, V.TIE_DECIMALS
+                    )
+                    found.append((a[q], b[r], value))
+            if not found:
+                nothing = np.zeros(0, dtype=np.int64)
+                return K.best_hits(nothing, nothing, np.zeros(0), k, ascending)
+            q, r, value = (np.concatenate(parts) for parts in zip(*found))
+            # The tables may bring the same row more than once.
+            _, once = np.unique(np.column_stack([q, r]), axis=0, return_index=True)
+            return K.best_hits(query_ids[q[once]], ids[r[once]], value[once], k, ascending)
+
+        hits = compare_blocks(
+            asked, self.rows, kernel, K.HIT_SCHEMA, dim=1, broadcast_cells=max_queries
         )
+        return K.rank_hits(hits, k, metric)
+
+
+def _integers(column) -> np.ndarray:
+    flat = column.combine_chunks()
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
 def _bucketed(model, df: DataFrame, vec_col: str) -> DataFrame:
-    """One row per hash table: its number and the bucket of the unit vector."""
+    """Add the bucket of the unit vector in every hash table."""
     unit = df.withColumn("features", array_to_vector(V.normalize(F.col(vec_col))))
     hashed = model.transform(unit.where(F.col("features").isNotNull()))
     first = F.transform("hashes", lambda h: vector_to_array(h)[0].cast("long"))
-    return hashed.select(*df.columns, F.posexplode(first).alias("slot", "bucket"))
+    return hashed.select(*df.columns, first.alias("buckets"))
 
 
 def build_lsh(

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowvec.functions import vectors as V
-from flowvec.operators.pairwise import compare_blocks, keep_best, near_pairs, scores, to_matrix
+from flowvec.operators.pairwise import best_pairs, compare_blocks, keep_best, to_matrix
 
 HIT_SCHEMA = "query_id long, id long, score double"
 
@@ -36,9 +35,10 @@ def knn(
     value = V.score(metric, F.col(vec_col), V.literal(query))
     best = (
         rows.select(F.col(id_col).alias("id"), value.alias("score"))
-        .where(F.col("score").isNotNull())
         .orderBy(V.best_first(metric, F.col("score"), farthest), "id")
         .limit(k)
+        # Undefined scores sort last; testing them here computes each score once.
+        .where(F.col("score").isNotNull())
     )
     # At most k rows reach this window.
     order = Window.orderBy(V.best_first(metric, F.col("score"), farthest), "id")
@@ -63,27 +63,16 @@ def as_rows(df: DataFrame, id_col: str, vec_col: str, *extra: str) -> DataFrame:
 
 def _top_kernel(k: int, metric: str, ascending: bool):
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
-        queries, rows = to_matrix(left["q"]), to_matrix(right["v"])
+        q, r, value = best_pairs(
+            metric, to_matrix(left["q"]), to_matrix(right["v"]), k, ascending, V.TIE_DECIMALS
+        )
         query_ids, ids = left["query_id"].to_numpy(), right["id"].to_numpy()
-        if metric in ("l2", "l2_sq") and ascending:
-            q, r, value = near_pairs(queries, rows, k)
-            value = np.round(np.sqrt(value) if metric == "l2" else value, V.TIE_DECIMALS)
-            return _hits(query_ids[q], ids[r], value, k, ascending)
-        value = scores(metric, queries, rows, V.TIE_DECIMALS)
-        order_by = np.where(np.isnan(value), np.inf, value if ascending else -value)
-        if k < value.shape[1]:
-            # Everything up to the k-th best score, ties included.
-            limit = np.partition(order_by, k - 1, axis=1)[:, k - 1]
-            keep = order_by <= limit[:, None]
-        else:
-            keep = np.ones_like(value, dtype=bool)
-        q, r = np.nonzero(keep & ~np.isnan(value))
-        return _hits(query_ids[q], ids[r], value[q, r], k, ascending)
+        return best_hits(query_ids[q], ids[r], value, k, ascending)
 
     return kernel
 
 
-def _hits(query_ids, ids, values, k: int, ascending: bool) -> pa.Table:
+def best_hits(query_ids, ids, values, k: int, ascending: bool) -> pa.Table:
     if len(ids):
         best = keep_best(query_ids, ids, values, k, ascending)
         query_ids, ids, values = query_ids[best], ids[best], values[best]
@@ -123,7 +112,7 @@ def knn_join(
     ascending = V.METRICS[metric] != farthest
 
     def shrink(hits: pa.Table) -> pa.Table:
-        return _hits(
+        return best_hits(
             hits["query_id"].to_numpy(), hits["id"].to_numpy(), hits["score"].to_numpy(), k, ascending
         )
 

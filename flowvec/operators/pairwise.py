@@ -36,25 +36,35 @@ def arrow_schema(df_schema) -> pa.Schema:
     return to_arrow_schema(df_schema)
 
 
-def _meet(
-    left: pa.Table, right: pa.Table, on: list[str], kernel: Kernel
-) -> Iterator[pa.Table]:
+def shared_groups(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of both sides for every key (a row of integers) that both have."""
+    both = np.concatenate([left, right])
+    _, codes = np.unique(both, axis=0, return_inverse=True)
+    codes = codes.ravel()
+
+    def grouped(part: np.ndarray) -> dict[int, np.ndarray]:
+        order = np.argsort(part, kind="stable")
+        values, starts = np.unique(part[order], return_index=True)
+        return dict(zip(values.tolist(), np.split(order, starts[1:])))
+
+    lefts, rights = grouped(codes[: len(left)]), grouped(codes[len(left) :])
+    for code in lefts.keys() & rights.keys():
+        yield lefts[code], rights[code]
+
+
+def _keys(table: pa.Table, on: list[str]) -> np.ndarray:
+    return np.column_stack([table[name].to_numpy() for name in on])
+
+
+def _meet(left: pa.Table, right: pa.Table, on: list[str], kernel: Kernel) -> Iterator[pa.Table]:
     """Run the kernel on the rows that agree on the ``on`` columns."""
     if not on:
         yield kernel(left, right)
         return
-    for values in right.select(on).group_by(on).aggregate([]).to_pylist():
-        mask_left = _equal(left, values)
-        if not mask_left.any():
-            continue
-        yield kernel(left.filter(pa.array(mask_left)), right.filter(pa.array(_equal(right, values))))
-
-
-def _equal(table: pa.Table, values: dict) -> np.ndarray:
-    mask = np.ones(table.num_rows, dtype=bool)
-    for name, value in values.items():
-        mask &= table.column(name).to_numpy() == value
-    return mask
+    if left.num_rows == 0:
+        return
+    for mine, theirs in shared_groups(_keys(left, on), _keys(right, on)):
+        yield kernel(left.take(pa.array(mine)), right.take(pa.array(theirs)))
 
 
 def compare_blocks(
@@ -164,48 +174,65 @@ def spark_schema(spark, ddl: str):
     return StructType.fromDDL(ddl)
 
 
-def scores(metric: str, queries: np.ndarray, rows: np.ndarray, decimals: int) -> np.ndarray:
-    """Score matrix, queries down and rows across; nan where undefined."""
-    products = queries @ rows.T
-    if metric in ("ip", "ip_distance"):
-        value = products if metric == "ip" else 1 - products
-    elif metric in ("cosine", "cosine_distance"):
-        lengths = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(rows, axis=1)[None, :]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            value = np.where(lengths > 0, products / lengths, np.nan)
-        value = value if metric == "cosine" else 1 - value
-    else:
-        # Differences rather than the expanded square, which cancels for near points.
-        value = np.empty_like(products)
-        step = max(1, 2_000_000 // max(1, rows.size))
-        for i in range(0, len(queries), step):
-            difference = queries[i : i + step, None, :] - rows[None, :, :]
-            value[i : i + step] = np.einsum("ijk,ijk->ij", difference, difference)
-        value = value if metric == "l2_sq" else np.sqrt(value)
-    return np.round(value, decimals) + 0.0
+def distances(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Euclidean distances, queries down and rows across."""
+    value = np.empty((len(queries), len(rows)))
+    # Differences rather than the expanded square, which cancels for near points.
+    step = max(1, 2_000_000 // max(1, rows.size))
+    for i in range(0, len(queries), step):
+        difference = queries[i : i + step, None, :] - rows[None, :, :]
+        value[i : i + step] = np.sqrt(np.einsum("ijk,ijk->ij", difference, difference))
+    return value
 
 
-def near_pairs(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query and row numbers of a superset of the ``k`` nearest, with exact squared distances.
+def best_pairs(
+    metric: str, queries: np.ndarray, rows: np.ndarray, k: int, ascending: bool, decimals: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query numbers, row numbers and rounded scores of a superset of the ``k`` best.
 
-    The matrix product picks the pairs.  Pairs within its rounding error, or
-    within a score that rounds alike, of the k-th best are kept as well.
+    One matrix product ranks all pairs.  Pairs whose score may round like the
+    k-th best one stay in, so that ids can decide between them later.
     """
-    sizes = (queries**2).sum(axis=1)[:, None] + (rows**2).sum(axis=1)[None, :]
-    rough = sizes - 2 * (queries @ rows.T)
+    squared = metric in ("l2", "l2_sq")
+    query_norms, row_norms = np.linalg.norm(queries, axis=1), np.linalg.norm(rows, axis=1)
+    if squared:
+        rough = (query_norms**2)[:, None] + (row_norms**2)[None, :] - 2 * (queries @ rows.T)
+    elif metric.startswith("cosine"):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rough = (queries / query_norms[:, None]) @ (rows / row_norms[:, None]).T
+        rough[np.isnan(rough)] = np.inf if metric == "cosine_distance" else -np.inf
+        undefined = np.isinf(rough)
+    else:
+        rough = queries @ rows.T
+    if metric.endswith("distance"):
+        rough = 1 - rough
+        if metric.startswith("cosine"):
+            rough[undefined] = np.inf
+    # From here on the smallest value is the best one.
+    order_by = rough if ascending else -rough
+    if metric.startswith("cosine"):
+        order_by[undefined] = np.inf
     if k < len(rows):
-        slack = 1e-13 * (queries.shape[1] + 8) * sizes.max(axis=1)
-        limit = np.partition(rough, k - 1, axis=1)[:, k - 1]
-        alike = 2e-9 * (1 + np.sqrt(np.maximum(limit, 0)))
-        q, r = np.nonzero(rough <= (limit + 2 * slack + alike)[:, None])
+        limit = np.partition(order_by, k - 1, axis=1)[:, k - 1]
+        near = 2e-9
+        if squared:
+            largest = query_norms**2 + row_norms.max() ** 2
+            near = 2e-9 * (1 + np.sqrt(np.abs(limit))) + 1e-13 * (queries.shape[1] + 8) * largest
+        keep = order_by <= (limit + near)[:, None]
     else:
-        q, r = np.nonzero(np.ones_like(rough, dtype=bool))
+        keep = np.ones(order_by.shape, dtype=bool)
+    if metric.startswith("cosine"):
+        keep &= ~undefined
+    q, r = np.nonzero(keep)
+    if not squared:
+        return q, r, np.round(rough[q, r], decimals) + 0.0
+    # The expanded square cancels for near points; the kept pairs get the plain one.
     exact = np.empty(len(q))
     step = max(1, 4_000_000 // max(1, queries.shape[1]))
     for i in range(0, len(q), step):
         difference = queries[q[i : i + step]] - rows[r[i : i + step]]
         exact[i : i + step] = np.einsum("ij,ij->i", difference, difference)
-    return q, r, exact
+    return q, r, np.round(np.sqrt(exact) if metric == "l2" else exact, decimals)
 
 
 def keep_best(

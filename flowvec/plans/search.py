@@ -288,8 +288,12 @@ def _(t: Tables) -> DataFrame:
 
 
 def term_weights(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Sparse weights of a text: the model output of a word is its length less four."""
-    tokens = df.select(F.col(key).alias("id"), F.explode(F.split(F.lower(text), r"\s+")).alias("term"))
+    """Sparse weights of a text: the model output of a word is its length less four.
+
+    Equal words have equal outputs here, so each is looked at once per text.
+    """
+    words = F.array_distinct(F.split(F.lower(text), r"\s+"))
+    tokens = df.select(F.col(key).alias("id"), F.explode(words).alias("term"))
     outputs = tokens.select(
         "id",
         "term",

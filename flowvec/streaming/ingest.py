@@ -33,16 +33,6 @@ def ingest(stream: DataFrame, target: str, state: str) -> StreamingQuery:
     )
 
 
-def _committed(spark: SparkSession, target: str, before: int) -> DataFrame | None:
-    """Rows of the earlier batches, or None where there are none yet."""
-    if before == 0:
-        return None
-    reader = spark.read.option("ignoreMissingFiles", True)
-    return reader.option("basePath", target).parquet(
-        *[f"{target}/batch={b}" for b in range(before)]
-    )
-
-
 def ingest_bounded(stream: DataFrame, target: str, state: str, packets: int) -> StreamingQuery:
     """As :func:`ingest`, but stop storing after ``packets`` records.
 
@@ -51,8 +41,11 @@ def ingest_bounded(stream: DataFrame, target: str, state: str, packets: int) ->
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        earlier = _committed(batch.sparkSession, target, batch_id)
-        room = max(0, packets - (earlier.count() if earlier is not None else 0))
+        stored = 0
+        if batch_id:
+            earlier = batch.sparkSession.read.parquet(target).where(F.col("batch") < batch_id)
+            stored = earlier.count()
+        room = max(0, packets - stored)
         batch.orderBy("no").limit(room).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (

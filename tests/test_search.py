@@ -107,6 +107,21 @@ def test_ivf_full_probe_is_exact_and_recall_rises(table, points):
     assert recalls == sorted(recalls) and recalls[-1] == 1 and recalls[0] > 0.3
 
 
+def test_stored_index_reads_only_probed_lists(spark, table, tmp_path):
+    queries, _ = sides(table.where("id = 3"))
+    index = ann.build_ivf(table, nlist=6)
+    index.write(str(tmp_path / "ivf"))
+    stored = ann.read_ivf(spark, str(tmp_path / "ivf"))
+    assert by_query(stored.search(queries, 5, nprobe=2)) == by_query(index.search(queries, 5, nprobe=2))
+
+
+def test_hash_buckets_agree_on_both_paths(table):
+    queries, _ = sides(table)
+    index = ann.build_lsh(table, tables=4, width=0.5)
+    local = by_query(index.search(queries, 5))
+    assert local == by_query(index.search(queries, 5, max_queries=10))
+
+
 def test_product_codes_and_hash_buckets_find_most(table):
     queries, rows = sides(table)
     coded = ann.build_ivfpq(table, nlist=4, parts=4).search(queries, 20, nprobe=4)
