@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowvec.operators.positions import with_hash_position, with_position
-from flowvec.session import BROADCAST_ROWS, fits
+from flowvec.session import BROADCAST_ROWS, checkpoint, fits
 
 
 def _maybe_broadcast(df: DataFrame) -> DataFrame:
@@ -118,6 +118,8 @@ def exact_match(state: DataFrame, nearest: DataFrame, key: str, text_col: str) -
     nearest neighbour.  Only where both are equal is there a match, and the
     lowest id with that text is the one.
     """
+    # The search is not repeated by the joins below.
+    nearest = checkpoint(nearest)
     wanted = nearest.where(F.col("text") == F.col("hit_text")).select(
         F.col("text").alias(text_col)
     ).distinct()

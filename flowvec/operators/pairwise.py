@@ -194,6 +194,10 @@ def best_pairs(
     k-th best one stay in, so that ids can decide between them later.
     """
     squared = metric in ("l2", "l2_sq")
+    if squared and len(rows):
+        # Distances do not change, and small numbers lose less in the product.
+        center = rows.mean(axis=0)
+        queries, rows = queries - center, rows - center
     query_norms, row_norms = np.linalg.norm(queries, axis=1), np.linalg.norm(rows, axis=1)
     if squared:
         rough = (query_norms**2)[:, None] + (row_norms**2)[None, :] - 2 * (queries @ rows.T)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowvec.functions.vectors import let
 from flowvec.session import checkpoint
 
 # Chunk sizes, special tokens, mask share in percent.
@@ -195,18 +196,20 @@ def train_eval(key: Column, eval_tenths: int = 1) -> Column:
     return F.when(hash_percent(key, 10) < eval_tenths, "eval").otherwise("train")
 
 
-def mask_tokens(key: Column, tokens: Column, percent: int = MASK_PERCENT) -> tuple[Column, Column]:
-    """Tokens with a share replaced by the mask token, and the labels at those places."""
+def mask_tokens(key: Column, tokens: Column, percent: int = MASK_PERCENT) -> Column:
+    """Structs ``token, label``: a share of the tokens is masked and becomes the label."""
+    mask = F.lit(SPECIAL_TOKENS[4])
 
-    def masked(i: Column) -> Column:
+    def example(t: Column, i: Column) -> Column:
         place = F.concat(key.cast("string"), F.lit(":"), i.cast("string"))
-        return hash_percent(place) < percent
+        return let(
+            hash_percent(place) < percent,
+            lambda hit: F.struct(
+                F.when(hit, mask).otherwise(t).alias("token"), F.when(hit, t).alias("label")
+            ),
+        )
 
-    inputs = F.transform(
-        tokens, lambda t, i: F.when(masked(i), F.lit(SPECIAL_TOKENS[4])).otherwise(t)
-    )
-    labels = F.transform(tokens, lambda t, i: F.when(masked(i), t))
-    return inputs, labels
+    return F.transform(tokens, example)
 
 
 def contrastive_pairs(df: DataFrame, key: str, batch: str) -> DataFrame:

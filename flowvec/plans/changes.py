@@ -131,11 +131,12 @@ def _(t: Tables) -> DataFrame:
 
 
 def flow_vector(c: str) -> Column:
-    return F.array(
-        C.ip_to_long(F.col("ip_src")).cast("double"),
-        C.ip_to_long(F.col("ip_dst")).cast("double"),
-        F.ascii("protocol").cast("double") * 1000 + F.length("protocol"),
-    ).alias(c)
+    """Octets of both addresses and a number for the protocol."""
+    octets = F.transform(
+        F.concat(F.split("ip_src", r"\."), F.split("ip_dst", r"\.")), lambda o: o.cast("double")
+    )
+    protocol = F.ascii("protocol").cast("double") * 100 + F.length("protocol")
+    return F.concat(octets, F.array(protocol)).alias(c)
 
 
 def requested_matches(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -152,7 +153,7 @@ def requested_matches(t: Tables) -> tuple[DataFrame, DataFrame]:
     hits = K.knn_join(
         asked.select("query_id", flow_vector("q")),
         rows.select(F.col("frame_number").alias("id"), flow_vector("v")),
-        1, "l2", dim=3,
+        1, "l2", dim=9,
     )
     found = rows.select(F.col("frame_number").alias("id"), F.col("packet_text").alias("hit_text"))
     nearest = (

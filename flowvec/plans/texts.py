@@ -119,10 +119,9 @@ select doc_id, i - 1 as i, case when hit then '[MASK]' else tok end as token, ca
 from (select doc_id, i, w[i] as tok, {HASH.format("doc_id || ':' || (i - 1)")} % 100 < 15 as hit
       from (select doc_id, w, unnest(generate_series(1, len(w))) as i from (select doc_id, {WORDS} as w from documents)))""")
 def _(t: Tables) -> DataFrame:
-    inputs, labels = T.mask_tokens(F.col("doc_id"), F.col("w"))
-    tokens = docs(t).select("doc_id", T.words(F.col("text")).alias("w"))
-    both = tokens.select("doc_id", F.arrays_zip(inputs.alias("token"), labels.alias("label")).alias("z"))
-    return both.select("doc_id", F.posexplode("z").alias("i", "z")).select("doc_id", "i", "z.*")
+    examples = T.mask_tokens(F.col("doc_id"), T.words(F.col("text")))
+    placed = docs(t).select("doc_id", F.posexplode(examples).alias("i", "z"))
+    return placed.select("doc_id", "i", "z.*")
 
 
 @query("prep_contrastive_pairs", f"""
