@@ -202,9 +202,9 @@ def consecutive_hit_gaps(hits: DataFrame, df: DataFrame, port: str, order: str)
 
 def distance_by_rank(hits: DataFrame, k: int) -> DataFrame:
     """Mean score per rank over the queries that have all ``k`` hits."""
-    full = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
-    kept = hits.join(full.select("query_id"), "query_id", "left_semi")
-    return kept.groupBy("rank").agg(F.avg("score").alias("avg_distance"))
+    # A query has at most k hits, so its window is small and the search runs once.
+    found = F.count(F.lit(1)).over(Window.partitionBy("query_id"))
+    return hits.withColumn("_n", found).where(F.col("_n") == k).groupBy("rank").agg(F.avg("score").alias("avg_distance"))
 
 
 def weighted_parts(parts: DataFrame, value: str, weight: str, by: list[str]) -> DataFrame:

@@ -6,11 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowvec.operators.positions import with_hash_position, with_position
-from flowvec.session import BROADCAST_ROWS, checkpoint, fits
+from flowvec.session import BROADCAST_ROWS, checkpoint, fits, lookup_join
+
+
+# Rows with payload, vectors perhaps, are broadcast in smaller numbers than ids.
+PAYLOAD_ROWS = BROADCAST_ROWS // 20
 
 
 def _maybe_broadcast(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if fits(df, BROADCAST_ROWS) else df
+    bound = BROADCAST_ROWS if len(df.columns) == 1 else PAYLOAD_ROWS
+    return F.broadcast(df) if fits(df, bound) else df
 
 
 def next_id(state: DataFrame, key: str) -> int:
@@ -123,8 +128,6 @@ def exact_match(state: DataFrame, nearest: DataFrame, key: str, text_col: str) -
     wanted = nearest.where(F.col("text") == F.col("hit_text")).select(
         F.col("text").alias(text_col)
     ).distinct()
-    return (
-        state.join(_maybe_broadcast(wanted), text_col, "left_semi")
-        .groupBy(text_col)
-        .agg(F.min(key).alias(key))
-    )
+    # One text may be that of very many rows, so the join must stand hot keys.
+    matching = lookup_join(state.select(key, text_col), wanted, [text_col], "left_semi")
+    return matching.groupBy(text_col).agg(F.min(key).alias(key))

@@ -25,7 +25,8 @@ Encoder = Callable[[Sequence[str]], np.ndarray]
 ZERO_DIM, PROJECTION_HIDDEN, PROJECTION_DIM = 384, 256, 128
 HASH_DIM = 256
 DEFAULT_TEXT = "empty"
-ROWS_PER_TRAINER = 5_000_000
+# Sentences per training task, and the most tasks whose updates are averaged.
+ROWS_PER_TRAINER, MAX_TRAINERS = 20_000, 1_024
 
 
 def embed(df: DataFrame, text_col: str, load: Callable[[], Encoder], name: str = "embedding"):
@@ -70,7 +71,7 @@ def train_word2vec(
     seed: int = 42,
 ) -> Word2VecModel:
     """Skip-gram token vectors.  The vocabulary must fit the driver, as Spark ML keeps it there."""
-    partitions = max(1, -(-sentences.count() // ROWS_PER_TRAINER))
+    partitions = max(1, min(MAX_TRAINERS, -(-sentences.count() // ROWS_PER_TRAINER)))
     return Word2Vec(
         vectorSize=size,
         windowSize=window,

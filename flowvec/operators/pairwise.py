@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowvec.session import lookup_join
+
 Kernel = Callable[[pa.Table, pa.Table], pa.Table]
 
 # Largest left side that is broadcast, as cells of its vectors.
@@ -140,7 +142,8 @@ def _grid(
 
     if keys:
         sizes = block_counts(left, "_lb").join(block_counts(right, "_rb"), keys)
-        left, right = left.join(sizes, keys), right.join(sizes, keys)
+        left = lookup_join(left, sizes, keys, "inner")
+        right = lookup_join(right, sizes, keys, "inner")
     else:
         counts = {
             "_lb": F.lit(block_counts(left, "_lb").first()[0]),

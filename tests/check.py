@@ -44,6 +44,10 @@ def connect(folder: str):
 def compare(spark, con, folder: str, build, sql: str | None):
     """``(ok, message)`` of one query."""
     df = build(spark, folder)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        if bad in plan:
+            return False, f"the plan has a {bad}"
     mine = table(df.columns, [tuple(r) for r in df.collect()])
     if sql is None:
         return True, f"rows only: {len(mine[1])}"
