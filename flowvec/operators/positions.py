@@ -28,7 +28,7 @@ def order_buckets(
     """Add a bucket number that rises with the numeric ``key``.
 
     Limits come from approximate quantiles: they steer bucket sizes only, the
-    order of the buckets is exact.
+    order of the buckets is exact.  Rows that fit one bucket get no number.
     """
     buckets = _bucket_count(df.count(), rows_per_bucket)
     cuts: list[float] = []
@@ -38,7 +38,7 @@ def order_buckets(
         cuts = numeric.approxQuantile(key, [i / buckets for i in range(1, buckets)], error)
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     if len(splits) < 3:
-        return df.withColumn(name, F.lit(0))
+        return df
     keyed = df.withColumn("_key", F.col(key).cast("double"))
     bucketizer = Bucketizer(splits=splits, inputCol="_key", outputCol=name, handleInvalid="keep")
     return bucketizer.transform(keyed).withColumn(name, F.col(name).cast("int")).drop("_key")
@@ -50,7 +50,7 @@ def hash_buckets(
     """Like :func:`order_buckets` for a column of hexadecimal digests."""
     buckets = _bucket_count(df.count(), rows_per_bucket)
     if buckets == 1:
-        return df.withColumn(name, F.lit(0))
+        return df
     head = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
     return df.withColumn(name, F.floor(head * buckets / F.lit(float(1 << 32))).cast("int"))
 
@@ -63,6 +63,10 @@ def number_rows(
     bucket: str = "_bucket",
 ) -> DataFrame:
     """Positions from 1, per ``within`` group, over already bucketed rows."""
+    if bucket not in bucketed.columns:
+        # All rows fit one bucket, so one window holds them.
+        place = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
+        return bucketed.withColumn(name, place.cast("long"))
     groups = [*within, bucket]
     # One row per bucket (at most MAX_BUCKETS for a whole table) is small.
     earlier = Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)

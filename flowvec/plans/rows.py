@@ -457,7 +457,6 @@ def _flow_text(template: str):
                 "payload": F.repeat(F.concat("ip_src", F.lit("|")), 20),
             }
         )
-        # Flows without transport have no ports; one in the data also lacks its address.
         return TP.serialize_flow(rows, template).select("frame_number", "packet_text")
 
     return build
