@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowvec.functions import vectors as V
-from flowvec.operators.pairwise import best_pairs, compare_blocks, keep_best, to_matrix
+from flowvec.operators.pairwise import best_pairs, compare_blocks, keep_best, to_matrix, with_dim
 
 HIT_SCHEMA = "query_id long, id long, score double"
 
@@ -61,8 +61,12 @@ def as_rows(df: DataFrame, id_col: str, vec_col: str, *extra: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"), *extra)
 
 
-def _top_kernel(k: int, metric: str, ascending: bool):
+def _top_kernel(k: int, metric: str, ascending: bool, dim: int):
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        # Tested here, as a filter on a computed vector would compute it twice.
+        left, right = with_dim(left, "q", dim), with_dim(right, "v", dim)
+        if not left.num_rows or not right.num_rows:
+            return best_hits([], [], [], k, ascending)
         q, r, value = best_pairs(
             metric, to_matrix(left["q"]), to_matrix(right["v"]), k, ascending, V.TIE_DECIMALS
         )
@@ -117,9 +121,9 @@ def knn_join(
         )
 
     hits = compare_blocks(
-        queries.where(V.has_dim(F.col("q"), dim)),
-        rows.where(V.has_dim(F.col("v"), dim)),
-        _top_kernel(k, metric, ascending),
+        queries,
+        rows,
+        _top_kernel(k, metric, ascending, dim),
         HIT_SCHEMA,
         on=on,
         dim=dim,

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,11 @@ def to_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
 
+def with_dim(table: pa.Table, column: str, dim: int) -> pa.Table:
+    """Rows whose vector is there and has ``dim`` cells."""
+    return table.filter(pc.equal(pc.list_value_length(table[column]), dim))
+
+
 def arrow_schema(df_schema) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -89,6 +89,14 @@ def test_filter_comes_before_the_limit(table):
     assert hits.count() == 10 and all(r.id % 3 == 2 for r in hits.collect())
 
 
+@pytest.mark.parametrize("blocks", [{}, {"broadcast_cells": 8, "block_rows": 50}])
+def test_missing_and_short_vectors_are_no_hits(spark, table, blocks):
+    odd = spark.createDataFrame([(1000, None, 0), (1001, [1.0], 0)], table.schema)
+    queries, rows = sides(table.unionByName(odd))
+    found = by_query(K.knn_join(queries, rows, 3, "l2", dim=DIM, **blocks))
+    assert len(found) == N and all(i < N for ids in found.values() for i in ids)
+
+
 def test_unknown_metric(table):
     with pytest.raises(ValueError):
         K.knn(table, [0.0] * DIM, 1, "nearest")
