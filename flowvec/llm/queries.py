@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flowvec.llm.block_names import exact_groups
+from flowvec.llm.secret_links import find_secrets
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,8 +22,13 @@ select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size,
        doc_id = min(doc_id) over w as kept, sha256(norm) as text_sha256
 from t window w as (partition by norm)"""
 
+def op3_secret_links(spark: SparkSession, folder: str) -> DataFrame:
+    return find_secrets(documents(spark, folder))
+
+
 QUERIES = {
     "op1_block_names": op1_block_names,
+    "op3_secret_links": op3_secret_links,
 }
 ORACLES = {
     "op1_block_names": OP1_SQL.strip(),
