@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flowvec.llm.block_names import exact_groups
+from flowvec.llm.deobfuscation import find_personal
+from flowvec.llm.divergence_rules import quality
 from flowvec.llm.secret_links import find_secrets
 
 
@@ -26,9 +28,19 @@ def op3_secret_links(spark: SparkSession, folder: str) -> DataFrame:
     return find_secrets(documents(spark, folder))
 
 
+def op7_deobfuscation(spark: SparkSession, folder: str) -> DataFrame:
+    return find_personal(documents(spark, folder))
+
+
+def op9_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(documents(spark, folder))
+
+
 QUERIES = {
     "op1_block_names": op1_block_names,
     "op3_secret_links": op3_secret_links,
+    "op7_deobfuscation": op7_deobfuscation,
+    "op9_divergence_rules": op9_divergence_rules,
 }
 ORACLES = {
     "op1_block_names": OP1_SQL.strip(),
