@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowvec.llm.best_fit_packing import packed_pieces
 from flowvec.llm.block_names import exact_groups
 from flowvec.llm.deobfuscation import find_personal
 from flowvec.llm.divergence_rules import quality
+from flowvec.llm.retrieval_packing import retrieval_pack
 from flowvec.llm.secret_links import find_secrets
+from flowvec.llm.word_transducer import encode_documents
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,11 +39,26 @@ def op9_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality(documents(spark, folder))
 
 
+def op4_word_transducer(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_documents(documents(spark, folder))
+
+
+def op6_retrieval_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return retrieval_pack(documents(spark, folder))
+
+
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_pieces(documents(spark, folder))
+
+
 QUERIES = {
     "op1_block_names": op1_block_names,
     "op3_secret_links": op3_secret_links,
+    "op4_word_transducer": op4_word_transducer,
+    "op6_retrieval_packing": op6_retrieval_packing,
     "op7_deobfuscation": op7_deobfuscation,
     "op9_divergence_rules": op9_divergence_rules,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLES = {
     "op1_block_names": OP1_SQL.strip(),
