@@ -10,6 +10,7 @@ from flowvec.llm.deobfuscation import find_personal
 from flowvec.llm.divergence_rules import quality
 from flowvec.llm.retrieval_packing import retrieval_pack
 from flowvec.llm.secret_links import find_secrets
+from flowvec.llm.trie_join import near_duplicates
 from flowvec.llm.word_transducer import encode_documents
 
 
@@ -35,6 +36,10 @@ def op7_deobfuscation(spark: SparkSession, folder: str) -> DataFrame:
     return find_personal(documents(spark, folder))
 
 
+def op8_trie_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(documents(spark, folder))
+
+
 def op9_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality(documents(spark, folder))
 
@@ -57,6 +62,7 @@ QUERIES = {
     "op4_word_transducer": op4_word_transducer,
     "op6_retrieval_packing": op6_retrieval_packing,
     "op7_deobfuscation": op7_deobfuscation,
+    "op8_trie_join": op8_trie_join,
     "op9_divergence_rules": op9_divergence_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
