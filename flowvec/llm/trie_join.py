@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from flowvec.llm.common import in_chunks, keyed, write_table
 from flowvec.llm.components import components
+from flowvec.llm.wordhash import hash_words, in_groups, mix
 
 WORDS, PERCENT = 4, 85
 # Parts beyond those that may differ, against parts that are empty.
@@ -33,70 +34,34 @@ BUCKET_SIGNATURES = 2_000_000
 BLOCK = 512
 # Bits of the filter that keeps most documents without a partner out of the join.
 FILTER_BITS = 2**25
-REMEMBERED = 500_000
-TEXT_BYTES = 4_000_000
-
-_A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A fixed bijection of 64-bit numbers that spreads them."""
-    x = x + _A
-    x = (x ^ (x >> np.uint64(30))) * _B
-    x = (x ^ (x >> np.uint64(27))) * _C
-    return x ^ (x >> np.uint64(31))
-
-
-class WordHashes:
-    """64-bit hashes of words, remembered."""
-
-    def __init__(self) -> None:
-        self.memo: dict[bytes, int] = {}
-
-    def of(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        import xxhash
-
-        if len(self.memo) > REMEMBERED:
-            self.memo = {}
-        memo, digest = self.memo, xxhash.xxh3_64_intdigest
-        for words in texts:
-            for w in words:
-                if w not in memo:
-                    memo[w] = digest(w)
-        return [np.fromiter(map(memo.__getitem__, words), np.uint64, len(words)) for words in texts]
-
-
-_HASHES: list[WordHashes] = []
+# Tells the second half of a set's 128-bit hash from the first.
+SECOND = np.uint64(0x94D049BB133111EB)
 
 
 def shingle_sets(texts: Iterable[bytes | None], words: int = WORDS) -> Iterator[np.ndarray]:
     """The sorted distinct n-gram hashes of each text; with fewer words the whole sequence is one."""
-    if not _HASHES:
-        _HASHES.append(WordHashes())
-    held, size = [], 0
-    for text in texts:
-        held.append((text or b"").lower().split())
-        size += len(text or b"")
-        if size >= TEXT_BYTES:
-            yield from _sets(held, words)
-            held, size = [], 0
-    yield from _sets(held, words)
-
-
-def _sets(texts: list[list[bytes]], words: int) -> Iterator[np.ndarray]:
-    for h in _HASHES[0].of(texts):
-        if len(h) >= words:
-            grams = h[: len(h) - words + 1].copy()
-            for k in range(1, words):
-                grams = mix(grams) + h[k : len(h) - words + 1 + k]
-            yield np.unique(mix(grams))
-        elif len(h):
-            whole = np.uint64(len(h))
-            for x in h:
-                whole = mix(np.array([whole + x], np.uint64))[0]
-            yield np.array([whole], np.uint64)
-        else:
-            yield h
+    for group in in_groups(texts):
+        flat, first, _, _ = hash_words([t.lower() for t in group])
+        # All n-grams of the group at once; those that cross from text to text are left out below.
+        grams = flat[: max(0, len(flat) - words + 1)]
+        for k in range(1, words):
+            grams = mix(grams) + flat[k : k + len(grams)]
+        grams = mix(grams)
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            if b - a >= words:
+                yield distinct(grams[a : b - words + 1])
+            elif b > a:
+                whole = np.array([b - a], np.uint64)
+                for x in flat[a:b]:
+                    whole = mix(whole + x)
+                yield whole
+            else:
+                yield flat[:0]
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])]
 
 
 def size_classes(percent: int, most: int = 2**40) -> np.ndarray:
@@ -223,7 +188,7 @@ def _sizes(words: int):
         for grams in shingle_sets(table["text"].cast(pa.binary()).to_pylist(), words):
             n.append(len(grams))
             first.append(int(mix(grams).sum(dtype=np.uint64).astype(np.int64)))
-            second.append(int(mix(grams ^ _C).sum(dtype=np.uint64).astype(np.int64)))
+            second.append(int(mix(grams ^ SECOND).sum(dtype=np.uint64).astype(np.int64)))
         out = table.drop_columns(["text"])
         for name, column in (("n", n), ("first", first), ("second", second)):
             out = out.append_column(name, pa.array(column, pa.int64()))
