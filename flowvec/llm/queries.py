@@ -8,6 +8,7 @@ from flowvec.llm.best_fit_packing import packed_pieces
 from flowvec.llm.block_names import exact_groups
 from flowvec.llm.deobfuscation import find_personal
 from flowvec.llm.divergence_rules import quality
+from flowvec.llm.induced_dedup import remove_repeats
 from flowvec.llm.retrieval_packing import retrieval_pack
 from flowvec.llm.secret_links import find_secrets
 from flowvec.llm.trie_join import near_duplicates
@@ -48,6 +49,10 @@ def op4_word_transducer(spark: SparkSession, folder: str) -> DataFrame:
     return encode_documents(documents(spark, folder))
 
 
+def op5_induced_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(documents(spark, folder))
+
+
 def op6_retrieval_packing(spark: SparkSession, folder: str) -> DataFrame:
     return retrieval_pack(documents(spark, folder))
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op1_block_names": op1_block_names,
     "op3_secret_links": op3_secret_links,
     "op4_word_transducer": op4_word_transducer,
+    "op5_induced_dedup": op5_induced_dedup,
     "op6_retrieval_packing": op6_retrieval_packing,
     "op7_deobfuscation": op7_deobfuscation,
     "op8_trie_join": op8_trie_join,
