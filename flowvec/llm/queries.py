@@ -9,6 +9,7 @@ from flowvec.llm.block_names import exact_groups
 from flowvec.llm.deobfuscation import find_personal
 from flowvec.llm.divergence_rules import quality
 from flowvec.llm.induced_dedup import remove_repeats
+from flowvec.llm.recurrent_lm import score_documents
 from flowvec.llm.retrieval_packing import retrieval_pack
 from flowvec.llm.secret_links import find_secrets
 from flowvec.llm.trie_join import near_duplicates
@@ -29,6 +30,10 @@ select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size,
        doc_id = min(doc_id) over w as kept, sha256(norm) as text_sha256
 from t window w as (partition by norm)"""
 
+def op2_recurrent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(documents(spark, folder))
+
+
 def op3_secret_links(spark: SparkSession, folder: str) -> DataFrame:
     return find_secrets(documents(spark, folder))
 
@@ -63,6 +68,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_block_names": op1_block_names,
+    "op2_recurrent_lm": op2_recurrent_lm,
     "op3_secret_links": op3_secret_links,
     "op4_word_transducer": op4_word_transducer,
     "op5_induced_dedup": op5_induced_dedup,
