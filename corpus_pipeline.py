@@ -6,6 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowvec.llm.block_names import drop_copies
 from flowvec.llm.common import write_table
+from flowvec.llm.deobfuscation import mask_personal
+from flowvec.llm.divergence_rules import keep_good
+from flowvec.llm.retrieval_packing import retrieval_pack
+from flowvec.llm.trie_join import drop_near_duplicates
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a quality rule go."""
+    return keep_good(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +22,28 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return drop_copies(docs)
 
 
-STAGES = [("exact_copies", exact_copies)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: shingles of five words, similarity 0.8 or more."""
+    return drop_near_duplicates(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data are masked by the name of their kind."""
+    return mask_personal(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of related documents: one row per piece."""
+    return retrieval_pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("exact_copies", exact_copies),
+    ("near_copies", near_copies),
+    ("personal_data", personal_data),
+    ("packing", packed),
+]
 
 # Hashing and packing with a tokenizer cannot be written in SQL.
 ORACLE_SQL = None
