@@ -108,10 +108,10 @@ def signatures(grams: np.ndarray, ends: np.ndarray, percent: int, spare: int = S
 class Tree:
     """A prefix tree of sorted sets; a node holds a run of n-grams and the sizes of the sets below it."""
 
-    __slots__ = ("run", "children", "members", "least", "most")
+    __slots__ = ("run", "children", "members", "least", "most", "flat")
 
     def __init__(self, run: np.ndarray):
-        self.run, self.children, self.members = run, {}, []
+        self.run, self.children, self.members, self.flat = run, {}, [], None
         self.least, self.most = 2**62, 0
 
     def insert(self, grams: np.ndarray, member: int) -> None:
@@ -141,7 +141,7 @@ class Tree:
             node, at = child, at + shared
 
     def similar(self, grams: np.ndarray, percent: int) -> list[int]:
-        """Members whose set has the threshold's similarity to ``grams``."""
+        """Members whose set has the threshold's similarity to ``grams``; the tree must be complete."""
         found, n = [], len(grams)
         # Node, n-grams of the probe that are behind, depth in the tree, overlap so far.
         stack = [(self, 0, 0, 0)]
@@ -149,19 +149,36 @@ class Tree:
             node, behind, depth, overlap = stack.pop()
             if node.members and 100 * overlap >= percent * (n + depth - overlap):
                 found += node.members
-            for child in node.children.values():
-                run = child.run
-                place = np.searchsorted(grams[behind:], run)
-                inside = place < n - behind
-                common = overlap + int((grams[behind:][place[inside]] == run[inside]).sum())
-                passed = behind + int(np.searchsorted(grams[behind:], run[-1], "right"))
-                below = depth + len(run)
-                best = common + min(n - passed, child.most - below)
-                # The overlap that the smallest set below would need.
-                if (100 + percent) * best >= percent * (n + max(child.least, below)):
-                    stack.append((child, passed, below, common))
+            if not node.children:
+                continue
+            # All branches at once: first by the sizes below them, then by their runs.
+            branches, runs, starts, sizes, least, most = node.branches()
+            left = grams[behind:]
+            place = np.searchsorted(left, runs)
+            hit = np.zeros(len(runs) + 1, np.int64)
+            inside = place < len(left)
+            np.cumsum(inside & (left[np.minimum(place, max(0, len(left) - 1))] == runs) if len(left) else inside, out=hit[1:])
+            common = overlap + hit[starts + sizes] - hit[starts]
+            last = starts + sizes - 1
+            passed = behind + place[last] + (hit[last + 1] - hit[last])
+            below = depth + sizes
+            best = common + np.minimum(n - passed, most - below)
+            # The overlap that the smallest set below would need.
+            go = (100 + percent) * best >= percent * (n + np.maximum(least, below))
+            stack += [(branches[i], int(passed[i]), int(below[i]), int(common[i])) for i in np.flatnonzero(go)]
         return found
 
+    def branches(self) -> tuple:
+        """The children, their runs one after the other, and the sizes below them."""
+        if self.flat is None:
+            kids = list(self.children.values())
+            sizes = np.array([len(k.run) for k in kids])
+            self.flat = (
+                kids, np.concatenate([k.run for k in kids]), np.cumsum(sizes) - sizes, sizes,
+                np.array([k.least for k in kids]), np.array([k.most for k in kids]),
+            )
+        return self.flat
+
 
 def join_sets(sets: list[np.ndarray], percent: int) -> list[int]:
     """For each set the first set of its component, sets being linked at the threshold."""
@@ -174,11 +191,12 @@ def join_sets(sets: list[np.ndarray], percent: int) -> list[int]:
         return i
 
     tree = Tree(np.zeros(0, np.uint64))
+    for i, grams in enumerate(sets):
+        tree.insert(grams, i)
     for i, grams in enumerate(sets):
         for j in tree.similar(grams, percent):
             a, b = root(i), root(j)
             parent[max(a, b)] = min(a, b)
-        tree.insert(grams, i)
     return [root(i) for i in range(len(sets))]
 
 
@@ -325,7 +343,7 @@ def _cell_links(percent: int):
     return work
 
 
-def _overlaps(percent: int, name: str):
+def _overlaps(percent: int):
     """The similarity of each row's set to another set in the row, and whether they are linked."""
 
     def run(batches):
@@ -336,9 +354,11 @@ def _overlaps(percent: int, name: str):
                 o = len(np.intersect1d(a, b, assume_unique=True))
                 score.append(o / max(1, len(a) + len(b) - o))
                 linked.append(100 * o >= percent * (len(a) + len(b) - o))
-            kept = batch.select([c for c in batch.schema.names if c not in ("other",)])
-            kept = kept.append_column("score", pa.array(score, pa.float64())) if hasattr(kept, "append_column") else pa.RecordBatch.from_arrays([*kept.columns, pa.array(score, pa.float64())], names=[*kept.schema.names, "score"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(linked, pa.bool_())], names=[*kept.schema.names, "linked"])
+            kept = [batch.column(c) for c in ("component", "node", "grams")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(score, pa.float64()), pa.array(linked, pa.bool_())],
+                names=["component", "node", "grams", "score", "linked"],
+            )
 
     return run
 
@@ -371,28 +391,32 @@ def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
 
     # The n-grams that most members have are fewer than twice the mean set.
     shared = write_table(common.groupBy("component").applyInArrow(pack, "component long, other binary"), "common-grams")
-    near = sets.join(shared, "component").mapInArrow(_overlaps(percent, "near"), shape)
+    near = sets.join(shared, "component").mapInArrow(_overlaps(percent), shape)
     order = F.struct(F.col("score"), -F.col("node"), F.col("grams"))
     centre = write_table(
         near.groupBy("component").agg(F.max(order).alias("c")).select("component", (-F.col("c.col2")).alias("centre"), F.col("c.grams").alias("other")),
         "centres",
     )
-    starred = sets.join(centre.select("component", "other"), "component").mapInArrow(_overlaps(percent, "star"), shape)
+    starred = sets.join(centre.select("component", "other"), "component").mapInArrow(_overlaps(percent), shape)
     starred = starred.join(centre.select("component", "centre"), "component")
     starred = write_table(
         starred.select("component", "node", "grams", F.when(F.col("linked"), F.col("centre")).otherwise(F.col("node")).alias("star"), "linked"),
         "stars",
     )
-    # Blocks by hash; a block of outsiders meets every block of its group, itself included.
-    per_group = starred.groupBy("component").agg(
-        (F.floor(F.count(F.lit(1)) / BLOCK) + 1).alias("blocks"),
-        (F.floor(F.count(F.when(~F.col("linked"), 1)) / BLOCK) + 1).alias("outer"),
-    )
-    per_group = write_table(per_group, "group-blocks")
-    placed = starred.join(per_group, "component").withColumn("h", F.pmod(F.xxhash64("node"), F.lit(2**40)))
-    members = placed.select("component", "node", "grams", "star", F.lit(0).alias("side"), (F.col("h") % F.col("blocks")).alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("outer") - 1)).alias("y"))
-    outside = placed.where("not linked").select("component", "node", "grams", "star", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("x"), (F.col("h") % F.col("outer")).alias("y"))
-    cells = members.unionByName(outside).groupBy("component", "x", "y").applyInArrow(_cell_links(percent), "a long, b long")
+    # Similar sets are of one size class or of neighbouring ones.  In a class, blocks
+    # by hash; a block of outsiders meets every block of its class and the two beside it.
+    ends = F.array(*[F.lit(int(e)) for e in size_classes(percent)])
+    placed = starred.withColumn("class", F.size(F.filter(ends, lambda e: e < F.octet_length("grams") / 8)))
+    placed = placed.withColumn("h", F.pmod(F.xxhash64("node"), F.lit(2**40)))
+    steps = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    probes = placed.where("not linked").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
+    blocks = placed.groupBy("component", "class").agg((F.floor(F.count(F.lit(1)) / BLOCK) + 1).alias("blocks"))
+    outer = probes.groupBy("component", "class").agg((F.floor(F.count(F.lit(1)) / (2 * BLOCK)) + 1).alias("outer"))
+    per_class = write_table(blocks.join(outer, ["component", "class"]), "class-blocks")
+    cell = ["component", "class", "node", "grams", "star"]
+    members = placed.join(per_class, ["component", "class"]).select(*cell, F.lit(0).alias("side"), (F.col("h") % F.col("blocks")).alias("x"), steps(F.col("outer")).alias("y"))
+    outside = probes.join(per_class, ["component", "class"]).select(*cell, F.lit(1).alias("side"), steps(F.col("blocks")).alias("x"), (F.col("h") % F.col("outer")).alias("y"))
+    cells = members.unionByName(outside).groupBy("component", "class", "x", "y").applyInArrow(_cell_links(percent), "a long, b long")
     return starred.where("linked").select(F.col("node").alias("a"), F.col("star").alias("b")).unionByName(cells)
 
 
