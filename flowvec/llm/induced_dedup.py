@@ -97,7 +97,7 @@ def _bucket_rows(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
-    for x, y in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
+    for x, y in zip(cuts, np.append(cuts[1:], len(bucket))[: len(cuts)], strict=True):
         yield int(bucket[x]), order[x:y], [c[order[x:y]] for c in columns]
 
 

@@ -240,7 +240,7 @@ def _signature_blocks(buckets: int, words: int, percent: int):
             order = np.argsort(where, kind="stable")
             where, left, right = where[order], left[order], right[order]
             cuts = np.flatnonzero(np.append(True, where[1:] != where[:-1])[: len(where)])
-            for x, y in zip(cuts, np.append(cuts[1:], len(where)), strict=True):
+            for x, y in zip(cuts, np.append(cuts[1:], len(where))[: len(cuts)], strict=True):
                 rows.append((int(where[x]), left[x:y].tobytes(), right[x:y].tobytes()))
         columns = list(zip(*rows, strict=True)) or [[], [], []]
         return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], names=["bucket", "left", "right"])
@@ -312,7 +312,7 @@ def _joined(percent: int):
         grams = table["grams"].to_pylist()
         cuts = np.flatnonzero(np.append(True, component[1:] != component[:-1])[: len(component)])
         label = np.zeros(len(node), np.int64)
-        for x, y in zip(cuts, np.append(cuts[1:], len(node)), strict=True):
+        for x, y in zip(cuts, np.append(cuts[1:], len(node))[: len(cuts)], strict=True):
             first = join_sets([np.frombuffer(g, np.uint64) for g in grams[x:y]], percent)
             label[x:y] = node[x:y][first]
         return pa.table({"a": pa.array(node, pa.int64()), "b": pa.array(label, pa.int64())})
