@@ -7,10 +7,11 @@ strings have the same sampled place and lie at the same distance from it.
 
 1. The sampled places of all documents are sorted by their content; places whose
    content occurs once carry no repeat and go no further.
-2. The runs of strings that a repeated place stands for are sorted with their
-   contexts.  All but the first of equal contexts are repeats as a whole.
-3. Where contexts of one place differ, the strings that they share are induced:
-   each is found at its distance from the place, and all but the first repeat.
+2. The runs of strings that a repeated place stands for are sorted by the hashes
+   of their contexts.  All but the first of equal contexts are repeats as a whole.
+3. Only places with different contexts send those contexts themselves.  The strings
+   that they share are induced: each is found at its distance from the place, and
+   all but the first repeat.
 
 The shuffle's sort, which spills to disk, is the queue that carries the tuples.
 A place that very many documents share is not gathered in one task: its strings
@@ -36,7 +37,12 @@ GRAM = 24
 SEGMENT = 1_000_000
 # Places of a sorting task, and bytes of contexts of a comparing task.
 PLACES = 1_000_000
-CONTEXT_BYTES = 32_000_000
+CONTEXT_BYTES = 12_000_000
+# Bytes of text and strings that a task holds at once.
+PIECE = 8_000_000
+STRINGS = 500_000
+# Slices of the filter of places with several contexts, as a power of two.
+SLICES = 7
 # Bits of the filter of repeated places.  It only saves traffic: a place that
 # passes by chance is found to be alone later.
 FILTER_BITS = 26
@@ -141,7 +147,7 @@ def place_filter(rows: DataFrame, n_bytes: int, length: int) -> tuple[np.ndarray
     """Filters of repeated and of hot places, of a fixed size, and how often repeated places occur."""
     per_place = (length - GRAM + 2) / 2
     bits = min(FILTER_BITS - 6, max(0, int(n_bytes / per_place / PLACES).bit_length()))
-    places = rows.select("text").mapInArrow(in_chunks(_places(bits, length)), "bucket long, places binary, counts binary")
+    places = rows.select("text").mapInArrow(in_chunks(_places(bits, length), chars=PIECE), "bucket long, places binary, counts binary")
     maps = places.groupBy("bucket").applyInArrow(_repeated(bits), "bucket long, repeated binary, hot binary, n long")
     width = (1 << (FILTER_BITS - bits)) // 8
     repeated, hot, n = np.zeros((1 << FILTER_BITS) // 8, np.uint8), np.zeros((1 << FILTER_BITS) // 8, np.uint8), 0
@@ -181,15 +187,17 @@ def _tuple_table(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _TUPLES.split(", ")])
 
 
-def _contexts(repeated, hot, buckets: int, length: int):
-    """Of a piece of input: contexts of repeated places (kind 0), strings of hot ones (1), repeats found here (2)."""
+def _contexts(repeated, hot, several, buckets: int, length: int):
+    """Of a piece of input, the first of equal ones of: contexts of repeated places (kind 0) and strings of hot ones
+    (1); repeats found here (2).  With ``several``, contexts of its places only, in full.
+    """
 
     def work(table: pa.Table) -> pa.Table:
         keys = table["key"].to_numpy()
         kept: dict[int, list] = {0: [], 1: []}
         text = []
         for row, at, part, (_, first, last, place) in runs_of(table["text"].cast(pa.binary()).to_pylist(), length):
-            hit = _in_filter(repeated.value, place)
+            hit = _in_filter((repeated if several is None else several).value, place)
             if not hit.any():
                 continue
             first, last, place = first[hit], last[hit], place[hit]
@@ -198,9 +206,10 @@ def _contexts(repeated, hot, buckets: int, length: int):
             a, b, p = first[~warm], last[~warm], place[~warm]
             if len(a):
                 kept[0].append((p, span_hashes(codes, a, b + length), np.full(len(a), keys[row]), at + a, b - a + 1))
-                text += [part[x : y + length] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+                if several is not None:
+                    text += [part[x : y + length] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
             a, b, p = first[warm], last[warm], place[warm]
-            if len(a):
+            if len(a) and several is None:
                 n = b - a + 1
                 start = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
                 kept[1].append((np.repeat(p, n), span_hashes(codes, start, start + length), np.full(len(start), keys[row]), at + start, np.ones(len(start), np.int64)))
@@ -210,11 +219,12 @@ def _contexts(repeated, hot, buckets: int, length: int):
                 continue
             place, digest, key, start, size = (np.concatenate(c) for c in zip(*found, strict=True))
             first, others = _all_but_first(place, digest, key, start)
-            dropped.append((key[others], start[others], size[others]))
+            if several is None:
+                dropped.append((key[others], start[others], size[others]))
             by = place if kind == 0 else digest
             bucket = (mix(by[first]) % np.uint64(buckets)).astype(np.int64)
             for b, at, columns in _bucket_rows(bucket, place[first], digest[first], key[first], start[first], size[first].astype(np.uint8)):
-                context = b"".join([text[i] for i in first[at]]) if kind == 0 else b""
+                context = b"".join([text[i] for i in first[at]]) if several is not None else b""
                 rows.append((b, kind, *(c.tobytes() for c in columns), context))
         for key, start, size in dropped:
             bucket = -1 - (mix(key.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
@@ -224,33 +234,65 @@ def _contexts(repeated, hot, buckets: int, length: int):
     return work
 
 
-def _repeats(length: int):
-    """Repeated strings of a bucket, as ``key`` and its runs of starts."""
+_FOUND = "key long, runs binary, slice long, places binary"
+
+
+def _read(part: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.concatenate([np.frombuffer(b, kind) for b in part[name].to_pylist()])
+
+
+def _runs_table(found: list[tuple], places: np.ndarray) -> pa.Table:
+    """Runs by document, and places by slice of their filter."""
+    key, start, size = (np.concatenate(c) for c in zip(*found, strict=True))
+    rows = [(k, np.stack(c, 1).tobytes(), None, None) for k, _, c in _bucket_rows(key, start, size)]
+    by = (places >> np.uint64(64 - SLICES)).astype(np.int64)
+    rows += [(None, None, k, c[0].tobytes()) for k, _, c in _bucket_rows(by, places)]
+    kinds = [pa.int64(), pa.binary()] * 2
+    columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "runs", "slice", "places"])
+
+
+def _repeats(table: pa.Table) -> pa.Table:
+    """Repeated contexts and strings of a bucket, and the places whose contexts differ."""
+    found, places = [], [np.zeros(0, np.uint64)]
+    for kind in (0, 1, 2):
+        part = table.filter(pa.compute.equal(table["kind"], kind))
+        if not part.num_rows:
+            continue
+        key, start = _read(part, "key", np.int64), _read(part, "start", np.int64)
+        size = _read(part, "size", np.int64 if kind == 2 else np.uint8).astype(np.int64)
+        if kind == 2:
+            found.append((key, start, size))
+            continue
+        place = _read(part, "place", np.uint64)
+        first, others = _all_but_first(place, _read(part, "hash", np.uint64), key, start)
+        found.append((key[others], start[others], size[others]))
+        if kind == 0:
+            ordered = place[first]
+            places.append(np.unique(ordered[1:][ordered[1:] == ordered[:-1]]))
+    return _runs_table(found, np.concatenate(places))
+
+
+def _slice_bits(table: pa.Table) -> pa.Table:
+    """The slice of a filter that the places set."""
+    size = 1 << (FILTER_BITS - SLICES)
+    flags = np.zeros(size, np.uint8)
+    flags[((_read(table, "places", np.uint64) >> np.uint64(64 - FILTER_BITS)) & np.uint64(size - 1)).astype(np.int64)] = 1
+    return pa.table({"slice": table["slice"].slice(0, 1), "bits": pa.array([np.packbits(flags).tobytes()], pa.binary())})
+
+
+def _shared_strings(length: int):
+    """Repeated strings of a bucket's places with several contexts."""
 
     def work(table: pa.Table) -> pa.Table:
-        found = []
-        for kind in (0, 1, 2):
-            part = table.filter(pa.compute.equal(table["kind"], kind))
-            if not part.num_rows:
-                continue
-            read = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in part[name].to_pylist()])  # noqa: B023, E731
-            key, start = read("key", np.int64), read("start", np.int64)
-            size = read("size", np.int64 if kind == 2 else np.uint8).astype(np.int64)
-            if kind == 2:
-                found.append((key, start, size))
-                continue
-            place, digest = read("place", np.uint64), read("hash", np.uint64)
-            first, others = _all_but_first(place, digest, key, start)
-            found.append((key[others], start[others], size[others]))
-            if kind == 0:
-                # Places with several different contexts: look into them.
-                same = np.append(False, place[first][1:] == place[first][:-1])
-                several = first[same | np.append(same[1:], False)]
-                found.append(_induced(place, key, start, size, several, b"".join(part["context"].to_pylist()), length))
-        key, start, size = (np.concatenate(c) for c in zip(*found, strict=True))
-        rows = [(k, np.stack(c, 1).tobytes()) for k, _, c in _bucket_rows(key, start, size)]
-        columns = list(zip(*rows, strict=True)) or [[], []]
-        return pa.table({"key": pa.array(columns[0], pa.int64()), "runs": pa.array(columns[1], pa.binary())})
+        key, start = _read(table, "key", np.int64), _read(table, "start", np.int64)
+        size, place = _read(table, "size", np.uint8).astype(np.int64), _read(table, "place", np.uint64)
+        first, _ = _all_but_first(place, _read(table, "hash", np.uint64), key, start)
+        ordered = place[first]
+        same = np.append(False, ordered[1:] == ordered[:-1])[: len(first)]
+        several = first[same | np.append(same[1:], False)[: len(first)]]
+        contexts = b"".join(table["context"].to_pylist())
+        return _runs_table([_induced(place, key, start, size, several, contexts, length)], place[:0])
 
     return work
 
@@ -266,7 +308,7 @@ def _induced(place, key, start, size, several, contexts: bytes, length: int):
     several = several[np.argsort(place[several], kind="stable")]
     cut = np.flatnonzero(np.append(True, place[several][1:] != place[several][:-1]))
     weight = np.add.reduceat(size[several], cut)
-    group = np.cumsum(weight) // 2_000_000
+    group = np.cumsum(weight) // STRINGS
     raw = np.frombuffer(contexts, np.uint8)
     ends = np.append(cut[1:], len(several))
     for g in np.unique(group):
@@ -333,12 +375,18 @@ def _cut(table: pa.Table, length: int) -> pa.Table:
 def repeated_runs(rows: DataFrame, n_bytes: int, length: int) -> DataFrame:
     """``key, runs``: for each document with repeats the runs of starts of its repeated strings."""
     repeated, hot, n = place_filter(rows, n_bytes, length)
-    context = rows.sparkSession.sparkContext
-    buckets = n * (length - GRAM + 2 + length) // 2 // CONTEXT_BYTES + 1
-    tuples = rows.select("key", "text").mapInArrow(
-        in_chunks(_contexts(context.broadcast(repeated), context.broadcast(hot), int(buckets), length)), _TUPLES
-    )
-    found = tuples.groupBy("bucket").applyInArrow(_repeats(length), "key long, runs binary")
+    ship = rows.sparkSession.sparkContext.broadcast
+    buckets = int(n * (length - GRAM + 2 + length) // 2 // CONTEXT_BYTES + 1)
+    texts, repeated, hot = rows.select("key", "text"), ship(repeated), ship(hot)
+    tuples = texts.mapInArrow(in_chunks(_contexts(repeated, hot, None, buckets, length), chars=PIECE), _TUPLES)
+    whole = write_table(tuples.groupBy("bucket").applyInArrow(_repeats, _FOUND), "repeated-contexts")
+    slices = whole.where("slice is not null").select("slice", "places").groupBy("slice").applyInArrow(_slice_bits, "slice long, bits binary")
+    several, width = np.zeros((1 << FILTER_BITS) // 8, np.uint8), (1 << (FILTER_BITS - SLICES)) // 8
+    for r in slices.collect():
+        several[r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
+    tuples = texts.mapInArrow(in_chunks(_contexts(repeated, hot, ship(several), buckets, length), chars=PIECE), _TUPLES)
+    shared = tuples.groupBy("bucket").applyInArrow(_shared_strings(length), _FOUND)
+    found = whole.where("key is not null").unionByName(shared).select("key", "runs")
     return found.groupBy("key").agg(F.collect_list("runs").alias("runs"))
 
 

@@ -189,14 +189,24 @@ def test_repeats_of_hot_places_and_segments(spark, monkeypatch):
     places = induced._places(0, 100)(keys)
     maps = induced._repeated(0)(places)
     repeated, hot = (np.frombuffer(maps[c][0].as_py(), np.uint8) for c in ("repeated", "hot"))
-    tuples = induced._contexts(Shipped(repeated), Shipped(hot), 1, 100)(keys)
-    found = {}
+    tuples = induced._contexts(Shipped(repeated), Shipped(hot), None, 1, 100)(keys)
+    assert set(tuples["kind"].to_pylist()) >= {1}
+    found, several = {}, np.zeros(len(repeated), np.uint8)
+    width = (1 << (induced.FILTER_BITS - induced.SLICES)) // 8
+
+    def take(part):
+        for r in part.to_pylist():
+            if r["key"] is not None:
+                found.setdefault(r["key"], []).append(r["runs"])
+            else:
+                bits = induced._slice_bits(pa.table({"slice": [r["slice"]], "places": [r["places"]]}))["bits"][0].as_py()
+                several[r["slice"] * width : (r["slice"] + 1) * width] |= np.frombuffer(bits, np.uint8)
+
     for bucket in (0, -1):
         part = tuples.filter(pa.compute.equal(tuples["bucket"], bucket))
         if part.num_rows:
-            for r in induced._repeats(100)(part).to_pylist():
-                found.setdefault(r["key"], []).append(r["runs"])
-    assert set(tuples["kind"].to_pylist()) >= {1}
+            take(induced._repeats(part))
+    take(induced._shared_strings(100)(induced._contexts(Shipped(repeated), Shipped(hot), Shipped(several), 1, 100)(keys)))
     seen = set()
     for d, text in rows:
         t, gone = text.encode(), bytearray(len(text))
