@@ -9,14 +9,21 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowvec.session import new_work_path
 
 BLANKS = r"[\x20\x09-\x0D]+"
 # Characters of text that a task holds at once; longer inputs go in several pieces.
-CHUNK_CHARS = 24_000_000
+CHUNK_CHARS = 12_000_000
+# Rows of an Arrow batch: whole texts are wide.
+BATCH_ROWS = 1000
+
+
+def wide_rows(spark: SparkSession) -> None:
+    """Send whole texts to Python in small batches; the results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def text_of(name: str = "text") -> Column:
@@ -75,5 +82,8 @@ def in_chunks(
                 held.append(batch.slice(start))
         if held:
             yield from work(pa.Table.from_batches(held)).to_batches()
+            held = []
+        # The next task in this process starts with what it needs itself.
+        pa.default_memory_pool().release_unused()
 
     return run

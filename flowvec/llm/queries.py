@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowvec.llm.best_fit_packing import packed_pieces
 from flowvec.llm.block_names import exact_groups
+from flowvec.llm.common import wide_rows
 from flowvec.llm.deobfuscation import find_personal
 from flowvec.llm.divergence_rules import quality
 from flowvec.llm.induced_dedup import remove_repeats
@@ -17,6 +18,7 @@ from flowvec.llm.word_transducer import encode_documents
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    wide_rows(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")
 
 
