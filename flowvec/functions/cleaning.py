@@ -41,9 +41,8 @@ def capture_time(c: Column) -> Column:
     text = F.regexp_replace(text, r" \S+$", "")
     whole = F.regexp_extract(text, r"^([^.]*)", 1)
     fraction = F.rpad(F.substring(F.regexp_extract(text, r"\.(\d*)", 1), 1, 6), 6, "0")
-    local = F.try_to_timestamp(F.concat(whole, F.lit("."), fraction), F.lit(CAPTURE_TIME))
-    # Read and shifted under the session zone; the shift itself is zone-free.
-    return local - F.expr("interval '05:30' hour to minute")
+    # The offset is part of the text, so the session's zone plays no part.
+    return F.try_to_timestamp(F.concat(whole, F.lit("."), fraction, F.lit("+05:30")), F.lit(CAPTURE_TIME + "XXX"))
 
 
 def clean_protocol(c: Column) -> Column:

@@ -27,11 +27,10 @@ def value_sets(df: DataFrame, by: list[str], column: str, k: int, name: str) ->
     return pairs.groupBy(*by).agg(F.array_sort(F.collect_set(column)).alias(name))
 
 
-def text_protocol_share(df: DataFrame, text_col: str, key: str, rows: int, k: int) -> DataFrame:
-    """Third word of the first ``rows`` texts, counted; shorter texts are left out."""
-    words = F.split(text_col, r"\s+")
-    first = df.orderBy(key).limit(rows).select(words.alias("w")).where(F.size("w") >= 3)
-    return top_values(first.select(F.get("w", F.lit(2)).alias("protocol")), "protocol", k)
+def text_protocol_share(df: DataFrame, text_col: str, k: int) -> DataFrame:
+    """Third word of all texts, counted; shorter texts are left out."""
+    third = F.get(F.split(text_col, r"\s+"), F.lit(2))
+    return top_values(df.select(third.alias("protocol")).where("protocol is not null"), "protocol", k)
 
 
 def label_codes(df: DataFrame, column: str, name: str = "code") -> DataFrame:

@@ -24,39 +24,25 @@ from flowvec.operators import knn as K
 from flowvec.operators.pairwise import best_pairs, compare_blocks, shared_groups, to_matrix
 from flowvec.session import fits, run_together
 
-# List count and probe count limits of the inverted-list index.
-MAX_LISTS, MAX_PROBES = 100, 10
+# Fixed value: lists that a search probes unless the caller says otherwise.
+MAX_PROBES = 10
 # Sub-vectors and bits per code of the product-quantised index.
 PQ_PARTS, PQ_BITS = 8, 8
-# Rows per centroid that are enough to train on.
-TRAIN_ROWS_PER_CENTROID = 4_096
-# Fewest training rows per code word; smaller tables get fewer words.
-MIN_ROWS_PER_WORD = 39
 
 
 def list_count(rows: int) -> int:
-    return max(1, min(MAX_LISTS, math.isqrt(rows)))
+    return max(1, math.isqrt(rows))
 
 
 def probe_count(lists: int) -> int:
     return min(MAX_PROBES, lists)
 
 
-def _training_rows(df: DataFrame, id_col: str, rows: int, wanted: int) -> DataFrame:
-    """A fixed sample that is enough for the centroids; every row is assigned later."""
-    if rows <= wanted:
-        return df
-    share = F.pmod(F.xxhash64(id_col), F.lit(1_000_003)) / 1_000_003.0
-    return df.where(share < wanted / rows)
-
-
 def train_centroids(
     df: DataFrame, k: int, id_col: str, vec_col: str, seed: int = 42, max_iter: int = 20
 ) -> np.ndarray:
-    """K-means centroids, ``k`` rows at most."""
-    rows = df.count()
-    sample = _training_rows(df, id_col, rows, k * TRAIN_ROWS_PER_CENTROID)
-    points = sample.select(array_to_vector(V.doubles(F.col(vec_col))).alias("features")).cache()
+    """K-means centroids of all rows, ``k`` at most (fewer where fewer vectors differ)."""
+    points = df.select(array_to_vector(V.doubles(F.col(vec_col))).alias("features")).cache()
     try:
         model = KMeans(k=k, seed=seed, maxIter=max_iter, initMode="random").fit(points)
         return np.array(model.clusterCenters())
@@ -196,8 +182,7 @@ def build_ivfpq(
     if dim % parts:
         raise ValueError(f"{dim} dimensions do not split into {parts} sub-vectors")
     width = dim // parts
-    rows = index.rows.count()
-    size = max(1, min(1 << bits, rows // MIN_ROWS_PER_WORD))
+    size = 1 << bits
 
     def train(part: int) -> np.ndarray:
         pieces = index.rows.select("id", F.slice("v", part * width + 1, width).alias("s"))

@@ -290,11 +290,11 @@ def _(t: Tables) -> DataFrame:
 
 @query("agg_text_protocol", """
 select split_part(x, ' ', 3) as protocol, count(*) as n
-from (select ip_src || ' ' || ip_dst || ' ' || protocol || ' ' || frame_len as x from $flows order by frame_number limit 1000)
+from (select ip_src || ' ' || ip_dst || ' ' || protocol || ' ' || frame_len as x from $flows)
 group by 1 order by n desc, protocol limit 10""")
 def _(t: Tables) -> DataFrame:
-    texts = TP.serialize_flow(t.flows, "space4").select("frame_number", "packet_text")
-    return A.text_protocol_share(texts, "packet_text", "frame_number", 1000, 10)
+    texts = TP.serialize_flow(t.flows, "space4").select("packet_text")
+    return A.text_protocol_share(texts, "packet_text", 10)
 
 
 @query("set_unique_ips", "select ip_src as ip from $flows union select ip_dst from $flows")

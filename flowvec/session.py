@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -21,7 +20,8 @@ HOT_COPIES = 32
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a fresh folder.
+    Only a local session may go without the setting; it uses a folder in its
+    warehouse, ``spark.sql.warehouse.dir``.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
-        configured = tempfile.mkdtemp(prefix="flowvec-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
     return configured
