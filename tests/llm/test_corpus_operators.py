@@ -64,7 +64,7 @@ def test_exact_groups(docs, empty, digest):
 
 def test_secrets(docs, empty):
     got = {(r.doc_id, r.spans) for r in find_secrets(docs).collect()}
-    assert (12, "assign:0:26,access:27:47,hex:48:64") in got and (8, "hex:0:900") in got
+    assert (12, "assign:0:25,access:26:46,hex:47:63") in got and (8, "hex:0:900") in got
     assert all(not spans for d, spans in got if d not in (8, 12))
     assert find_secrets(empty).collect() == []
 
