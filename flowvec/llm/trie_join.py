@@ -350,7 +350,7 @@ def _overlaps(percent: int):
         for batch in batches:
             score, linked = [], []
             for x, y in zip(batch.column("grams").to_pylist(), batch.column("other").to_pylist(), strict=True):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y or b"", np.uint64)
                 o = len(np.intersect1d(a, b, assume_unique=True))
                 score.append(o / max(1, len(a) + len(b) - o))
                 linked.append(100 * o >= percent * (len(a) + len(b) - o))
@@ -391,7 +391,7 @@ def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
 
     # The n-grams that most members have are fewer than twice the mean set.
     shared = write_table(common.groupBy("component").applyInArrow(pack, "component long, other binary"), "common-grams")
-    near = sets.join(shared, "component").mapInArrow(_overlaps(percent), shape)
+    near = sets.join(shared, "component", "left").mapInArrow(_overlaps(percent), shape)
     order = F.struct(F.col("score"), -F.col("node"), F.col("grams"))
     centre = write_table(
         near.groupBy("component").agg(F.max(order).alias("c")).select("component", (-F.col("c.col2")).alias("centre"), F.col("c.grams").alias("other")),

@@ -48,6 +48,15 @@ def test_components(spark, block):
     assert got == brute(rows)
 
 
+def test_large_group_without_common_ngrams(spark):
+    """A chain of texts, each like its neighbours only: no n-gram is in most of them, and all are one component."""
+    words = [f"w{i}" for i in range(400)]
+    chain = [(i, " ".join(words[2 * i : 2 * i + 60])) for i in range(160)]
+    apart = [(1000 + i, " ".join(words[i : i + 30] + [f"y{i}_{j}" for j in range(30)])) for i in range(0, 160, 20)]
+    got = near_duplicates(spark.createDataFrame([*chain, *apart], "doc_id long, text string"), block=4)
+    assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == brute([*chain, *apart])
+
+
 def test_empty_and_repeated_rows(spark):
     schema = "doc_id long, text string"
     assert near_duplicates(spark.createDataFrame([], schema)).collect() == []
