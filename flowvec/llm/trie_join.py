@@ -34,6 +34,8 @@ BUCKET_SIGNATURES = 2_000_000
 BLOCK = 512
 # Bits of the filter that keeps most documents without a partner out of the join.
 FILTER_BITS = 2**25
+# N-grams of a run that a probe meets before it goes on; the steps widen from there.
+HEAD = 32
 # Tells the second half of a set's 128-bit hash from the first.
 SECOND = np.uint64(0x94D049BB133111EB)
 
@@ -151,21 +153,31 @@ class Tree:
                 found += node.members
             if not node.children:
                 continue
-            # All branches at once: first by the sizes below them, then by their runs.
+            # All branches at once, by the heads of their runs first: most are left there.
             branches, runs, starts, sizes, least, most = node.branches()
             left = grams[behind:]
-            place = np.searchsorted(left, runs)
-            hit = np.zeros(len(runs) + 1, np.int64)
-            inside = place < len(left)
-            np.cumsum(inside & (left[np.minimum(place, max(0, len(left) - 1))] == runs) if len(left) else inside, out=hit[1:])
-            common = overlap + hit[starts + sizes] - hit[starts]
-            last = starts + sizes - 1
-            passed = behind + place[last] + (hit[last + 1] - hit[last])
-            below = depth + sizes
-            best = common + np.minimum(n - passed, most - below)
-            # The overlap that the smallest set below would need.
-            go = (100 + percent) * best >= percent * (n + np.maximum(least, below))
-            stack += [(branches[i], int(passed[i]), int(below[i]), int(common[i])) for i in np.flatnonzero(go)]
+            alive = np.arange(len(branches))
+            # The sizes below a branch alone may rule it out.
+            alive = alive[(100 + percent) * (overlap + np.minimum(len(left), most - depth)) >= percent * (n + least)]
+            width = HEAD
+            while len(alive):
+                take = np.minimum(sizes[alive], width)
+                ends = np.cumsum(take)
+                run = runs[np.repeat(starts[alive] - ends + take, take) + np.arange(ends[-1])]
+                place = np.searchsorted(left, run)
+                hit = np.zeros(len(run) + 1, np.int64)
+                inside = place < len(left)
+                np.cumsum(inside & (left[np.minimum(place, len(left) - 1)] == run) if len(left) else inside, out=hit[1:])
+                common = overlap + hit[ends] - hit[ends - take]
+                passed = behind + place[ends - 1] + (hit[ends] - hit[ends - 1])
+                below = depth + take
+                best = common + np.minimum(n - passed, most[alive] - below)
+                # The overlap that the smallest set below would need.
+                go = np.flatnonzero((100 + percent) * best >= percent * (n + np.maximum(least[alive], below)))
+                done = (take == sizes[alive])[go]
+                stack += [(branches[alive[i]], int(passed[i]), int(below[i]), int(common[i])) for i in go[done]]
+                alive = alive[go[~done]]
+                width *= 4
         return found
 
     def branches(self) -> tuple:
@@ -344,20 +356,25 @@ def _cell_links(percent: int):
 
 
 def _overlaps(percent: int):
-    """The similarity of each row's set to another set in the row, and whether they are linked."""
+    """The similarity of each row's set to another set in the row, whether they are linked, and whether they are
+    so far apart that no set linked with the other can be linked with this one (null counts as the empty set).
+    """
 
     def run(batches):
         for batch in batches:
-            score, linked = [], []
+            score, linked, far = [], [], []
             for x, y in zip(batch.column("grams").to_pylist(), batch.column("other").to_pylist(), strict=True):
                 a, b = np.frombuffer(x, np.uint64), np.frombuffer(y or b"", np.uint64)
                 o = len(np.intersect1d(a, b, assume_unique=True))
-                score.append(o / max(1, len(a) + len(b) - o))
-                linked.append(100 * o >= percent * (len(a) + len(b) - o))
+                union = len(a) + len(b) - o
+                score.append(o / max(1, union))
+                linked.append(100 * o >= percent * union)
+                # The Jaccard distance is a metric: beyond twice the distance of a link.
+                far.append(100 * o < (2 * percent - 100) * union)
             kept = [batch.column(c) for c in ("component", "node", "grams")]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(score, pa.float64()), pa.array(linked, pa.bool_())],
-                names=["component", "node", "grams", "score", "linked"],
+                [*kept, pa.array(score, pa.float64()), pa.array(linked, pa.bool_()), pa.array(far, pa.bool_())],
+                names=["component", "node", "grams", "score", "linked", "far"],
             )
 
     return run
@@ -376,11 +393,12 @@ def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
 
     A group's centre is the member nearest to the n-grams that most members
     have; members linked with it are one star.  What is outside the star meets
-    all members in blocks.  Every pair that is not connected by the star is
-    compared, so no link is lost.
+    itself in blocks, and the star unless it is too far from the centre for a
+    link.  Every other pair that is not connected by the star is compared, so no
+    link is lost.  Without n-grams that most members have any member is the centre.
     """
     sets = sets.select("component", "node", "grams")
-    shape = "component long, node long, grams binary, score double, linked boolean"
+    shape = "component long, node long, grams binary, score double, linked boolean, far boolean"
     counts = sets.mapInArrow(_explode_grams, "component long, gram long").groupBy("component", "gram").agg(F.count(F.lit(1)).alias("n"))
     sizes = sets.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     common = counts.join(sizes, "component").where("2 * n > members")
@@ -400,23 +418,29 @@ def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
     starred = sets.join(centre.select("component", "other"), "component").mapInArrow(_overlaps(percent), shape)
     starred = starred.join(centre.select("component", "centre"), "component")
     starred = write_table(
-        starred.select("component", "node", "grams", F.when(F.col("linked"), F.col("centre")).otherwise(F.col("node")).alias("star"), "linked"),
+        starred.select("component", "node", "grams", F.when(F.col("linked"), F.col("centre")).otherwise(F.col("node")).alias("star"), "linked", "far"),
         "stars",
     )
-    # Similar sets are of one size class or of neighbouring ones.  In a class, blocks
-    # by hash; a block of outsiders meets every block of its class and the two beside it.
+    # Similar sets are of one size class or of neighbouring ones.  In a class, blocks by
+    # hash.  A block of outsiders meets the star's blocks of its class and the two beside
+    # it, and the outsiders of its class and the next, where both sides are the same kind.
     ends = F.array(*[F.lit(int(e)) for e in size_classes(percent)])
     placed = starred.withColumn("class", F.size(F.filter(ends, lambda e: e < F.octet_length("grams") / 8)))
-    placed = placed.withColumn("h", F.pmod(F.xxhash64("node"), F.lit(2**40)))
+    placed = placed.withColumn("h", F.pmod(F.xxhash64("node"), F.lit(2**40))).withColumn("star_side", F.col("linked"))
     steps = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    probes = placed.where("not linked").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
-    blocks = placed.groupBy("component", "class").agg((F.floor(F.count(F.lit(1)) / BLOCK) + 1).alias("blocks"))
-    outer = probes.groupBy("component", "class").agg((F.floor(F.count(F.lit(1)) / (2 * BLOCK)) + 1).alias("outer"))
-    per_class = write_table(blocks.join(outer, ["component", "class"]), "class-blocks")
-    cell = ["component", "class", "node", "grams", "star"]
-    members = placed.join(per_class, ["component", "class"]).select(*cell, F.lit(0).alias("side"), (F.col("h") % F.col("blocks")).alias("x"), steps(F.col("outer")).alias("y"))
-    outside = probes.join(per_class, ["component", "class"]).select(*cell, F.lit(1).alias("side"), steps(F.col("blocks")).alias("x"), (F.col("h") % F.col("outer")).alias("y"))
-    cells = members.unionByName(outside).groupBy("component", "class", "x", "y").applyInArrow(_cell_links(percent), "a long, b long")
+    near_classes = [F.struct(F.lit(True).alias("s"), (F.col("class") + i).alias("c")) for i in (-1, 0, 1)]
+    own_classes = [F.struct(F.lit(False).alias("s"), (F.col("class") + i).alias("c")) for i in (0, 1)]
+    meets = F.explode(F.when(F.col("far"), F.array(*own_classes)).otherwise(F.array(*near_classes, *own_classes)))
+    probes = placed.where("not linked").withColumn("meets", meets)
+    probes = probes.withColumn("class", F.col("meets.c")).withColumn("star_side", F.col("meets.s"))
+    place = ["component", "star_side", "class"]
+    blocks = placed.groupBy(*place).agg((F.floor(F.count(F.lit(1)) / BLOCK) + 1).alias("blocks"))
+    outer = probes.groupBy(*place).agg((F.floor(F.count(F.lit(1)) / (2 * BLOCK)) + 1).alias("outer"))
+    per_class = write_table(blocks.join(outer, place), "class-blocks")
+    cell = [*place, "node", "grams", "star"]
+    members = placed.join(per_class, place).select(*cell, F.lit(0).alias("side"), (F.col("h") % F.col("blocks")).alias("x"), steps(F.col("outer")).alias("y"))
+    outside = probes.join(per_class, place).select(*cell, F.lit(1).alias("side"), steps(F.col("blocks")).alias("x"), (F.col("h") % F.col("outer")).alias("y"))
+    cells = members.unionByName(outside).groupBy(*place, "x", "y").applyInArrow(_cell_links(percent), "a long, b long")
     return starred.where("linked").select(F.col("node").alias("a"), F.col("star").alias("b")).unionByName(cells)
 
 
