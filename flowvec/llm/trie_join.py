@@ -14,7 +14,9 @@ hold near copies; a group too large for one task is joined in blocks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -27,8 +29,10 @@ from flowvec.llm.components import components
 from flowvec.llm.wordhash import hash_words, in_groups, mix
 
 WORDS, PERCENT = 4, 85
-# Parts beyond those that may differ, against parts that are empty.
+# Parts beyond those that may differ, against parts that are empty, and the mean
+# number of empty parts from which on a size class gets more.
 SPARE = 3
+FEW_EMPTY = 6
 # Signatures of a task that looks for equal ones, and sets of a task that joins.
 BUCKET_SIGNATURES = 2_000_000
 BLOCK = 512
@@ -74,7 +78,28 @@ def size_classes(percent: int, most: int = 2**40) -> np.ndarray:
     return np.array(ends, np.int64)
 
 
-def signatures(grams: np.ndarray, ends: np.ndarray, percent: int, spare: int = SPARE) -> np.ndarray:
+@cache
+def class_parts(percent: int, size_class: int) -> tuple[int, int, bool]:
+    """Parts of a size class, how many of its empty parts need no signature, and whether more give one signature.
+
+    Small classes have few empty parts and sign their choices.  The choices would
+    grow with a power of the size; large classes get so many spare parts that a
+    set with more empty ones is rare, and such sets share one signature.
+    """
+    ends = size_classes(percent)
+    differing = (100 - percent) * 2 * int(ends[size_class]) // (100 + percent)
+    least = int(ends[size_class - 2]) + 1 if size_class > 1 else 1
+    empty = lambda parts: parts * math.exp(-least / parts)
+    spare = SPARE
+    if not differing or empty(differing + spare + 1) <= FEW_EMPTY:
+        return differing and differing + spare + 1, spare, False
+    for _ in range(8):
+        mean = empty(differing + spare + 1)
+        spare = SPARE + math.ceil(mean + 6 * math.sqrt(mean))
+    return differing + spare + 1, spare, True
+
+
+def signatures(grams: np.ndarray, ends: np.ndarray, percent: int) -> np.ndarray:
     """Signatures of one set, under its own size class and the next.
 
     Sets a and b with 100 |a & b| >= percent |a | b| differ in at most
@@ -86,10 +111,9 @@ def signatures(grams: np.ndarray, ends: np.ndarray, percent: int, spare: int = S
     found = []
     spread = mix(grams)
     for size_class in (own, own + 1):
-        differing = (100 - percent) * 2 * int(ends[size_class]) // (100 + percent)
-        if not differing:
+        parts, spare, shared = class_parts(percent, size_class)
+        if not parts:
             continue
-        parts = differing + spare + 1
         part = ((grams >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         order = np.argsort(part, kind="stable")
         part = part[order]
@@ -98,6 +122,9 @@ def signatures(grams: np.ndarray, ends: np.ndarray, percent: int, spare: int = S
         salt = mix(np.array([size_class], np.uint64))
         found.append(mix(sums + salt + mix(part[first] + salt)))
         if parts - len(first) > spare:
+            if shared:
+                found.append(mix(salt))
+                continue
             empty = np.setdiff1d(np.arange(parts), part[first].astype(np.int64))
             chosen = np.array(list(combinations(empty.tolist(), spare + 1)), np.uint64)
             code = np.full(len(chosen), salt[0], np.uint64)

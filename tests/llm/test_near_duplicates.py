@@ -85,6 +85,22 @@ def test_signatures_lose_no_pair():
             assert np.intersect1d(signatures(a, ends, 85), signatures(b, ends, 85)).size
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_signatures_of_long_sets(percent):
+    """Few signatures for very long sets, and still no pair lost, whatever the share of empty parts."""
+    random = np.random.default_rng(9)
+    ends = size_classes(percent)
+    for n in [900, 5_000, 40_000, 300_000]:
+        a = np.unique(random.integers(0, 2**64, n, dtype=np.uint64))
+        most = (100 - percent) * 2 * len(a) // (100 + percent)
+        b = np.concatenate([a[most // 2 :], random.integers(0, 2**64, most - most // 2 - n // 400, dtype=np.uint64)])
+        b = np.unique(b)
+        o = len(np.intersect1d(a, b))
+        assert 100 * o >= percent * (len(a) + len(b) - o)
+        sa, sb = signatures(a, ends, percent), signatures(b, ends, percent)
+        assert np.intersect1d(sa, sb).size and len(sa) < n
+
+
 def test_tree_finds_all():
     random = np.random.default_rng(1)
     sets = [np.unique(random.integers(0, 60, random.integers(1, 40)).astype(np.uint64)) for _ in range(150)]
