@@ -1,9 +1,10 @@
 """Near duplicates by word n-grams: a prefix-tree join of globally ordered n-gram sets.
 
-Sets are sorted by the hash of their n-grams, which is one order for all.  The
-join inserts them into a tree of shared runs; a probe carries the overlap found
-so far down the tree, so that sets with a common run share the work, and leaves
-a branch once the n-grams that remain cannot lift the overlap to the threshold.
+The sets of a task are sorted by how rare their n-grams are there, which is one
+order for all.  The join inserts them into a tree of shared runs; a probe enters
+the branches that share one of its rarest n-grams, carries the overlap found so
+far down the tree, so that sets with a common run share the work, and leaves a
+branch once the n-grams that remain cannot lift the overlap to the threshold.
 
 Sets that may be similar meet in one task by signatures that lose no pair: two
 sets at Jaccard ``t`` differ in at most ``d`` n-grams, so if the n-grams are dealt
@@ -36,6 +37,8 @@ FEW_EMPTY = 6
 # Signatures of a task that looks for equal ones, and sets of a task that joins.
 BUCKET_SIGNATURES = 2_000_000
 BLOCK = 512
+# N-grams of a block of a large group, and the least sets of a block.
+BLOCK_GRAMS, BLOCK_SETS = 1_000_000, 64
 # Bits of the filter that keeps most documents without a partner out of the join.
 FILTER_BITS = 2**25
 # N-grams of a run that a probe meets before it goes on; the steps widen from there.
@@ -137,14 +140,16 @@ def signatures(grams: np.ndarray, ends: np.ndarray, percent: int) -> np.ndarray:
 class Tree:
     """A prefix tree of sorted sets; a node holds a run of n-grams and the sizes of the sets below it."""
 
-    __slots__ = ("run", "children", "members", "least", "most", "flat")
+    __slots__ = ("run", "children", "members", "least", "most", "flat", "sets", "heads")
 
     def __init__(self, run: np.ndarray):
         self.run, self.children, self.members, self.flat = run, {}, [], None
         self.least, self.most = 2**62, 0
+        self.sets, self.heads = [], None
 
     def insert(self, grams: np.ndarray, member: int) -> None:
         node, at = self, 0
+        self.sets.append(grams)
         while True:
             node.least, node.most = min(node.least, len(grams)), max(node.most, len(grams))
             if at == len(grams):
@@ -183,9 +188,9 @@ class Tree:
             # All branches at once, by the heads of their runs first: most are left there.
             branches, runs, starts, sizes, least, most = node.branches()
             left = grams[behind:]
-            alive = np.arange(len(branches))
+            alive = self.entered(grams, percent) if node is self else np.arange(len(branches))
             # The sizes below a branch alone may rule it out.
-            alive = alive[(100 + percent) * (overlap + np.minimum(len(left), most - depth)) >= percent * (n + least)]
+            alive = alive[(100 + percent) * (overlap + np.minimum(len(left), most[alive] - depth)) >= percent * (n + least[alive])]
             width = HEAD
             while len(alive):
                 take = np.minimum(sizes[alive], width)
@@ -207,6 +212,26 @@ class Tree:
                 width *= 4
         return found
 
+    def entered(self, grams: np.ndarray, percent: int) -> np.ndarray:
+        """Branches of the root that may hold a similar set.
+
+        Similar sets share one of the first n - ceil(t n) + 1 n-grams of each, in
+        the order of the tree.
+        """
+        if self.heads is None:
+            heads = [g[: prefix(len(g), percent)] for g in self.sets if len(g)]
+            first = np.repeat(np.array([h[0] for h in heads], np.uint64), [len(h) for h in heads])
+            gram = np.concatenate(heads)
+            order = np.argsort(gram, kind="stable")
+            keys = np.fromiter(self.children, np.uint64, len(self.children))
+            at = np.argsort(keys)
+            self.heads = gram[order], at[np.searchsorted(keys[at], first[order])]
+        gram, branch = self.heads
+        mine = grams[: prefix(len(grams), percent)]
+        low, high = np.searchsorted(gram, mine, "left"), np.searchsorted(gram, mine, "right")
+        n = high - low
+        return np.unique(branch[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())])
+
     def branches(self) -> tuple:
         """The children, their runs one after the other, and the sizes below them."""
         if self.flat is None:
@@ -219,6 +244,20 @@ class Tree:
         return self.flat
 
 
+def prefix(n: int, percent: int) -> int:
+    return n - -(-percent * n // 100) + 1
+
+
+def by_rarity(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """The sets as sorted ranks of their n-grams, the rarest of all the sets first."""
+    if not sets:
+        return []
+    grams, at, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(grams), np.uint64)
+    rank[np.argsort(n, kind="stable")] = np.arange(len(grams), dtype=np.uint64)
+    return [np.sort(s) for s in np.split(rank[at], np.cumsum([len(s) for s in sets])[:-1])]
+
+
 def join_sets(sets: list[np.ndarray], percent: int) -> list[int]:
     """For each set the first set of its component, sets being linked at the threshold."""
     parent = list(range(len(sets)))
@@ -229,7 +268,7 @@ def join_sets(sets: list[np.ndarray], percent: int) -> list[int]:
             i = parent[i]
         return i
 
-    tree = Tree(np.zeros(0, np.uint64))
+    tree, sets = Tree(np.zeros(0, np.uint64)), by_rarity(sets)
     for i, grams in enumerate(sets):
         tree.insert(grams, i)
     for i, grams in enumerate(sets):
@@ -363,19 +402,19 @@ def _cell_links(percent: int):
     """Joins a block of outsiders with a block of members: links between documents not yet connected."""
 
     def work(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        tree, members, linked = Tree(np.zeros(0, np.uint64)), [], []
-        for r in rows:
-            if r["side"] == 0:
-                tree.insert(np.frombuffer(r["grams"], np.uint64), len(members))
-                members.append(r)
-        for r in rows:
-            if r["side"] == 1:
-                seen = {r["star"]}
-                for j in tree.similar(np.frombuffer(r["grams"], np.uint64), percent):
-                    if members[j]["star"] not in seen:
-                        seen.add(members[j]["star"])
-                        linked.append((r["node"], members[j]["node"]))
+        side, node, star = (table[c].to_pylist() for c in ("side", "node", "star"))
+        tree, linked = Tree(np.zeros(0, np.uint64)), []
+        sets = by_rarity([np.frombuffer(g, np.uint64) for g in table["grams"].to_pylist()]) if 0 < sum(side) < len(side) else []
+        for i, grams in enumerate(sets):
+            if side[i] == 0:
+                tree.insert(grams, i)
+        for i, grams in enumerate(sets):
+            if side[i] == 1:
+                seen = {star[i]}
+                for j in tree.similar(grams, percent):
+                    if star[j] not in seen:
+                        seen.add(star[j])
+                        linked.append((node[i], node[j]))
         a, b = zip(*linked, strict=True) if linked else ([], [])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -461,13 +500,19 @@ def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
     probes = placed.where("not linked").withColumn("meets", meets)
     probes = probes.withColumn("class", F.col("meets.c")).withColumn("star_side", F.col("meets.s"))
     place = ["component", "star_side", "class"]
-    blocks = placed.groupBy(*place).agg((F.floor(F.count(F.lit(1)) / BLOCK) + 1).alias("blocks"))
-    outer = probes.groupBy(*place).agg((F.floor(F.count(F.lit(1)) / (2 * BLOCK)) + 1).alias("outer"))
+    # The larger the sets of a class, the fewer a block holds.
+    held = F.greatest(F.lit(BLOCK_SETS), F.floor(F.lit(BLOCK_GRAMS) / F.get(ends, F.col("class"))))
+    blocks = placed.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.floor(F.col("n") / held) + 1).drop("n")
+    outer = probes.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).withColumn("outer", F.floor(F.col("n") / held) + 1).drop("n")
     per_class = write_table(blocks.join(outer, place), "class-blocks")
+    tasks = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(tasks, per_class.agg(F.coalesce(F.sum(F.col("blocks") * F.col("outer")), F.lit(0))).first()[0] // 4)
     cell = [*place, "node", "grams", "star"]
     members = placed.join(per_class, place).select(*cell, F.lit(0).alias("side"), (F.col("h") % F.col("blocks")).alias("x"), steps(F.col("outer")).alias("y"))
     outside = probes.join(per_class, place).select(*cell, F.lit(1).alias("side"), steps(F.col("blocks")).alias("x"), (F.col("h") % F.col("outer")).alias("y"))
-    cells = members.unionByName(outside).groupBy(*place, "x", "y").applyInArrow(_cell_links(percent), "a long, b long")
+    # By number, so that small but slow cells are not put together in few tasks.
+    met = members.unionByName(outside).repartition(int(tasks), *place, "x", "y")
+    cells = met.groupBy(*place, "x", "y").applyInArrow(_cell_links(percent), "a long, b long")
     return starred.where("linked").select(F.col("node").alias("a"), F.col("star").alias("b")).unionByName(cells)
 
 
