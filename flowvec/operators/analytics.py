@@ -78,7 +78,7 @@ def _placed(df: DataFrame, port: str, order: str) -> DataFrame:
 
 
 def port_recurrence(df: DataFrame, port: str, order: str) -> DataFrame:
-    """Gaps between consecutive rows of each port that occurs more than once.
+    """Gaps between consecutive rows of each port that occurs more than once, the most frequent first.
 
     Gaps are taken inside position buckets and then between the buckets of a
     port, so even a port that holds most rows is never gathered in one task.
@@ -119,7 +119,7 @@ def port_recurrence(df: DataFrame, port: str, order: str) -> DataFrame:
     gaps = F.col("frequency") - 1
     total = F.col("last_position") - F.col("first_position")
     spread = gaps * F.col("squares") - total.cast(exact) * total
-    return ports.select(
+    return ports.orderBy(F.desc("frequency"), "port").select(
         "port",
         "frequency",
         (total / gaps).alias("avg_distance"),

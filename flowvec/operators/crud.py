@@ -38,14 +38,22 @@ def latest(changes: DataFrame, key: str, seq: str) -> DataFrame:
     return changes.groupBy(key).agg(last).select(key, "_last.*")
 
 
+def _each_once(changes: DataFrame, key: str) -> None:
+    """A repeated id would double rows of the state; :func:`latest` keeps one change of each."""
+    if changes.groupBy(key).count().where("count > 1").limit(1).count():
+        raise ValueError(f"changes have a repeated {key}")
+
+
 def upsert(state: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Replace rows whose id exists and add the others; ``changes`` has each id once."""
+    """Replace rows whose id exists and add the others; ``changes`` has each id once, or it raises."""
+    _each_once(changes, key)
     ids = _maybe_broadcast(changes.select(key))
     return state.join(ids, key, "left_anti").unionByName(changes.select(*state.columns))
 
 
 def update_by_ids(state: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Set the columns of ``changes`` on the rows with its ids; null keeps the old value."""
+    """Set the columns of ``changes`` on the rows with its ids, each once; null keeps the old value."""
+    _each_once(changes, key)
     columns = [c for c in changes.columns if c != key]
     renamed = changes.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = state.join(_maybe_broadcast(renamed), key, "left")

@@ -29,11 +29,20 @@ DEFAULT_TEXT = "empty"
 ROWS_PER_TRAINER, MAX_TRAINERS = 20_000, 1_024
 
 
-def embed(df: DataFrame, text_col: str, load: Callable[[], Encoder], name: str = "embedding"):
+def embed(
+    df: DataFrame,
+    text_col: str,
+    load: Callable[[], Encoder],
+    name: str = "embedding",
+    on_error: str = "raise",
+):
     """Apply a user's encoder to Arrow batches; ``load`` runs once per worker.
 
-    A batch the encoder fails on gets null vectors; see :func:`fill_failed`.
+    A batch the encoder fails on ends the job, or with ``on_error="null"`` gets
+    null vectors; see :func:`fill_failed`.
     """
+    if on_error not in ("raise", "null"):
+        raise ValueError("on_error is 'raise' or 'null'")
 
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -43,6 +52,8 @@ def embed(df: DataFrame, text_col: str, load: Callable[[], Encoder], name: str =
                 vectors = np.asarray(encoder(texts.fillna("").tolist()), dtype=np.float32)
                 yield pd.Series(list(vectors))
             except Exception:  # the hook is user code: any failure marks the batch
+                if on_error == "raise":
+                    raise
                 yield pd.Series([None] * len(texts))
 
     return df.withColumn(name, encode(F.col(text_col)))

@@ -26,10 +26,13 @@ BLOCK_ROWS = 8_192
 
 
 def to_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """A list column of equal lengths as a two-dimensional array of doubles."""
+    """A list column of equal lengths as a two-dimensional array of doubles; null or other lengths raise."""
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if len(flat) == 0:
         return np.zeros((0, 0))
+    widths = pc.list_value_length(flat)
+    if widths.null_count or pc.min(widths).as_py() != pc.max(widths).as_py():
+        raise ValueError("vectors must be there and of one length")
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
 

@@ -77,9 +77,23 @@ def lookup_join(
     A small ``right`` is broadcast after its size is checked.  Otherwise the
     most frequent keys of ``left`` are spread over ``HOT_COPIES`` salts and the
     matching ``right`` rows copied to each, so no task gets a whole hot key.
+    Rows with a null key pass a left join by.
     """
     if fits(right, max_rows):
         return left.join(F.broadcast(right), on, how)
+    if how == "left":
+        # A null key matches nothing; left in the join all its rows would meet in one task.
+        absent = F.lit(False)
+        for name in on:
+            absent = absent | F.col(name).isNull()
+        added = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns if c not in on]
+        rest = [c for c in left.columns if c not in on]
+        matched = _salted_join(left.where(~absent), right, on, how)
+        return matched.unionByName(left.where(absent).select(*on, *rest, *added))
+    return _salted_join(left, right, on, how)
+
+
+def _salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
     hot = F.broadcast(hot_keys(left, on).withColumn("_hot", F.lit(True)))
     # The salt hashes the row itself, so a task that runs again places it alike.
     row_salt = F.pmod(F.xxhash64(*left.columns), F.lit(HOT_COPIES)).cast("int")

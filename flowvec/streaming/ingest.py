@@ -20,7 +20,12 @@ def read_capture_stream(spark: SparkSession, folder: str, files_per_trigger: int
     )
 
 
-def ingest(stream: DataFrame, target: str, state: str) -> StreamingQuery:
+def _trigger(every: str | None) -> dict:
+    """All that has landed, or a batch ``every`` so often until the query is stopped."""
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
+def ingest(stream: DataFrame, target: str, state: str, every: str | None = None) -> StreamingQuery:
     """Normalise capture records and append them; exactly once through the file sink."""
     return (
         normalize_capture(stream)
@@ -28,12 +33,14 @@ def ingest(stream: DataFrame, target: str, state: str) -> StreamingQuery:
         .option("path", target)
         .option("checkpointLocation", state)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )
 
 
-def ingest_bounded(stream: DataFrame, target: str, state: str, packets: int) -> StreamingQuery:
+def ingest_bounded(
+    stream: DataFrame, target: str, state: str, packets: int, every: str | None = None
+) -> StreamingQuery:
     """As :func:`ingest`, but stop storing after ``packets`` records.
 
     Each batch goes to its own folder, so a replayed batch overwrites itself,
@@ -52,13 +59,13 @@ def ingest_bounded(stream: DataFrame, target: str, state: str, packets: int) ->
         normalize_capture(stream)
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", state)
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )
 
 
 def embed_upsert(
-    stream: DataFrame, target: str, state: str, text: str, dim: int
+    stream: DataFrame, target: str, state: str, text: str, dim: int, every: str | None = None
 ) -> StreamingQuery:
     """Embed each record and store it for upsert; the last batch wins per key.
 
@@ -73,7 +80,7 @@ def embed_upsert(
     return (
         embedded.writeStream.foreachBatch(store)
         .option("checkpointLocation", state)
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )
 

@@ -10,6 +10,7 @@ from flowvec.functions import cleaning as C
 from flowvec.functions import templates as TP
 from flowvec.functions import vectors as V
 from flowvec.operators import analytics as A
+from flowvec.operators import crud
 from flowvec.operators import text as T
 from flowvec.session import lookup_join
 from flowvec.sources import flows as S
@@ -209,6 +210,23 @@ def test_lookup_join_with_a_hot_key(spark):
         )
 
 
+def test_lookup_join_keeps_rows_with_null_keys(spark):
+    left = spark.createDataFrame([(i, None if i % 10 else f"k{i}") for i in range(600)], "id int, k string")
+    right = spark.createDataFrame([(f"k{i}", i) for i in range(600)], "k string, v int")
+    found = lookup_join(left, right, ["k"], max_rows=10).select("id", "k", "v").collect()
+    assert sorted(found, key=lambda r: r.id) == [
+        (i, None, None) if i % 10 else (i, f"k{i}", i) for i in range(600)
+    ]
+
+
+def test_changes_with_a_repeated_id_raise(spark):
+    state = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    changes = spark.createDataFrame([(1, "c"), (1, "d")], "id int, v string")
+    for change in (crud.upsert, crud.update_by_ids):
+        with pytest.raises(ValueError, match="repeated id"):
+            change(state, changes, "id")
+
+
 def recurrence_by_hand(ports):
     places = {}
     for i, p in enumerate(ports):

@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from flowvec.operators import embedding as M
 from flowvec.operators import evaluation as E
 from flowvec.operators import knn as K
 from flowvec.operators import positions as P
+from flowvec.operators.pairwise import to_matrix
 from flowvec.streaming import ingest as I
 
 N, DIM = 240, 8
@@ -262,6 +264,12 @@ def test_pca_has_the_leading_variances(table, points):
     assert found == pytest.approx(leading, rel=1e-5)
 
 
+def test_vectors_of_different_widths_raise():
+    for rows in ([[1.0], [2.0, 3.0, 4.0]], [[1.0, 2.0], None, [3.0, 4.0, 5.0, 6.0]]):
+        with pytest.raises(ValueError, match="one length"):
+            to_matrix(pa.array(rows, pa.list_(pa.float64())))
+
+
 # --- embeddings -------------------------------------------------------------
 
 
@@ -273,7 +281,9 @@ def test_encoder_failures_become_zero_vectors(spark):
         return encode
 
     df = spark.createDataFrame([(1, "a"), (2, " ")], "id int, t string")
-    filled = M.fill_failed(M.embed(df, "t", load), "embedding", 4).collect()
+    with pytest.raises(Exception, match="model is away"):
+        M.embed(df, "t", load).collect()
+    filled = M.fill_failed(M.embed(df, "t", load, on_error="null"), "embedding", 4).collect()
     assert all(not r.valid and r.embedding == [0.0] * 4 for r in filled)
     texts = [r[0] for r in df.orderBy("id").select(M.text_or_default(F.col("t"))).collect()]
     assert texts == ["a", M.DEFAULT_TEXT]
