@@ -82,17 +82,25 @@ LOOKALIKES = dict(
 INVISIBLE = "​‌‍⁠﻿­"
 DIGITS = {w: str(d) for d, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
 WORD = "(?:" + "|".join(DIGITS) + ")"
-# Seven spelled digits in a row, so that numbers in prose stay words.
-SPELLED = rf"\b(?:plus[\x20-]+)?{WORD}(?:[\x20,-]+{WORD}){{6,}}\b"
 OPEN, SHUT = r"[\[({{<]\x20*", r"\x20*[\])}}>]"
 OPEN, SHUT = OPEN.replace("{{", "{"), SHUT.replace("}}", "}")
 AT = rf"\x20*{OPEN}(?:at|@){SHUT}\x20*|(?<=[a-z0-9])\x20+at\x20+(?=[a-z0-9-]+(?:\x20+dot\x20+|\x20*{OPEN}(?:dot|\.){SHUT}\x20*|\.)[a-z0-9-])"
 DOT = rf"\x20*{OPEN}(?:dot|\.){SHUT}\x20*|(?<=[a-z0-9])\x20+dot\x20+(?=[a-z0-9])"
+SEP = r"[\x20,-]+"
+POINT = rf"\x20*{OPEN}(?:dot|\.){SHUT}\x20*|\x20+dot\x20+"
+NUMBER = rf"\b(?:{WORD}|[0-9]++)\b"
+# A whole run of spelled and plain digits; spelled_run() decides what of it is rewritten.
+SPELLED = rf"(?:\bplus[\x20-]+|\+\x20*)?{NUMBER}(?:(?:{POINT}|\.|{SEP}){NUMBER})*"
 FOREIGN = "".join(LOOKALIKES) + INVISIBLE + "！-～\U0001d400-\U0001d7ff"
 RULES = re.compile(rf"(?P<spelled>{SPELLED})|(?P<at>{AT})|(?P<dot>{DOT})|(?P<glyph>[{FOREIGN}])", re.I)
 GLYPH = re.compile(f"[{FOREIGN}]")
-HINT = re.compile(rf"\bdot\b|[\[({{<]\x20*(?:at|dot|@|\.)\x20*[\])}}>]|{WORD}(?:[\x20,-]+{WORD}){{6}}", re.I)
-DIGIT_WORD = re.compile(WORD, re.I)
+# Read on the case-folded text: something of whatever RULES rewrites, so that no text with a disguise is passed by.
+HINT = re.compile(
+    rf"dot|[\[({{<]\x20*(?:at|@|\.)\x20*[\])}}>]|\x20at\x20+[a-z0-9-]+\.[a-z0-9-]|{WORD}(?:{SEP}{WORD}){{6}}"
+    rf"|{WORD}(?:\.{WORD}|(?:\.|{SEP})[0-9])|[0-9](?:\.|{SEP}){WORD}"
+)
+RUN_PART = re.compile(rf"(?P<plus>\A(?:plus[\x20-]+|\+\x20*))|(?P<word>{WORD})|(?P<number>[0-9]+)|(?P<dot>{POINT}|\.)|(?P<sep>{SEP})", re.I)
+LONE_WORD = re.compile(rf"{SEP}{WORD}|{WORD}{SEP}", re.I)
 
 
 @lru_cache(maxsize=4096)
@@ -104,13 +112,39 @@ def plain_glyph(c: str) -> str:
     return LOOKALIKES.get(form, form) if len(form) == 1 else c
 
 
+def spelled_run(run: str) -> list[tuple[str, int, int]]:
+    """What a run of spelled and plain digits stands for, with source spans; empty if it stays.
+
+    Spelled digits count where a plus, a point or plain digits join them, or
+    seven stand in a row; fewer alone are numbers in prose.
+    """
+    found = [(m.lastgroup, *m.span()) for m in RUN_PART.finditer(run)]
+    kinds = [kind for kind, _, _ in found]
+    words = kinds.count("word")
+    if words < 7 and not {"plus", "dot", "number"} & set(kinds):
+        return []
+    if not words and not any(kind == "dot" and y - x > 1 for kind, x, y in found):
+        return []
+    out = []
+    for i, (kind, x, y) in enumerate(found):
+        if kind == "word":
+            out.append((DIGITS[run[x:y].casefold()], x, y))
+        elif kind == "dot":
+            out.append((".", x, y))
+        elif kind == "plus" and words:
+            out.append(("+", x, x + len(run[x:y].rstrip(" -"))))
+        elif kind != "sep" or "word" not in kinds[i - 1 : i + 2]:
+            out += [(run[c], c, c + 1) for c in range(x, y)]
+    return out
+
+
 def transduce(text: str) -> tuple[str, list[int], list[int]] | None:
     """The text without disguises, with the source start and end of each of its characters.
 
     None if nothing is disguised.
     """
     glyphs = None if text.isascii() else GLYPH.search(text)
-    if not glyphs and not HINT.search(text):
+    if not glyphs and not HINT.search(text.casefold()):
         return None
     if glyphs:
         # Letters first, so that a disguised word is still a word for the rules below.
@@ -127,9 +161,9 @@ def transduce(text: str) -> tuple[str, list[int], list[int]] | None:
     for m in RULES.finditer(text):
         a, b = m.span()
         if m["spelled"]:
-            parts = [(DIGITS[w[0].lower()], a + w.start(), a + w.end()) for w in DIGIT_WORD.finditer(m[0])]
-            if m[0][:4].lower() == "plus":
-                parts.insert(0, ("+", a, a + 4))
+            parts = [(p, a + x, a + y) for p, x, y in spelled_run(m[0])]
+            if not parts:
+                continue
         elif m["at"] or m["dot"]:
             parts = [("@" if m["at"] else ".", a, b)]
         else:
@@ -164,8 +198,13 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
         source = starts[a], ends[b - 1]
         if text[source[0] : source[1]] == plain[a:b]:
             continue  # as in the source: the plain finders have judged it
-        if not any(x <= source[0] and source[1] <= y for x, y in known.get(kind, ())):
-            more.append((kind, *source))
+        near = known.get(kind, ())
+        if any(x <= source[0] and source[1] <= y for x, y in near):
+            continue
+        # A whole number beside a lone digit word ("+49 30 1234567 one of us") ends before the word.
+        if any(source[0] <= x and y <= source[1] and LONE_WORD.fullmatch(text[source[0] : x] + text[y : source[1]]) for x, y in near):
+            continue
+        more.append((kind, *source))
     return base, more
 
 

@@ -243,6 +243,26 @@ def test_disguises(text, base, more):
     assert not more or more[0] not in masked(text)
 
 
+@pytest.mark.parametrize(
+    "disguise",
+    [
+        "john at example.com", "JOHN AT EXAMPLE.COM", "john at example dot com", "john at example [.] com", "john [at] example.com", "john (@) example.com",
+        "john@example dot com", "john@example(dot)com", "one nine two dot one six eight dot zero dot one", "192 dot 168 dot 0 dot 1",
+        "one nine two.168.zero.one", "192.168.zero dot 1", "plus one four one five 555 0199", "+1 415 five five five 0199", "+one four one five 555 0199",
+        "plus four nine three zero one two three four five", "four one one one 1111 1111 one one one one",
+    ],
+)
+def test_each_disguise_alone(disguise):
+    text = f"we wrote to {disguise} yesterday"
+    assert [text[a:b] for _, a, b in all_spans(text)[1]] == [disguise] and disguise not in masked(text)
+    assert [r[1:] for r in all_spans(f"{text} (dot)")[1]] == [r[1:] for r in all_spans(text)[1]]
+
+
+@pytest.mark.parametrize("text", ["call +49 30 1234567 one of us answers", "one two or 3 four", "at 5.30 at noon. one.", "ip 10.0.0.1 one"])
+def test_numbers_in_prose_stay(text):
+    assert all_spans(text)[1] == []
+
+
 def test_quality(docs, empty):
     rows = quality(docs).collect()
     got = {r.doc_id: r for r in rows}
