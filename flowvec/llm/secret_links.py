@@ -35,7 +35,8 @@ STRONG = {
 }
 WEAK = {
     "id": (
-        r"(?:[Cc]lient|[Aa]ccount|[Aa]ccess|[Uu]ser|[Ll]ogin|[Tt]enant)[_-]?(?:[Kk]ey[_-]?)?(?:[Ii][Dd]|[Nn]ame)"
+        r"(?:[Cc][Ll][Ii][Ee][Nn][Tt]|[Aa][Cc][Cc][Oo][Uu][Nn][Tt]|[Aa][Cc][Cc][Ee][Ss][Ss]|[Uu][Ss][Ee][Rr]"
+        r"|[Ll][Oo][Gg][Ii][Nn]|[Tt][Ee][Nn][Aa][Nn][Tt])[_-]?(?:[Kk][Ee][Yy][_-]?)?(?:[Ii][Dd]|[Nn][Aa][Mm][Ee])"
         r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9._@-]+)",
         3,
         "id",
@@ -49,7 +50,8 @@ WEAK = {
         ("=", ":"),
     ),
     "endpoint": (
-        r"((?:https?|wss?|amqps?|postgres(?:ql)?|mysql|mongodb|redis|s?ftp)://[A-Za-z0-9][A-Za-z0-9._~:/?#@%&=+-]*)",
+        r"((?:[Hh][Tt][Tt][Pp][Ss]?|[Ww][Ss][Ss]?|[Aa][Mm][Qq][Pp][Ss]?|[Pp][Oo][Ss][Tt][Gg][Rr][Ee][Ss](?:[Qq][Ll])?|[Mm][Yy][Ss][Qq][Ll]"
+        r"|[Mm][Oo][Nn][Gg][Oo][Dd][Bb]|[Rr][Ee][Dd][Ii][Ss]|[Ss]?[Ff][Tt][Pp])://[A-Za-z0-9][A-Za-z0-9._~:/?#@%&=+-]*)",
         8,
         "place",
         ("://",),

@@ -77,6 +77,14 @@ def test_secrets_link_weak_parts(spark):
     assert kinds == {0: ["id", "key"], 1: [], 2: [], 3: [], 4: ["endpoint", "id", "key"], 5: []}
 
 
+def test_secrets_link_in_either_case(spark):
+    texts = ["CLIENT_ID=abc PWD=abc123", "USER_NAME=bob TOKEN: abc123", "ACCOUNT_ID: 77x KEY=abc123", "TENANT-KEY-ID=abc Pwd=abc123", "LoginName: bob pwd: abc123",
+             "HTTPS://DB.EXAMPLE.COM/x ACCESS_KEY_ID=bob PWD=abc123", "CLIENT_ID=abc", "PWD=abc123"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",") if s] for r in find_secrets(rows).collect()}
+    assert kinds == {**{i: ["id", "key"] for i in range(5)}, 5: ["endpoint", "id", "key"], 6: [], 7: []}
+
+
 def encoded(text):
     tokenizer = Tokenizer.from_file(tokenizer_path())
     ids = tokenizer.encode(text or "", add_special_tokens=False).ids
