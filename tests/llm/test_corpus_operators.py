@@ -159,6 +159,57 @@ def test_best_fit_takes_the_smallest_room():
     assert RoomTree(8).take(3) is None
 
 
+def test_packing_finds_related_documents_all_over_the_table(spark, monkeypatch):
+    import flowvec.llm.retrieval_packing as packing
+
+    random = np.random.default_rng(6)
+    topics, each = 12, 40
+    names = [["".join(random.choice(list("bdfgklmnprstvaeiou"), 7)) for _ in range(30)] for _ in range(topics)]
+    # Ids of a topic lie far apart; the words that all texts share are the frequent ones.
+    rows = [(i, " ".join(["the", "of", "and", *random.choice(names[i % topics], 12)])) for i in range(topics * each)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = retrieval_pack(table, row=512).collect()
+
+    def share(found):
+        by_sequence = {}
+        for r in found:
+            by_sequence.setdefault(r.sequence_id, []).append((r.doc_id % topics, r.length))
+        same = sum(max(sum(n for t, n in parts if t == topic) for topic in range(topics)) for parts in by_sequence.values())
+        return same / sum(r.length for r in found)
+
+    # Of old a table over this many tokens was searched in parts.
+    limit = "LAST_TOKENS" if hasattr(packing, "LAST_TOKENS") else "SHARD_TOKENS"
+    monkeypatch.setattr(packing, limit, sum(r.length for r in whole) // 16)
+    for block in (32_768, 8):
+        monkeypatch.setattr(packing, "BLOCK_SEEDS", block, raising=False)
+        cut = retrieval_pack(table, row=512).collect()
+        assert sorted({(r.doc_id, r.doc_tokens) for r in cut}) == sorted({(r.doc_id, r.doc_tokens) for r in whole})
+        spans = sorted((r.doc_id, r.start, r.length) for r in cut)
+        at = {}
+        for doc, start, length in spans:
+            assert start == at.get(doc, 0)
+            at[doc] = start + length
+        assert at == {r.doc_id: r.doc_tokens for r in whole}
+        places = sorted((r.sequence_id, r.offset, r.length) for r in cut)
+        assert all(b[1] == (a[1] + a[2] if a[0] == b[0] else 0) for a, b in zip(places, places[1:]))
+        assert share(cut) > 0.8, (share(cut), share(whole))
+
+
+def test_best_seed_against_brute_force():
+    from flowvec.llm.retrieval_packing import Seeds
+
+    random = np.random.default_rng(7)
+    queries = [np.unique(random.integers(0, 60, 8)).astype("<u2") for _ in range(20)]
+    docs = [np.unique(random.integers(0, 80, 12)).astype("<u2") for _ in range(50)]
+    weights = [random.random(len(d)) for d in docs]
+    seeds = Seeds(list(range(20)), [9] * 20, [q.tobytes() for q in queries])
+    doc = np.repeat(np.arange(50), [len(d) for d in docs])
+    seed, score = seeds.best(np.arange(50), doc, np.concatenate(docs), np.concatenate(weights), 3)
+    want = np.array([[w[np.isin(t, q)].sum() for q in queries] for t, w in zip(docs, weights, strict=True)])
+    assert score == pytest.approx(-np.sort(-want, axis=1)[:, :3], rel=1e-5)
+    assert np.take_along_axis(want, seed, 1) == pytest.approx(score, rel=1e-5)
+
+
 def test_whole_powers():
     parts = whole_powers([(0, 5, 30), (1, 0, 70)], 4096)
     assert [sum(s for _, _, s in p) for p in parts] == [64, 32, 4]
