@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowvec.llm.best_fit_packing import packed_pieces
 from flowvec.llm.block_names import exact_groups
+from flowvec.llm.byte_backtrack import byte_digests
 from flowvec.llm.common import wide_rows
 from flowvec.llm.deobfuscation import find_personal
 from flowvec.llm.divergence_rules import quality
@@ -13,6 +14,7 @@ from flowvec.llm.induced_dedup import remove_repeats
 from flowvec.llm.recurrent_lm import score_documents
 from flowvec.llm.retrieval_packing import retrieval_pack
 from flowvec.llm.secret_links import find_secrets
+from flowvec.llm.simplex_clusters import CLUSTERS, ROUNDS, cluster_report
 from flowvec.llm.trie_join import near_duplicates
 from flowvec.llm.word_transducer import encode_documents
 
@@ -68,6 +70,41 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_pieces(documents(spark, folder))
 
 
+def op11_simplex_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_report(spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet"))
+
+
+def _op11_sql() -> str:
+    """The same rounds as chained tables, one row per vector and component."""
+    steps = [
+        """
+with fine as (select vec_id, embedding from embeddings where len(embedding) = 64
+  and len(list_filter(embedding, x -> x is not null and isfinite(x))) = 64),
+cells as (select vec_id, unnest(range(64)) as i, cast(unnest(list_transform(embedding, x -> floor(256 * cast(x as double)))) as bigint) as x from fine),
+seeds as (select vec_id, row_number() over (order by sha256('2:' || vec_id)) - 1 as c from fine qualify c < $clusters),
+c0 as (select c, i, x from seeds join cells using (vec_id))"""
+    ]
+    for r in range(ROUNDS + 1):
+        steps.append(f"""
+d{r} as (select vec_id, c, sum((cells.x - c{r}.x) * (cells.x - c{r}.x)) as d from cells join c{r} using (i) group by vec_id, c),
+a{r} as (select vec_id, c, d from d{r} qualify row_number() over (partition by vec_id order by d, c) = 1)""")
+        if r < ROUNDS:
+            steps.append(f"""
+m{r} as (select c, i, sum(x) as s, count(*) as n from a{r} join cells using (vec_id) group by c, i),
+c{r + 1} as (select c, i, case when n is null then c{r}.x else cast((s - ((s % n) + n) % n) // n as bigint) end as x
+  from c{r} left join m{r} using (c, i))""")
+    last = f"""
+digests as (select c, sha256(string_agg(cast(x as varchar), ',' order by i)) as centroid_sha256 from c{ROUNDS} group by c)
+select vec_id, cast(c as integer) as cluster, cast(d as bigint) as distance, cast(sum(d) over (partition by c) as bigint) as cluster_inertia,
+       cast(sum(d) over () as bigint) as inertia, centroid_sha256
+from a{ROUNDS} join digests using (c)"""
+    return ",".join([*steps, last]).replace("$clusters", str(CLUSTERS))
+
+
+def op13_byte_backtrack(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_digests(documents(spark, folder))
+
+
 QUERIES = {
     "op1_block_names": op1_block_names,
     "op2_recurrent_lm": op2_recurrent_lm,
@@ -79,7 +116,10 @@ QUERIES = {
     "op8_trie_join": op8_trie_join,
     "op9_divergence_rules": op9_divergence_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_simplex_clusters": op11_simplex_clusters,
+    "op13_byte_backtrack": op13_byte_backtrack,
 }
 ORACLES = {
     "op1_block_names": OP1_SQL.strip(),
+    "op11_simplex_clusters": _op11_sql().strip(),
 }
