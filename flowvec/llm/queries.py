@@ -79,8 +79,8 @@ def _op11_sql() -> str:
     steps = [
         """
 with fine as (select vec_id, embedding from embeddings where len(embedding) = 64
-  and len(list_filter(embedding, x -> x is not null and isfinite(x))) = 64),
-cells as (select vec_id, unnest(range(64)) as i, cast(unnest(list_transform(embedding, x -> floor(256 * cast(x as double)))) as bigint) as x from fine),
+  and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+cells as (select vec_id, unnest(range(64)) as i, cast(unnest(list_transform(embedding, lambda x: floor(256 * cast(x as double)))) as bigint) as x from fine),
 seeds as (select vec_id, row_number() over (order by sha256('2:' || vec_id)) - 1 as c from fine qualify c < $clusters),
 c0 as (select c, i, x from seeds join cells using (vec_id))"""
     ]
