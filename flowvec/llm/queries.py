@@ -15,6 +15,7 @@ from flowvec.llm.recurrent_lm import score_documents
 from flowvec.llm.retrieval_packing import retrieval_pack
 from flowvec.llm.secret_links import find_secrets
 from flowvec.llm.simplex_clusters import CLUSTERS, ROUNDS, cluster_report
+from flowvec.llm.token_alignment import alignment_report
 from flowvec.llm.trie_join import near_duplicates
 from flowvec.llm.word_transducer import encode_documents
 
@@ -101,6 +102,10 @@ from a{ROUNDS} join digests using (c)"""
     return ",".join([*steps, last]).replace("$clusters", str(CLUSTERS))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment_report(documents(spark, folder))
+
+
 def op13_byte_backtrack(spark: SparkSession, folder: str) -> DataFrame:
     return byte_digests(documents(spark, folder))
 
@@ -117,6 +122,7 @@ QUERIES = {
     "op9_divergence_rules": op9_divergence_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_simplex_clusters": op11_simplex_clusters,
+    "op12_token_alignment": op12_token_alignment,
     "op13_byte_backtrack": op13_byte_backtrack,
 }
 ORACLES = {
