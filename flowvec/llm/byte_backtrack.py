@@ -30,7 +30,7 @@ REMEMBERED_PAIRS = 1_000_000
 LONGEST_WORD = 64
 # Words of a text that are held at once, and texts beyond which they are found one by one.
 WORDS_AT_ONCE = 65_536
-LONG_TEXT = 1_000_000
+LONG_TEXT = 500_000
 
 
 def ranks_path() -> str:
@@ -177,10 +177,10 @@ class ByteEncoder:
     def parts(self, text: str) -> Iterator[list[int]]:
         """Ids of a text, some thousand words at a time."""
         if len(text) <= LONG_TEXT:
-            words: Iterable[str] = self.pattern.findall(text)
+            groups: Iterable = (self.pattern.findall(text),)
         else:
-            words = (match.group() for match in self.pattern.finditer(text))
-        for some in batched(words, WORDS_AT_ONCE):
+            groups = batched((match.group() for match in self.pattern.finditer(text)), WORDS_AT_ONCE)
+        for some in groups:
             yield list(chain.from_iterable(map(self.words.__getitem__, some)))
 
     def encode(self, text: str | None) -> list[int]:

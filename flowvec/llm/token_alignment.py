@@ -7,12 +7,17 @@ overlap links.  Where both tokenizers end a token at one byte the text is cut
 into groups; with a column per group instead of one per byte the same product
 gives the pairs that share a group.  Links that end together are the overlap
 links whose last bytes are one.
+
+Both tokenizers end a token before each space that follows a character other
+than a blank, so the words between such spaces are aligned on their own, each
+distinct word once while it is remembered, and a text is put together of them.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,11 +30,15 @@ from pyspark.sql import functions as F
 
 from flowvec.llm.byte_backtrack import ByteEncoder, word_pattern
 from flowvec.llm.common import in_chunks, text_of, write_table
+from flowvec.llm.word_transducer import ragged
 
 # Bytes of text whose pairs of ids are counted together, bytes aligned at once, and nonzeros multiplied at once.
 PIECE_BYTES = 8_000_000
 BYTES_AT_ONCE = 1_000_000
 NONZEROS = 1_000_000
+# Words remembered by a process, and their bytes.
+REMEMBERED_WORDS = 300_000
+REMEMBERED_BYTES = 16_000_000
 KINDS = ("end", "overlap", "group")
 
 
@@ -198,14 +207,106 @@ class Pair:
         return Alignment(a, b, self.a_size[a], self.b_size[b]), n_a, n_b
 
 
-_OPEN: dict[tuple[str, str, str], Pair] = {}
+class Words(dict):
+    """Numbers of words; new ones are numbered and noted."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
 
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
 
-def tokenizer_pair(a_path: str, b_path: str, pattern: str) -> Pair:
+
+COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_overlaps", "n_shared")
+# Blanks here are at least those of the pattern, so a cut is one for both tokenizers.
+CUT = re.compile(r"(?<=\S) ")
+BLANK_BEFORE = re.compile(r"(?:\A|\s) ")
+
+
+class Aligner:
+    """Alignments of texts, put together of those of their words."""
+
+    def __init__(self, pair: Pair):
+        self.pair = pair
+        # Cuts hold where no token of the second side goes on behind a space and blanks stay as they are.
+        self.cuts = not any(re.search("[^▁]▁", pair.b.id_to_piece(i)) for i in range(pair.b_width)) and pair.tokens(["a  b "]) != [None]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.bytes = Words(), 0
+        self.good = np.zeros(0, bool)
+        self.counts = np.zeros((0, len(COUNTS)), np.int64)
+        self.link_start, self.keys = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.groups: list[str] = []
+
+    def split(self, text: str) -> list[str]:
+        if not self.cuts:
+            return [text]
+        return CUT.split(text) if BLANK_BEFORE.search(text) else text.split(" ")
+
+    def _learn(self) -> None:
+        """Align the new words, one after the other in one matrix."""
+        new, self.words.new = self.words.new, []
+        if not new:
+            return
+        pair = self.pair
+        self.bytes += sum(map(len, new))
+        found, n_a, n_b = pair.align(new)
+        word = np.repeat(np.arange(len(new)), n_a)
+        per = lambda rows, weights=None: np.bincount(word[rows], weights, len(new)).astype(np.int64)
+        overlaps, links, keys = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), [np.zeros(0, np.int64)]
+        for a, b, _ in found.links("overlap"):
+            together = found.a_end[a] == found.b_end[b]
+            overlaps += per(a)
+            links += per(a[together])
+            keys.append(found.a[a[together]] * pair.b_width + found.b[b[together]])
+        shared = group_incidence(found.a_group, found.groups).sizes_times(group_incidence(found.b_group, found.groups).transpose())
+        groups = per(np.flatnonzero(np.diff(found.a_group, prepend=-1) > 0))
+        counts = np.stack([n_a, n_b, groups, links, overlaps, per(slice(None), shared)], 1)
+        codes, upto = found.codes(pair.width), np.append(0, np.cumsum(n_a + n_b)).tolist()
+        written = list(map(pair.written.__getitem__, codes.tolist()))
+        self.groups += ["".join(written[upto[i] : upto[i + 1]])[1:] for i in range(len(new))]
+        self.good = np.append(self.good, n_a > 0)
+        self.counts = np.concatenate([self.counts, counts])
+        self.link_start = np.append(self.link_start, self.link_start[-1] + np.cumsum(links))
+        self.keys = np.concatenate([self.keys, *keys])
+
+    def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[np.ndarray]]:
+        """Counts, written groups and pairs of ids of each text; texts that a side does not give back have none.
+
+        A text with a word that is not given back is tried once more as a whole.
+        """
+        if len(self.words) >= REMEMBERED_WORDS or self.bytes >= REMEMBERED_BYTES:
+            self._forget()
+        numbers = []
+        for text in texts:
+            parts = self.split(text)
+            numbers.append(np.fromiter(map(self.words.__getitem__, parts), np.int64, len(parts)))
+        self._learn()
+        for i, text in enumerate(texts):
+            if not self.good[numbers[i]].all():
+                numbers[i] = np.array([self.words[text]], np.int64)
+        self._learn()
+        counts, groups, keys = np.zeros((len(texts), len(COUNTS)), np.int64), [], []
+        for i, number in enumerate(numbers):
+            counts[i] = self.counts[number].sum(0)
+            groups.append(";".join(map(self.groups.__getitem__, number.tolist())))
+            start = self.link_start[number]
+            keys.append(ragged(self.keys, start, self.link_start[number + 1] - start))
+        return counts, groups, keys
+
+
+_OPEN: dict[tuple[str, str, str], Aligner] = {}
+
+
+def aligner(a_path: str, b_path: str, pattern: str) -> Aligner:
+    """The aligner of this process for two tokenizers."""
     key = (a_path, b_path, pattern)
     if key not in _OPEN:
         _OPEN.clear()
-        _OPEN[key] = Pair(*key)
+        _OPEN[key] = Aligner(Pair(*key))
     return _OPEN[key]
 
 
@@ -245,7 +346,7 @@ def token_links(docs: DataFrame, kind: str = "end", a_path: str | None = None, b
     paths = (a_path or default[0], b_path or default[1], pattern or word_pattern())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = tokenizer_pair(*paths)
+        pair = aligner(*paths).pair
         for batch in batches:
             for ids, texts in _blocks(pa.Table.from_batches([batch])):
                 found, n_a, n_b = pair.align(texts)
@@ -259,7 +360,6 @@ def token_links(docs: DataFrame, kind: str = "end", a_path: str | None = None, b
     return _rows(docs).mapInArrow(work, LINKS)
 
 
-COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_overlaps", "n_shared")
 ALIGNED = pa.schema(
     [("piece", pa.int64()), ("doc_id", pa.int64()), *((c, pa.int64()) for c in COUNTS), ("groups_sha256", pa.string()), ("links", pa.binary()), ("pairs", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))]
 )
@@ -273,42 +373,24 @@ def _aligned(docs: DataFrame, paths: tuple[str, str, str], piece_bytes: int) ->
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = tokenizer_pair(*paths)
+        own = aligner(*paths)
         partition, done = TaskContext.get().partitionId(), 0
 
         def piece(table: pa.Table) -> pa.Table:
             nonlocal done
             out = {name: [] for name in ALIGNED.names}
-            keys = []
+            counts, keys = [], []
             for ids, texts in _blocks(table):
-                found, n_a, n_b = pair.align(texts)
-                doc = np.repeat(np.arange(len(ids)), n_a)
-                count = lambda rows, weights=None, doc=doc, n=len(ids): np.bincount(doc[rows], weights, n).astype(np.int64)
-                overlaps, links = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-                for a, b, _ in found.links("overlap"):
-                    together = found.a_end[a] == found.b_end[b]
-                    overlaps += count(a)
-                    links += count(a[together])
-                    keys.append(found.a[a[together]] * pair.b_width + found.b[b[together]])
-                by_group = group_incidence(found.a_group, found.groups)
-                shared = by_group.sizes_times(group_incidence(found.b_group, found.groups).transpose())
-                groups = np.zeros(len(ids), np.int64)
-                if len(doc):
-                    groups = count(np.flatnonzero(np.diff(found.a_group, prepend=-1) > 0))
-                codes = found.codes(pair.width)
-                upto = np.append(0, np.cumsum(n_a + n_b))
-                for i in range(len(ids)):
-                    some = codes[upto[i] : upto[i + 1]]
-                    text = "".join(map(pair.written.__getitem__, some.tolist()))[1:]
-                    out["groups_sha256"].append(hashlib.sha256(text.encode()).hexdigest() if text else "")
+                of_texts, groups, found = own.align(texts)
                 out["doc_id"] += ids
-                shared_of = count(slice(None), shared) if len(doc) else groups
-                for name, values in zip(COUNTS, (n_a, n_b, groups, links, overlaps, shared_of), strict=True):
-                    out[name] += values.tolist()
-            distinct, place, times = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_inverse=True, return_counts=True)
-            upto = np.append(0, np.cumsum(out["n_links"]))
-            place = place.astype("<u4")
+                out["groups_sha256"] += [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+                counts.append(of_texts)
+                keys += found
+            distinct, place, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+            place, upto = place.astype("<u4"), np.append(0, np.cumsum(list(map(len, keys)))).tolist()
             out["links"] = [place[upto[i] : upto[i + 1]].tobytes() for i in range(table.num_rows)]
+            for name, values in zip(COUNTS, np.concatenate(counts).T, strict=True):
+                out[name] = values.tolist()
             none = [None] * table.num_rows
             out["piece"] = [(partition << 33) + done] * (table.num_rows + 1)
             out["pairs"], out["times"] = [*none, distinct], [*none, times]
@@ -339,7 +421,7 @@ def alignment_report(
     """
     default = vocabulary_paths()
     paths = (a_path or default[0], b_path or default[1], pattern or word_pattern())
-    width = tokenizer_pair(*paths).b_width
+    width = aligner(*paths).pair.b_width
     aligned = _aligned(docs, paths, piece_bytes)
     held = aligned.where("pairs is not null").select("piece", F.explode(F.arrays_zip("pairs", "times")).alias("_p")).select("piece", F.col("_p.pairs").alias("pair"), F.col("_p.times").alias("n"))
     totals = write_table(held.groupBy("pair").agg(F.sum("n").alias("n")), "pair_counts")
