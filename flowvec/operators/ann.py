@@ -20,18 +20,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from flowvec.functions import vectors as V
+from flowvec.operators import balls
 from flowvec.operators import knn as K
 from flowvec.operators.pairwise import best_pairs, compare_blocks, shared_groups, to_matrix
 from flowvec.session import fits, run_together
 
-# Fixed value: lists that a search probes unless the caller says otherwise.
+# Fixed value: lists that a search of product codes probes unless the caller says otherwise.
 MAX_PROBES = 10
+# Lists of an index at most, and rows that train one centre: centres are bounded, whatever the table.
+MAX_LISTS = 16_384
+TRAIN_ROWS = 256
 # Sub-vectors and bits per code of the product-quantised index.
 PQ_PARTS, PQ_BITS = 8, 8
 
 
 def list_count(rows: int) -> int:
-    return max(1, math.isqrt(rows))
+    return min(MAX_LISTS, max(1, math.isqrt(rows)))
+
+
+def training_rows(rows: DataFrame, count: int, lists: int, id_col: str = "id") -> DataFrame:
+    """About ``TRAIN_ROWS`` rows per list, chosen by a hash of the id; all of them where there are no more."""
+    wanted = TRAIN_ROWS * lists
+    if count <= wanted:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(id_col), F.lit(count)) < wanted)
 
 
 def probe_count(lists: int) -> int:
@@ -65,7 +77,7 @@ def assign_lists(
                 continue
             vectors = to_matrix(batch.column(batch.schema.get_field_index(vec_col)))
             distance = squares - 2 * vectors @ shared.value.T
-            near = np.argsort(distance, axis=1, kind="stable")[:, :nearest]
+            near = distance.argmin(axis=1)[:, None] if nearest == 1 else np.argsort(distance, axis=1, kind="stable")[:, :nearest]
             rows = np.repeat(np.arange(batch.num_rows), near.shape[1])
             taken = batch.take(pa.array(rows))
             lists = pa.array(near.ravel().astype(np.int32))
@@ -76,10 +88,15 @@ def assign_lists(
 
 @dataclass
 class InvertedLists:
-    """Rows with their list number, and the list centroids."""
+    """Rows in blocks of their lists (``id, v, block, list_id``), the table of the blocks, the list centroids.
+
+    The bounds of the blocks are distances of ``space``.
+    """
 
     rows: DataFrame
+    table: DataFrame
     centroids: np.ndarray
+    space: str = "plain"
     stored: bool = False
 
     @property
@@ -90,27 +107,70 @@ class InvertedLists:
         """One folder per list, so a search reads only the lists it probes."""
         spark = self.rows.sparkSession
         self.rows.write.mode("overwrite").partitionBy("list_id").parquet(f"{path}/rows")
+        self.table.withColumn("space", F.lit(self.space)).write.mode("overwrite").parquet(f"{path}/blocks")
         centers = [(i, [float(x) for x in c]) for i, c in enumerate(self.centroids)]
         table = spark.createDataFrame(centers, "list_id int, centroid array<double>")
         table.write.mode("overwrite").parquet(f"{path}/centroids")
 
-    def search(self, queries: DataFrame, k: int, metric: str = "l2", nprobe: int | None = None):
-        """Top-``k`` inside the ``nprobe`` nearest lists of each query."""
-        nprobe = probe_count(self.lists) if nprobe is None else min(nprobe, self.lists)
-        probes = assign_lists(queries, self.centroids, "q", nearest=nprobe)
+    def blocks(self, space: str) -> balls.Blocks:
+        """The blocks with bounds of ``space``; those of another space are cut anew."""
+        if space == self.space:
+            return balls.Blocks(self.rows, self.table, self.centroids, space, self.stored)
+        return balls.place(self.rows.select("id", "v"), self.centroids, space)
+
+    def search(self, queries: DataFrame, k: int, metric: str = "l2", nprobe: int | None = None) -> DataFrame:
+        """Top-``k`` of each query.
+
+        By default a query reads lists until no unread one can hold a better hit,
+        so the hits are the exact ones.  With ``nprobe`` it reads that many
+        nearest lists, and more only until they hold ``k`` rows.
+        """
+        if nprobe is None:
+            return self.bounded(queries, k, metric).hits
+        probes = self._probes(queries, k, min(nprobe, self.lists))
         rows = self.rows
         if self.stored and nprobe < self.lists:
             # At most one number per list; as literals they prune the folders.
             probed = [r[0] for r in probes.select("list_id").distinct().collect()]
             rows = rows.where(F.col("list_id").isin(probed))
-        return K.knn_join(probes, rows, k, metric, dim=self.centroids.shape[1], on=("list_id",))
+        return K.knn_join(probes, rows.select("id", "v", "list_id"), k, metric, dim=self.centroids.shape[1], on=("list_id",))
+
+    def bounded(self, queries: DataFrame, k: int, metric: str = "l2") -> balls.Found:
+        """Exact hits by the bounds of the blocks, and how many pairs had to be compared."""
+        space = balls.space_of(metric)
+        asked = queries.select(F.col("query_id").alias("id"), F.col("q").alias("v"))
+        return balls.ball_join(balls.place(asked, self.centroids, space), self.blocks(space), k, metric)
+
+    def _probes(self, queries: DataFrame, k: int, nprobe: int) -> DataFrame:
+        """One row per query and list it reads."""
+        held = {r["list_id"]: r["n"] for r in self.table.groupBy("list_id").agg(F.sum("n").alias("n")).collect()}
+        sizes = np.array([held.get(i, 0) for i in range(self.lists)])
+        shared = queries.sparkSession.sparkContext.broadcast((np.asarray(self.centroids), sizes))
+        names = [*queries.columns, "list_id"]
+        schema = StructType([*queries.schema.fields, StructField("list_id", IntegerType())])
+
+        def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            centroids, sizes = shared.value
+            squares = (centroids**2).sum(axis=1)
+            for batch in batches:
+                if batch.num_rows == 0:
+                    continue
+                distance = squares - 2 * to_matrix(batch.column(batch.schema.get_field_index("q"))) @ centroids.T
+                order = np.argsort(distance, axis=1, kind="stable")
+                before = np.cumsum(sizes[order], axis=1) - sizes[order]
+                row, place = np.nonzero((np.arange(len(sizes)) < nprobe) | (before < k))
+                taken = batch.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(order[row, place].astype(np.int32))], names=names)
+
+        return queries.mapInArrow(probe, schema)
 
 
 def read_ivf(spark: SparkSession, path: str) -> InvertedLists:
     """An index written by :meth:`InvertedLists.write`."""
     centers = spark.read.parquet(f"{path}/centroids").orderBy("list_id").collect()
-    rows = spark.read.parquet(f"{path}/rows")
-    return InvertedLists(rows, np.array([c["centroid"] for c in centers]), stored=True)
+    rows, table = spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/blocks")
+    space = table.select("space").first()["space"]
+    return InvertedLists(rows, table.drop("space"), np.array([c["centroid"] for c in centers]), space, stored=True)
 
 
 def build_ivf(
@@ -119,11 +179,15 @@ def build_ivf(
     vec_col: str = "embedding",
     nlist: int | None = None,
     seed: int = 42,
+    space: str = "plain",
 ) -> InvertedLists:
+    """Lists around centres that a bounded share of the rows has trained; every row is indexed."""
     rows = K.as_rows(df, id_col, vec_col).where(F.col("v").isNotNull())
-    nlist = list_count(rows.count()) if nlist is None else nlist
-    centroids = train_centroids(rows, nlist, "id", "v", seed)
-    return InvertedLists(assign_lists(rows, centroids, "v"), centroids)
+    count = rows.count()
+    nlist = list_count(count) if nlist is None else nlist
+    centroids = train_centroids(training_rows(rows, count, nlist), nlist, "id", "v", seed)
+    blocks = balls.place(rows, centroids, space)
+    return InvertedLists(blocks.rows, blocks.table, blocks.centres, space)
 
 
 @dataclass

@@ -61,7 +61,9 @@ def as_rows(df: DataFrame, id_col: str, vec_col: str, *extra: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"), *extra)
 
 
-def _top_kernel(k: int, metric: str, ascending: bool, dim: int):
+def top_kernel(k: int, metric: str, ascending: bool, dim: int):
+    """A kernel that keeps the ``k`` best rows of a block for every query of another."""
+
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
         # Tested here, as a filter on a computed vector would compute it twice.
         left, right = with_dim(left, "q", dim), with_dim(right, "v", dim)
@@ -123,7 +125,7 @@ def knn_join(
     hits = compare_blocks(
         queries,
         rows,
-        _top_kernel(k, metric, ascending, dim),
+        top_kernel(k, metric, ascending, dim),
         HIT_SCHEMA,
         on=on,
         dim=dim,

@@ -6,15 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowvec.functions.vectors import let
-from flowvec.session import checkpoint
 
 # Chunk sizes, special tokens, mask share in percent.
 CHUNK_CHARS, CHUNK_WORDS, PARAGRAPH_CHARS = 300, 512, 500
 SPECIAL_TOKENS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
 MAX_TOKENS = 128
 MASK_PERCENT = 15
-# Rounds of vocabulary merging between checkpoints.
-MERGES_PER_CHECKPOINT = 10
 
 
 def strip(c: Column) -> Column:
@@ -116,65 +113,6 @@ def update_vocabulary(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new).groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def train_bpe(pieces: DataFrame, merges: int) -> tuple[list[str], DataFrame]:
-    """Learn ``merges`` pair merges from ``token, n`` counts.
-
-    Only distinct tokens are iterated.  Each round counts adjacent symbol pairs
-    and takes the most frequent one, the smallest pair on ties.  Returns the
-    merged symbols in order and the tokens with their final symbols.
-    """
-    base = pieces.select("token", "n", F.split("token", "(?!^)(?!$)").alias("s"))
-    learned: list[str] = []
-    pending: list[tuple[str, str]] = []
-    base = checkpoint(base)
-    for _ in range(merges):
-        state = _with_merges(base, pending)
-        pairs = F.transform(
-            F.slice(F.col("s"), F.lit(2), F.greatest(F.size("s") - 1, F.lit(0))),
-            lambda right, i: F.struct(F.get("s", i).alias("a"), right.alias("b")),
-        )
-        best = (
-            state.select("n", F.explode(pairs).alias("pair"))
-            .groupBy("pair")
-            .agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "pair")
-            .first()
-        )
-        if best is None:
-            break
-        left, right = best["pair"]["a"], best["pair"]["b"]
-        learned.append(left + right)
-        pending.append((left, right))
-        if len(pending) == MERGES_PER_CHECKPOINT:
-            base, pending = checkpoint(_with_merges(base, pending)), []
-    return learned, _with_merges(base, pending)
-
-
-def _with_merges(df: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
-    """Apply merges in order; a fold keeps the expression as short as the list."""
-    if not merges:
-        return df
-    listed = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in merges])
-
-    def step(symbols: Column, pair: Column) -> Column:
-        touched = F.array_contains(symbols, pair["a"]) & F.array_contains(symbols, pair["b"])
-        return F.when(touched, _merge(symbols, pair["a"], pair["b"])).otherwise(symbols)
-
-    return df.withColumn("s", F.aggregate(listed, F.col("s"), step))
-
-
-def _merge(symbols: Column, left: Column, right: Column) -> Column:
-    start = F.array().cast("array<string>")
-
-    def add(acc: Column, symbol: Column) -> Column:
-        last = F.get(acc, F.size(acc) - 1)
-        joins = F.coalesce(last == left, F.lit(False)) & (symbol == right)
-        kept = F.when(joins, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(acc)
-        return F.concat(kept, F.array(F.when(joins, F.concat(left, right)).otherwise(symbol)))
-
-    return F.aggregate(symbols, start, add)
-
-
 def pad_truncate(tokens: Column, length: int = MAX_TOKENS) -> tuple[Column, Column]:
     """Exactly ``length`` tokens, and the mask with 1 for the real ones."""
     kept = F.slice(tokens, 1, length)

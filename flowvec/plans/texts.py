@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from flowvec.functions import templates as TP
 from flowvec.functions import vectors as V
 from flowvec.operators import analytics as A
+from flowvec.operators import bpe
 from flowvec.operators import embedding as M
 from flowvec.operators import evaluation as E
 from flowvec.operators import knn as K
@@ -80,13 +81,47 @@ def _(t: Tables) -> DataFrame:
     return flow_texts(t).select("frame_number", F.posexplode(tokens).alias("i", "token"))
 
 
+def flow_pieces(t: Tables, template: str = "comma5") -> DataFrame:
+    texts = flow_texts(t, template)
+    return texts.select("frame_number", T.isolated_pieces(F.col("packet_text")).alias("tokens"))
+
+
 @query("tok_bpe_train")
 def _(t: Tables) -> DataFrame:
-    pieces = flow_texts(t).select(T.isolated_pieces(F.col("packet_text")).alias("tokens"))
-    learned, state = T.train_bpe(T.vocabulary(pieces, "tokens"), 20)
-    ranked = F.array(*[F.lit(symbol) for symbol in learned])
+    """Merges until no pair repeats; symbols of the flow texts with the rank of their merge."""
+    model, state = bpe.train(T.vocabulary(flow_pieces(t), "tokens"))
+    ranked = t.spark.createDataFrame(
+        [(a + b, i + 1) for i, (a, b) in enumerate(model.merges)], "symbol string, merge_rank int"
+    ).groupBy("symbol").agg(F.min("merge_rank").alias("merge_rank"))
     used = state.select("n", F.explode("s").alias("symbol")).groupBy("symbol").agg(F.sum("n").alias("n"))
-    return used.withColumn("merge_rank", F.array_position(ranked, F.col("symbol")))
+    # One row per merge: the vocabulary is the model itself.
+    return used.join(F.broadcast(ranked), "symbol", "left")
+
+
+# Given merges, and the characters beside which all others are unknown.
+GIVEN_MERGES = [("1", "9"), ("19", "2"), ("1", "6"), ("16", "8"), ("0", "0"), ("1", "0"), ("2", "2"), ("T", "C"), ("TC", "P"), ("5", "3")]
+GIVEN_CHARACTERS = "0123456789., TCPUD"
+
+
+def _merge_steps(symbols: str) -> str:
+    for a, b in GIVEN_MERGES:
+        symbols = f"replace({symbols}, '<{a}><{b}>', '<{a}{b}>')"
+    return symbols
+
+
+@query("tok_bpe_encode", rf"""
+with pieces as (select frame_number, unnest(regexp_extract_all(trim(x), '[,.\s]+|[^,.\s]+')) as piece,
+         generate_subscripts(regexp_extract_all(trim(x), '[,.\s]+|[^,.\s]+'), 1) as p from {COMMA5}),
+     marked as (select frame_number, p, {_merge_steps("regexp_replace(regexp_replace(piece, '[^0-9., TCPUD]', '?', 'g'), '(.)', '<\\1>', 'g')")} as m from pieces),
+     body as (select frame_number, string_agg(replace(m, '<?>', '<[UNK]>'), '' order by p) as m from marked group by frame_number)
+select frame_number, '[CLS] ' || replace(replace(replace(m, '><', '|'), '<', ''), '>', '') || ' [SEP]' as tokens,
+       len(string_split(m, '><')) + 2 as n from body""")
+def _(t: Tables) -> DataFrame:
+    """Unseen texts by given merges, characters outside the alphabet unknown."""
+    model = bpe.Merges(list(GIVEN_CHARACTERS), GIVEN_MERGES)
+    made = bpe.encode(flow_pieces(t).withColumnRenamed("tokens", "pieces"), F.col("pieces"), model)
+    inner = F.array_join(F.slice("tokens", 2, F.size("tokens") - 2), "|")
+    return made.select("frame_number", F.concat(F.lit("[CLS] "), inner, F.lit(" [SEP]")).alias("tokens"), F.size("ids").cast("long").alias("n"))
 
 
 WORDS = r"list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')"

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from flowvec.functions import templates as TP
 from flowvec.functions import vectors as V
 from flowvec.operators import analytics as A
 from flowvec.operators import crud
+from flowvec.operators import bpe
 from flowvec.operators import text as T
 from flowvec.session import lookup_join
 from flowvec.sources import flows as S
@@ -178,12 +180,39 @@ def bpe_by_hand(words, merges):
     return learned
 
 
-def test_merge_training_equals_the_plain_loop(spark):
-    words = {"aaab": 5, "aab": 3, "banana": 4, "bandana": 2, "10.0.0.1": 6, "x": 9}
+@pytest.mark.parametrize("tokens_at_once", [1, 3, 100_000])
+def test_bpe_merges_are_those_of_single_steps(spark, tokens_at_once):
+    words = {"aaab": 5, "aab": 3, "banana": 4, "bandana": 2, "10.0.0.1": 6, "x": 9, "abcabc": 3, "bca": 2}
     df = spark.createDataFrame(list(words.items()), ["token", "n"])
-    learned, state = T.train_bpe(df, 14)
-    assert learned == bpe_by_hand(words, 14)
+    model, state = bpe.train(df, min_count=1, tokens_at_once=tokens_at_once)
+    assert [a + b for a, b in model.merges] == bpe_by_hand(words, 100)
     assert all("".join(r.s) == r.token for r in state.collect())
+    assert bpe.train(df, vocabulary=5 + len(model.alphabet) + 4, tokens_at_once=tokens_at_once)[0].merges == model.merges[:4]
+
+
+def test_bpe_stops_where_no_pair_repeats(spark):
+    df = spark.createDataFrame([("ab", 1), ("cd", 2), ("", 5)], ["token", "n"])
+    model, _ = bpe.train(df)
+    assert model.merges == [("c", "d")] and model.alphabet == ["a", "b", "c", "d"]
+    assert bpe.train(df.limit(0))[0].merges == []
+
+
+def test_bpe_random_words(spark):
+    random = np.random.default_rng(5)
+    words = {"".join(random.choice(list("abc"), random.integers(1, 9))): int(random.integers(1, 6)) for _ in range(150)}
+    df = spark.createDataFrame(list(words.items()), ["token", "n"])
+    model, _ = bpe.train(df, min_count=1, tokens_at_once=40)
+    assert [a + b for a, b in model.merges] == bpe_by_hand(words, 500)
+
+
+def test_bpe_encode_of_unseen_text(spark):
+    model = bpe.Merges(["a", "b", "c"], [("a", "b"), ("ab", "c"), ("b", "c")])
+    rows = spark.createDataFrame([(1, ["abcbc", "ab"]), (2, ["xbc"]), (3, []), (4, None)], "id long, pieces array<string>")
+    got = {r.id: (r.tokens, r.ids) for r in bpe.encode(rows, F.col("pieces"), model).collect()}
+    assert got[1] == (["[CLS]", "abc", "bc", "ab", "[SEP]"], [2, 9, 10, 8, 3])
+    assert got[2][0] == ["[CLS]", "[UNK]", "bc", "[SEP]"] and got[3] == got[4] == (["[CLS]", "[SEP]"], [2, 3])
+    cut = {r.id: r.tokens for r in bpe.encode(rows, F.col("pieces"), model, 4).collect()}
+    assert cut[1] == ["[CLS]", "abc", "bc", "[SEP]"] and cut[3] == ["[CLS]", "[SEP]", "[PAD]", "[PAD]"]
 
 
 def test_pad_truncate(spark):
