@@ -152,26 +152,46 @@ class ByteEncoder:
         if data in self.ranks:
             return [self.ranks[data]]
         text, end = data.decode("latin-1"), len(data)
-        longest, size, shorter = self.automaton.iter_long, self.size, self.shorter
-        entered = bytearray(b"\1") * (end + 1)
-        ids: list[int] = []
-        at = 0
+        known, together = self.pairs, self.together
+        # The longest tokens one after the other; as far as neighbours go together they stand.
+        greedy = [token for _, token in self.automaton.iter_long(text)]
+        last, good = -1, 0
+        for token in greedy:
+            if last >= 0:
+                fits = known.get((last, token))
+                if not (together(last, token) if fits is None else fits):
+                    break
+            last = token
+            good += 1
+        if good == len(greedy):
+            return greedy
+        return self._backtrack(text, end, greedy[:good], greedy[good])
+
+    def _backtrack(self, text: str, end: int, ids: list[int], token: int | None) -> list[int]:
+        """Go on from ``ids``, where ``token`` is the next to try."""
         # Only as much of the text as the widest token is handed over: the library copies what it gets.
-        widest = self.widest
-        token = next(longest(text[:widest]))[1] if end else None
+        longest, size, shorter, widest = self.automaton.iter_long, self.size, self.shorter, self.widest
+        entered = bytearray(b"\1") * (end + 1)
+        at = sum(map(size.__getitem__, ids))
+        known, last = self.pairs, ids[-1] if ids else -1
         while token is not None:
             stop = at + size[token]
-            if entered[stop] and (not ids or self.together(ids[-1], token)):
-                ids.append(token)
-                at = stop
-                token = next(longest(text[at : at + widest]))[1] if at < end else None
-                continue
+            if entered[stop]:
+                fits = True if last < 0 else known.get((last, token))
+                if fits is None:
+                    fits = self.together(last, token)
+                if fits:
+                    ids.append(token)
+                    at, last = stop, token
+                    token = next(longest(text[at : at + widest]))[1] if at < end else None
+                    continue
             token = shorter[token]
             if token is None:
                 # Nothing goes on from here: the token before ends at a place that is given up.
                 entered[at] = 0
                 token = ids.pop()
                 at -= size[token]
+                last = ids[-1] if ids else -1
         return ids
 
     def parts(self, text: str) -> Iterator[list[int]]:
@@ -184,6 +204,8 @@ class ByteEncoder:
             yield list(chain.from_iterable(map(self.words.__getitem__, some)))
 
     def encode(self, text: str | None) -> list[int]:
+        if text is not None and len(text) <= LONG_TEXT:
+            return list(chain.from_iterable(map(self.words.__getitem__, self.pattern.findall(text))))
         return list(chain.from_iterable(self.parts(text or "")))
 
     def decode(self, ids: Iterable[int]) -> bytes:

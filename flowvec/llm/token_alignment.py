@@ -20,6 +20,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -185,25 +186,27 @@ class Pair:
         self.written = [mark + str(i) for mark in ",;|" for i in range(self.width)]
 
     def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids of both sides of each text; none where a side does not give the text back."""
+        """Ids of both sides of each text; none where the second side does not give the text back.
+
+        The first side always does: its tokens are cut from the bytes of the text.
+        """
         found: list[tuple[list[int], list[int]] | None] = []
+        token = self.b_token.__getitem__
         for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
             whole = " " + text
-            data = whole.encode()
-            if not text or b"".join(map(self.b_token.__getitem__, b)) != data:
+            if text and b"".join(map(token, b)) == whole.encode():
+                found.append((self.a.encode(whole), b))
+            else:
                 found.append(None)
-                continue
-            a = self.a.encode(whole)
-            found.append((a, b) if self.a.decode(a) == data else None)
         return found
 
     def align(self, texts: list[str]) -> tuple[Alignment, np.ndarray, np.ndarray]:
         """One alignment of all ``texts`` one after the other, and how many tokens of each side each has."""
         pairs = [found or ((), ()) for found in self.tokens(texts)]
-        n_a = np.array([len(a) for a, _ in pairs], np.int64)
-        n_b = np.array([len(b) for _, b in pairs], np.int64)
-        a = np.concatenate([np.array(a, np.int64) for a, _ in pairs])
-        b = np.concatenate([np.array(b, np.int64) for _, b in pairs])
+        n_a = np.fromiter((len(a) for a, _ in pairs), np.int64, len(pairs))
+        n_b = np.fromiter((len(b) for _, b in pairs), np.int64, len(pairs))
+        a = np.fromiter(chain.from_iterable(a for a, _ in pairs), np.int64, int(n_a.sum()))
+        b = np.fromiter(chain.from_iterable(b for _, b in pairs), np.int64, int(n_b.sum()))
         return Alignment(a, b, self.a_size[a], self.b_size[b]), n_a, n_b
 
 
