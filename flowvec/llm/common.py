@@ -5,7 +5,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -31,6 +33,18 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+@contextmanager
+def no_collector() -> Iterator[None]:
+    """Many small objects without cycles: the collector would only walk over them again and again."""
+    enabled = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if enabled:
+            gc.enable()
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared folder and read them back, which cuts the lineage."""
     path = new_work_path(df.sparkSession, name)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowvec.llm.byte_backtrack import ByteEncoder, word_pattern
-from flowvec.llm.common import in_chunks, text_of, write_table
+from flowvec.llm.common import in_chunks, no_collector, text_of, write_table
 from flowvec.llm.word_transducer import ragged
 
 # Bytes of text whose pairs of ids are counted together, bytes aligned at once, and nonzeros multiplied at once.
@@ -384,7 +384,8 @@ def _aligned(docs: DataFrame, paths: tuple[str, str, str], piece_bytes: int) ->
             out = {name: [] for name in ALIGNED.names}
             counts, keys = [], []
             for ids, texts in _blocks(table):
-                of_texts, groups, found = own.align(texts)
+                with no_collector():
+                    of_texts, groups, found = own.align(texts)
                 out["doc_id"] += ids
                 out["groups_sha256"] += [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
                 counts.append(of_texts)
