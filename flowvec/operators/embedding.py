@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from flowvec.functions import vectors as V
 from flowvec.operators import text as T
-from flowvec.operators.knn import rank_hits
 from flowvec.operators.pairwise import to_matrix
 from flowvec.session import lookup_join
 
@@ -25,8 +24,8 @@ Encoder = Callable[[Sequence[str]], np.ndarray]
 ZERO_DIM, PROJECTION_HIDDEN, PROJECTION_DIM = 384, 256, 128
 HASH_DIM = 256
 DEFAULT_TEXT = "empty"
-# Sentences per training task, and the most tasks whose updates are averaged.
-ROWS_PER_TRAINER, MAX_TRAINERS = 20_000, 1_024
+# Tasks that train side by side and whose updates are averaged.
+TRAINERS = 8
 
 
 def embed(
@@ -80,16 +79,20 @@ def train_word2vec(
     min_count: int = 1,
     epochs: int = 50,
     seed: int = 42,
+    trainers: int = TRAINERS,
 ) -> Word2VecModel:
-    """Skip-gram token vectors.  The vocabulary must fit the driver, as Spark ML keeps it there."""
-    partitions = max(1, min(MAX_TRAINERS, -(-sentences.count() // ROWS_PER_TRAINER)))
+    """Skip-gram token vectors, trained alike at every size.
+
+    The vocabulary must fit the driver, as Spark ML keeps it there; vectors
+    without that bound are those of :mod:`flowvec.operators.cooccurrence`.
+    """
     return Word2Vec(
         vectorSize=size,
         windowSize=window,
         minCount=min_count,
         maxIter=epochs,
         seed=seed,
-        numPartitions=partitions,
+        numPartitions=trainers,
         inputCol=tokens_col,
         outputCol="_w2v",
     ).fit(sentences)
@@ -137,22 +140,6 @@ def pool_sparse_max(df: DataFrame, by: str, term: str, value: str, mask: str, na
     return df.groupBy(by, term).agg(F.max(activation).alias(name)).where(F.col(name) > 0)
 
 
-def sparse_search(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Top-``k`` documents by dot product of ``term, weight`` rows.
-
-    ``queries`` has ``query_id, term, q_weight``; ``docs`` has ``id, term, weight``.
-    Small queries are broadcast, others meet the documents on salted terms, as
-    one term may be in most documents.
-    """
-    product = F.col("weight") * F.col("q_weight")
-    hits = (
-        lookup_join(docs, queries, ["term"], "inner")
-        .groupBy("query_id", "id")
-        .agg(F.round(F.sum(product), V.TIE_DECIMALS).alias("score"))
-    )
-    return rank_hits(hits, k, "ip")
-
-
 def projection_weights(inputs: int, seed: int = 42, hidden=PROJECTION_HIDDEN, out=PROJECTION_DIM):
     """Fixed random weights of the two dense layers."""
     random = np.random.default_rng(seed)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,15 +140,45 @@ def knn_join(
     return rank_hits(hits, k, metric, farthest)
 
 
+def metrics_join(queries: DataFrame, rows: DataFrame, k: int, metrics: Sequence[str], dim: int) -> DataFrame:
+    """Top-``k`` of every query under each metric from one scan of ``rows``: ``query_id, metric, id, score, rank``.
+
+    A task keeps ``k`` hits per query and metric; only these are shuffled.
+    """
+    for metric in metrics:
+        if metric not in V.METRICS:
+            raise ValueError(f"unknown metric {metric!r}; choose from {sorted(V.METRICS)}")
+    kernels = [top_kernel(k, metric, V.METRICS[metric], dim) for metric in metrics]
+
+    def numbered(hits: pa.Table, number: int) -> pa.Table:
+        return hits.append_column("number", pa.array(np.full(hits.num_rows, number, np.int32)))
+
+    def every(left: pa.Table, right: pa.Table) -> pa.Table:
+        return pa.concat_tables([numbered(kernel(left, right), i) for i, kernel in enumerate(kernels)])
+
+    def shrink(hits: pa.Table) -> pa.Table:
+        kept = []
+        for i, metric in enumerate(metrics):
+            mine = hits.filter(pc.equal(hits["number"], i))
+            columns = [mine[c].to_numpy() for c in ("query_id", "id", "score")]
+            kept.append(numbered(best_hits(*columns, k, V.METRICS[metric]), i))
+        return pa.concat_tables(kept)
+
+    hits = compare_blocks(queries, rows, every, HIT_SCHEMA + ", number int", dim=dim, combine=shrink)
+    names = F.array(*[F.lit(m) for m in metrics])
+    falls = F.array(*[F.lit(not V.METRICS[m]) for m in metrics])
+    cost = F.when(F.get(falls, F.col("number")), -F.col("score")).otherwise(F.col("score"))
+    order = Window.partitionBy("query_id", "number").orderBy(cost, "id")
+    ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.get(names, F.col("number")).alias("metric"), "id", "score", "rank")
+
+
 def compare_metrics(
-    df: DataFrame, query: Sequence[float], k: int, metrics: Sequence[str], **columns
+    df: DataFrame, query: Sequence[float], k: int, metrics: Sequence[str], id_col: str = "id", vec_col: str = "embedding"
 ) -> DataFrame:
-    """The same query ranked under several metrics, stacked with a ``metric`` column."""
-    stacked = None
-    for metric in metrics:
-        part = knn(df, query, k, metric, **columns).withColumn("metric", F.lit(metric))
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return stacked
+    """The same query ranked under several metrics, with a ``metric`` column, from one scan."""
+    asked = df.sparkSession.createDataFrame([(0, [float(x) for x in query])], "query_id long, q array<double>")
+    return metrics_join(asked, as_rows(df, id_col, vec_col), k, metrics, len(query)).drop("query_id")
 
 
 def first_vector(df: DataFrame, id_col: str, vec_col: str) -> list[float]:

@@ -16,9 +16,11 @@ from flowvec.operators import crud
 from flowvec.operators import embedding as M
 from flowvec.operators import evaluation as E
 from flowvec.operators import knn as K
+from flowvec.operators import sparse as SP
 from flowvec.plans.registry import query
-from flowvec.session import checkpoint
+from flowvec.session import checkpoint, new_work_path
 from flowvec.sources.tables import Tables
+from flowvec.sources.versions import VersionedTable
 
 # The natural-language probe queries.
 SEMANTIC_QUERIES = [
@@ -180,32 +182,51 @@ def _(t: Tables) -> DataFrame:
     return K.report(K.knn(vectors(t), probe(t), 50, "cosine"), _half_pay(t), "id", "label")
 
 
-@query("knn_across_versions", f"""
+VERSIONS_SQL = """
 with inserted as (select id, v, label from $vectors union all
        select (select max(id) from $vectors) + row_number() over (order by id), list_reverse(v), label
        from $vectors where label = 1),
      deleted as (select * from inserted where label <> (select arg_min(label, id) from $vectors)),
      updated as (select id, case when label = 2 then list_reverse(v) else v end as v, label from deleted),
-     versions as (select 'before' as phase, * from $vectors union all select 'insert', * from inserted
-       union all select 'delete', * from deleted union all select 'update', * from updated)
-select phase, id, row_number() over (partition by phase order by s desc, id) as rank, round(s, 6) as score
-from (select phase, id, round(list_cosine_similarity(v, p), 9) as s from versions, (select v as p from {PROBE}))
-qualify rank <= 5""")
-def _(t: Tables) -> DataFrame:
-    before = vectors(t)
+     versions as (select 'before' as phase, 1 as version, * from $vectors union all select 'insert', 2, * from inserted
+       union all select 'delete', 3, * from deleted union all select 'update', 4, * from updated)"""
+VERSION_HITS = f"""(select phase, id, row_number() over (partition by phase order by s desc, id) as rank, round(s, 6) as score
+from (select phase, id, round(list_cosine_similarity(v, p), 9) as s from versions, (select v as p from {PROBE})) qualify rank <= 5)"""
+
+
+def version_hits(t: Tables) -> DataFrame:
+    """Insert, delete and update, each written as a version, counted meanwhile and searched by one scan."""
+    stored = VersionedTable(t.spark, new_work_path(t.spark, "versions"))
     target = probe(t)
-    own = before.select(F.min_by("label", "id")).first()[0]
-    turned = before.where("label = 1").withColumn("embedding", F.reverse("embedding"))
-    inserted = crud.insert(before, turned, "id", "id")
-    deleted = crud.delete_where(inserted, F.col("label") == own)
-    updated = crud.update_where(deleted, F.col("label") == 2, "embedding", F.reverse("embedding"))
+    version = stored.write(vectors(t))
+    own = version.table.select(F.min_by("label", "id")).first()[0]
+    turned = version.table.where("label = 1").withColumn("embedding", F.reverse("embedding"))
+    changes = {
+        "insert": lambda table: crud.insert(table, turned, "id", "id"),
+        "delete": lambda table: crud.delete_where(table, F.col("label") == own),
+        "update": lambda table: crud.update_where(table, F.col("label") == 2, "embedding", F.reverse("embedding")),
+    }
+    phases = {"before": version}
+    for phase, change in changes.items():
+        version = phases[phase] = stored.write(change(version.table))
     stacked = None
-    for phase, table in {
-        "before": before, "insert": inserted, "delete": deleted, "update": updated
-    }.items():
-        part = K.knn(table, target, 5, "cosine").withColumn("phase", F.lit(phase))
+    for phase, version in phases.items():
+        about = {"phase": F.lit(phase), "version": F.lit(version.number), "rows": F.lit(version.rows).cast("long")}
+        part = K.knn(version.table, target, 5, "cosine").withColumns(about)
         stacked = part if stacked is None else stacked.unionByName(part)
-    return scored(stacked, "phase")
+    return stacked
+
+
+@query("knn_across_versions", f"{VERSIONS_SQL} select phase, id, rank, score from {VERSION_HITS}")
+def _(t: Tables) -> DataFrame:
+    return scored(version_hits(t), "phase")
+
+
+@query("crud_round_versions", f"""{VERSIONS_SQL}
+select phase, version, rows, id, rank, score from {VERSION_HITS}
+join (select phase, any_value(version) as version, count(*) as rows from versions group by phase) using (phase)""")
+def _(t: Tables) -> DataFrame:
+    return scored(version_hits(t), "phase", "version", "rows")
 
 
 @query("semantic_search")
@@ -343,7 +364,7 @@ def _(t: Tables) -> DataFrame:
     asked = term_weights(t.benchmark, "item_id", "text").select(
         F.col("id").alias("query_id"), "term", F.col("weight").alias("q_weight")
     )
-    return scored(M.sparse_search(docs, asked, 10), "query_id")
+    return scored(SP.sparse_search(docs, asked, 10), "query_id")
 
 
 # --- hits and ports ---------------------------------------------------------
@@ -419,6 +440,32 @@ def _(t: Tables) -> DataFrame:
     return A.frequency_strata(address.unionByName(port))
 
 
+PROBE_PORTS = "(select src_port as port, count(*) as n from $flows where src_port is not null group by 1 order by n desc, port limit 5)"
+FLOW_VECTORS = f"""(select frame_number as id, src_port as port,
+  [{_ip('ip_src')} / 4294967296.0::double, {_ip('ip_dst')} / 4294967296.0::double,
+   coalesce(src_port, 0) / 65535.0::double, coalesce(dst_port, 0) / 65535.0::double] as v from $flows)"""
+
+
+@query("probe_ports_metrics", f"""
+with probes as (select port, arg_min(v, id) as p from {FLOW_VECTORS} where port in (select port from {PROBE_PORTS}) group by port),
+     scores as (select port, id, round(list_distance(v, p), 9) as l2, round(list_inner_product(v, p), 9) as ip,
+                       round(list_cosine_similarity(v, p), 9) as cosine from (select id, v from {FLOW_VECTORS}), probes),
+     ranked as (select port, 'l2' as metric, id, row_number() over (partition by port order by l2, id) as rank, l2 as s from scores
+       union all select port, 'ip', id, row_number() over (partition by port order by ip desc, id), ip from scores
+       union all select port, 'cosine', id, row_number() over (partition by port order by cosine desc, id), cosine from scores)
+select port, metric, id, rank, round(s, 6) as score from ranked where rank <= 5""")
+def _(t: Tables) -> DataFrame:
+    """The first flow of each of the five most frequent ports as probe, under three metrics."""
+    flows = t.flows.select("frame_number", "src_port", scaled_flow().alias("embedding"))
+    ports = A.top_values(t.flows, "src_port", 5).select("src_port")
+    # Five ports.
+    probes = flows.join(F.broadcast(ports), "src_port").groupBy("src_port").agg(F.min_by("embedding", "frame_number").alias("embedding"))
+    hits = K.metrics_join(
+        K.as_queries(probes, "src_port", "embedding"), K.as_rows(flows, "frame_number", "embedding"), 5, ("l2", "ip", "cosine"), 4
+    )
+    return scored(hits.withColumn("port", F.col("query_id").cast("int")), "port", "metric")
+
+
 @query("join_hits_port_stats", f"""
 select rank, h.port, round(s, 6) as score, frequency, round(avg_distance, 6) as avg_distance,
        frequency is not null as found

@@ -10,12 +10,14 @@ from flowvec.functions import templates as TP
 from flowvec.functions import vectors as V
 from flowvec.operators import analytics as A
 from flowvec.operators import bpe
+from flowvec.operators import cooccurrence as CO
 from flowvec.operators import embedding as M
 from flowvec.operators import evaluation as E
 from flowvec.operators import knn as K
 from flowvec.operators import positions as P
 from flowvec.operators import text as T
 from flowvec.plans.registry import query
+from flowvec.session import checkpoint
 from flowvec.plans.rows import TOKEN_SQL
 from flowvec.plans.search import scored, vectors
 from flowvec.sources import synthetic as G
@@ -243,29 +245,58 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+def vectors_sql(pairs: str, cells: int) -> str:
+    """Token vectors of :mod:`flowvec.operators.cooccurrence` for given ``token, context`` pairs."""
+    return f"""counts as (select token, context, count(*) as n from {pairs} group by all),
+     totals as (select token, sum(n) as s from counts group by token),
+     weights as (select * from (select c.token, c.context,
+         ln(c.n::double * (select sum(n) from counts)::double / (a.s::double * b.s::double)) as weight
+       from counts c join totals a on a.token = c.token join totals b on b.token = c.context) where weight > 0),
+     cells as (select token, i, sum(case when ((instr('0123456789abcdef', substr(md5(context), cast(i // 4 + 1 as integer), 1)) - 1) >> cast(3 - i % 4 as integer)) & 1 = 1
+                                    then weight else -weight end) as x
+       from weights, (select unnest(range({cells})) as i) group by token, i),
+     vectors as (select token, i, coalesce(x, 0) as x from totals cross join (select unnest(range({cells})) as i) left join cells using (token, i))"""
+
+
+ENTITY_SQL = "with " + vectors_sql("(select ip_src as token, ip_dst as context from $flows union all select ip_dst, ip_src from $flows)", 128)
+
+
 def entity_vectors(t: Tables) -> DataFrame:
-    sentences = M.entity_sentences(t.flows, "ip_src", "ip_dst")
-    return M.token_vectors(M.train_word2vec(sentences, "entities", size=16, window=2, epochs=10))
+    return CO.token_vectors(M.entity_sentences(t.flows, "ip_src", "ip_dst"), "entities")
 
 
-@query("embed_ip_entities")
+@query("embed_ip_entities", f"{ENTITY_SQL} select token as ip, i, round(x, 6) + 0.0 as x from vectors")
 def _(t: Tables) -> DataFrame:
-    ips = A.distinct_values(t.flows, ["ip_src", "ip_dst"], "token")
-    return ips.join(entity_vectors(t), "token").select(
-        F.col("token").alias("ip"), F.posexplode("vector").alias("i", "x")
-    )
+    made = entity_vectors(t).select(F.col("token").alias("ip"), F.posexplode("vector").alias("i", "x"))
+    return made.withColumn("x", F.round("x", 6) + 0.0)
 
 
-@query("knn_entity")
+@query("knn_entity", f"""
+{ENTITY_SQL}, whole as (select token, list(x order by i) as v from vectors group by token),
+busiest as (select v as p from whole where token = (select ip_src from $flows group by 1 order by count(*) desc, ip_src limit 1))
+select token as ip, row_number() over (order by s desc, token) as rank, round(s, 6) as score
+from (select token, round(list_cosine_similarity(v, p), 9) as s from whole, busiest where list_inner_product(v, v) > 0)
+qualify rank <= 10""")
 def _(t: Tables) -> DataFrame:
     """Addresses nearest to the busiest one; an unknown address has none."""
-    known = entity_vectors(t)
+    known = checkpoint(entity_vectors(t))
     busiest = A.top_values(t.flows, "ip_src", 1).first()["ip_src"]
     found = known.where(F.col("token") == busiest).first()
-    target = found["vector"] if found else [0.0] * 16
+    target = found["vector"] if found else [0.0] * CO.CELLS
     return scored(K.knn(known, target, 10, "cosine", "token", "vector")).withColumnRenamed("id", "ip")
 
 
+@query("embed_neighbours", f"""
+with toks as (select frame_number, {TOKEN_SQL} as t from $flows),
+     placed as (select frame_number, t[p] as token, p from (select frame_number, t, unnest(range(1, len(t) + 1)) as p from toks)),
+     {vectors_sql("(select a.token, b.token as context from placed a join placed b on a.frame_number = b.frame_number and a.p <> b.p and abs(a.p - b.p) <= 2)", 16)}
+select token, i, round(x, 6) + 0.0 as x from vectors""")
+def _(t: Tables) -> DataFrame:
+    """Vectors of the flow tokens from their neighbours two places to either side."""
+    made = CO.token_vectors(flow_tokens(t), "tokens", window=2, cells=16)
+    return made.select("token", F.posexplode("vector").alias("i", "x")).withColumn("x", F.round("x", 6) + 0.0)
+
+
 SEQUENCE = "(select id // 8 as seq, id % 8 as p, v, case when id % 8 < 6 then 1 else 0 end as mask from $vectors)"
 
 

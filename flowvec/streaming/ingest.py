@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from flowvec import schemas
 from flowvec.operators.embedding import hashed_text
 from flowvec.sources.flows import normalize_capture
+from flowvec.streaming.keyed import KeyedTable
+from flowvec.streaming.progress import StopWhenFull
 
 
 def read_capture_stream(spark: SparkSession, folder: str, files_per_trigger: int = 100) -> DataFrame:
@@ -29,6 +31,7 @@ def ingest(stream: DataFrame, target: str, state: str, every: str | None = None)
     """Normalise capture records and append them; exactly once through the file sink."""
     return (
         normalize_capture(stream)
+        .observe("stored", F.count(F.lit(1)).alias("n"))
         .writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", state)
@@ -41,60 +44,51 @@ def ingest(stream: DataFrame, target: str, state: str, every: str | None = None)
 def ingest_bounded(
     stream: DataFrame, target: str, state: str, packets: int, every: str | None = None
 ) -> StreamingQuery:
-    """As :func:`ingest`, but stop storing after ``packets`` records.
+    """As :func:`ingest`, but the query stores ``packets`` records and then ends itself.
 
-    Each batch goes to its own folder, so a replayed batch overwrites itself,
-    and room is counted from the folders of the batches before it.
+    The running count is the state of a streaming limit: no batch counts what
+    earlier ones have stored, and a restarted query goes on from there.
     """
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        stored = 0
-        if batch_id:
-            earlier = batch.sparkSession.read.parquet(target).where(F.col("batch") < batch_id)
-            stored = earlier.count()
-        room = max(0, packets - stored)
-        batch.orderBy("no").limit(room).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-
-    return (
-        normalize_capture(stream)
-        .writeStream.foreachBatch(store)
+    spark = stream.sparkSession
+    offered = normalize_capture(stream).observe("offered", F.count(F.lit(1)).alias("n"))
+    kept = offered.limit(packets).observe("stored", F.count(F.lit(1)).alias("n"))
+    full = StopWhenFull(spark, packets)
+    spark.streams.addListener(full)
+    full.query = (
+        kept.writeStream.format("parquet")
+        .option("path", target)
         .option("checkpointLocation", state)
+        .outputMode("append")
         .trigger(**_trigger(every))
         .start()
     )
+    return full.query
 
 
 def embed_upsert(
-    stream: DataFrame, target: str, state: str, text: str, dim: int, every: str | None = None
+    stream: DataFrame,
+    table: KeyedTable,
+    state: str,
+    text: str,
+    dim: int,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Embed each record and store it for upsert; the last batch wins per key.
+    """Normalise and embed capture records and upsert them; the last batch wins per key.
 
-    A batch writes a folder of its own, at the cost of its own rows only; the
-    current table is read with :func:`read_upserted`.
+    A batch costs its own rows, and every so often the ranges of keys it shares
+    with the batches before it; the current rows are those of ``table.read()``.
     """
-    embedded = hashed_text(stream, text, dim)
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-
+    embedded = hashed_text(normalize_capture(stream), text, dim)
     return (
-        embedded.writeStream.foreachBatch(store)
+        embedded.writeStream.foreachBatch(table.append)
         .option("checkpointLocation", state)
         .trigger(**_trigger(every))
         .start()
     )
 
 
-def read_upserted(spark: SparkSession, target: str, key: str, order: str) -> DataFrame:
-    """Current rows of an upserted table: the latest batch, then the highest ``order``."""
-    rows = spark.read.parquet(target)
-    rest = [c for c in rows.columns if c not in (key, "batch")]
-    last = F.max_by(F.struct(*rest), F.struct("batch", order))
-    return rows.groupBy(key).agg(last.alias("_row")).select(key, "_row.*")
-
-
 def progress(query: StreamingQuery) -> DataFrame:
-    """Rows and rows per second of each finished micro-batch, one row per batch."""
+    """Rows and rows per second of the last micro-batches Spark remembers; :class:`~flowvec.streaming.progress.BatchLog` keeps all."""
     spark = query.sparkSession if hasattr(query, "sparkSession") else SparkSession.active()
     rows = [
         (p["batchId"], p["numInputRows"], float(p["processedRowsPerSecond"] or 0.0))
