@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowvec.operators.positions import number_values, with_position
-from flowvec.session import lookup_join, one_row
+from flowvec.session import checkpoint, lookup_join, one_row
 
 # Positions per bucket of the recurrence and gap operators.
 SPAN = 1_000_000
@@ -156,9 +156,10 @@ def consecutive_hit_gaps(hits: DataFrame, df: DataFrame, port: str, order: str)
     swept in position order: only neighbours of different sides can be
     nearest.  Buckets hand their outermost positions to the next ones.
     """
-    # A result list is short, so one window may number it.
-    previous = F.lag("port").over(Window.orderBy("rank"))
-    pairs = hits.select("rank", "port", previous.alias("prev_port")).where("prev_port is not null")
+    # The hit before is the one whose place is one less, so no window takes the whole list.
+    numbered = checkpoint(with_position(hits.select("rank", "port"), "rank", "_n"))
+    before = numbered.select((F.col("_n") + 1).alias("_n"), F.col("port").alias("prev_port"))
+    pairs = lookup_join(numbered, before, ["_n"], "inner").select("rank", "port", "prev_port").where("prev_port is not null")
     sides = pairs.select(
         "rank",
         F.explode(
@@ -168,7 +169,7 @@ def consecutive_hit_gaps(hits: DataFrame, df: DataFrame, port: str, order: str)
             )
         ).alias("s"),
     ).select("rank", "s.*")
-    rows = _placed(df, port, order).join(F.broadcast(sides), "port").select("rank", "side", "p", "b")
+    rows = lookup_join(_placed(df, port, order), sides, ["port"], "inner").select("rank", "side", "p", "b")
     mine = Window.partitionBy("rank", "b").orderBy("p", "side")
     before = mine.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     c_pos, p_pos = F.when(F.col("side") == "c", F.col("p")), F.when(F.col("side") == "p", F.col("p"))

@@ -124,18 +124,13 @@ def fifo_update(state: DataFrame, n: int, key: str, changed: dict[str, Column])
     return kept.drop("_pos").unionByName(fresh.drop("_pos"))
 
 
-def exact_match(state: DataFrame, nearest: DataFrame, key: str, text_col: str) -> DataFrame:
-    """Rows a text-keyed change applies to, one per requested text.
+def equal_texts(state: DataFrame, texts: DataFrame, key: str, text_col: str) -> DataFrame:
+    """Rows a text-keyed change applies to, one per requested text: the lowest id with that text.
 
-    ``nearest`` holds each requested ``text`` with the ``hit_text`` of its
-    nearest neighbour.  Only where both are equal is there a match, and the
-    lowest id with that text is the one.
+    ``texts`` holds the requested texts in ``text_col``.  An equal text is its own
+    nearest neighbour, so no search is needed.
     """
-    # The search is not repeated by the joins below.
-    nearest = checkpoint(nearest)
-    wanted = nearest.where(F.col("text") == F.col("hit_text")).select(
-        F.col("text").alias(text_col)
-    ).distinct()
+    wanted = checkpoint(texts.select(text_col).distinct())
     # One text may be that of very many rows, so the join must stand hot keys.
     matching = lookup_join(state.select(key, text_col), wanted, [text_col], "left_semi")
     return matching.groupBy(text_col).agg(F.min(key).alias(key))

@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 from flowvec.functions import vectors as V
 from flowvec.operators.pairwise import best_pairs, compare_blocks, keep_best, to_matrix, with_dim
+from flowvec.session import lookup_join
 
 HIT_SCHEMA = "query_id long, id long, score double"
+# Hits up to which a report names them to the payload scan; more are joined.
+LITERAL_HITS = 1_000
 
 
 def knn(
@@ -190,13 +193,15 @@ def first_vector(df: DataFrame, id_col: str, vec_col: str) -> list[float]:
 def report(hits: DataFrame, payload: DataFrame, id_col: str, text_col: str, decimals: int = 4):
     """Ranked hits with their text; a hit without payload says ``Entry <id>``."""
     spark = payload.sparkSession
-    # Hits are at most k rows; as literals they reach the payload scan as a filter.
-    found = hits.collect()
-    local = spark.createDataFrame(found, hits.schema)
-    texts = payload.where(F.col(id_col).isin([hit["id"] for hit in found])).select(
-        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")
-    )
-    return local.join(texts, "id", "left").select(
+    found = hits.limit(LITERAL_HITS + 1).collect()
+    texts = payload.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    if len(found) <= LITERAL_HITS:
+        # A few hits reach the payload scan as a filter.
+        local = spark.createDataFrame(found, hits.schema)
+        joined = local.join(texts.where(F.col("id").isin([hit["id"] for hit in found])), "id", "left")
+    else:
+        joined = lookup_join(hits, texts, ["id"])
+    return joined.select(
         "rank",
         "id",
         F.round("score", decimals).alias("score"),

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from flowvec.session import checkpoint
 
 ROWS_PER_BUCKET = 500_000
-MAX_BUCKETS = 50_000
+# Also a small table is cut into buckets, so that no window ever takes all rows of one.
+MIN_BUCKETS, MAX_BUCKETS = 8, 50_000
 
 
 def _bucket_count(rows: int, rows_per_bucket: int) -> int:
-    return max(1, min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket)))
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket)))
 
 
 def order_buckets(
@@ -28,7 +29,7 @@ def order_buckets(
     """Add a bucket number that rises with the numeric ``key``.
 
     Limits come from approximate quantiles: they steer bucket sizes only, the
-    order of the buckets is exact.  Rows that fit one bucket get no number.
+    order of the buckets is exact.  Rows of one key only get no number.
     """
     buckets = _bucket_count(df.count(), rows_per_bucket)
     cuts: list[float] = []
@@ -49,8 +50,6 @@ def hash_buckets(
 ) -> DataFrame:
     """Like :func:`order_buckets` for a column of hexadecimal digests."""
     buckets = _bucket_count(df.count(), rows_per_bucket)
-    if buckets == 1:
-        return df
     head = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
     return df.withColumn(name, F.floor(head * buckets / F.lit(float(1 << 32))).cast("int"))
 
@@ -64,7 +63,7 @@ def number_rows(
 ) -> DataFrame:
     """Positions from 1, per ``within`` group, over already bucketed rows."""
     if bucket not in bucketed.columns:
-        # All rows fit one bucket, so one window holds them.
+        # One key has no order to cut; it is unique, so this is one row.
         place = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
         return bucketed.withColumn(name, place.cast("long"))
     groups = [*within, bucket]

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowvec.functions import cleaning as C
 from flowvec.functions import templates as TP
 from flowvec.operators import analytics as A
 from flowvec.operators import crud
-from flowvec.operators import knn as K
 from flowvec.operators import positions as P
 from flowvec.operators import text as T
 from flowvec.plans.registry import query
 from flowvec.session import lookup_join, new_work_path
 from flowvec.sources import flows as S
 from flowvec.sources.tables import Tables
+from flowvec.sources.versions import VersionedTable
 
 STATE = "frame_number, ip_src, ip_dst, protocol, frame_len"
 COLUMNS = STATE.split(", ")
@@ -130,38 +130,16 @@ def _(t: Tables) -> DataFrame:
     return crud.delete_sample(rows, rows.count() * 3 // 10, "frame_number", "cut")
 
 
-def flow_vector(c: str) -> Column:
-    """Octets of both addresses and a number for the protocol."""
-    octets = F.transform(
-        F.concat(F.split("ip_src", r"\."), F.split("ip_dst", r"\.")), lambda o: o.cast("double")
-    )
-    protocol = F.ascii("protocol").cast("double") * 100 + F.length("protocol")
-    return F.concat(octets, F.array(protocol)).alias(c)
-
-
 def requested_matches(t: Tables) -> tuple[DataFrame, DataFrame]:
     """State with texts, and the row that each requested text applies to.
 
-    Requested are the texts of all UDP flows and of all orders; the latter
-    have a nearest neighbour with another text.
+    Requested are the texts of all UDP flows and of all orders; no row has one
+    of the latter.  Only an equal text counts as a match, so equality is looked up.
     """
     rows = TP.serialize_flow(state(t), "comma3")
     wanted = state(t).where("protocol = 'UDP'").unionByName(order_flows(t))
-    first = F.min(F.struct("frame_number", "ip_src", "ip_dst", "protocol")).alias("r")
-    texts = TP.serialize_flow(wanted, "comma3").groupBy("packet_text").agg(first).select("packet_text", "r.*")
-    asked = P.with_hash_position(texts, "packet_text", "query_id")
-    hits = K.knn_join(
-        asked.select("query_id", flow_vector("q")),
-        rows.select(F.col("frame_number").alias("id"), flow_vector("v")),
-        1, "l2", dim=9,
-    )
-    found = rows.select(F.col("frame_number").alias("id"), F.col("packet_text").alias("hit_text"))
-    nearest = (
-        hits.select("query_id", "id")
-        .join(asked.select("query_id", F.col("packet_text").alias("text")), "query_id")
-        .join(found, "id")
-    )
-    return rows, crud.exact_match(rows, nearest, "frame_number", "packet_text")
+    asked = TP.serialize_flow(wanted, "comma3").select("packet_text").distinct()
+    return rows, crud.equal_texts(rows, asked, "frame_number", "packet_text")
 
 
 MATCHED = "(select min(frame_number) from $flows where protocol = 'UDP' group by ip_src, ip_dst, protocol)"
@@ -194,20 +172,23 @@ select 'delete sample', (n + m) - (n + m) * 3 // 10 from n, m union all
 select 'update first', (n + m) - (n + m) * 3 // 10 from n, m union all
 select 'delete all', 0 from n, m""")
 def _(t: Tables) -> DataFrame:
-    """Insert all, delete 30 %, update 20 % under fresh ids, delete all; rows after each."""
-    inserted = crud.insert(state(t), order_flows(t), "frame_number", "frame_number")
-    n = inserted.count()
-    kept = crud.delete_sample(inserted, n * 3 // 10, "frame_number")
-    updated = crud.fifo_update(kept, n // 5, "frame_number", {"protocol": F.lit("UDP")})
-    emptied = crud.delete_ids(updated, updated.select("frame_number"), "frame_number")
-    phases = {
-        "insert all": inserted, "delete sample": kept, "update first": updated, "delete all": emptied
+    """Insert all, delete 30 %, update 20 % under fresh ids, delete all; rows after each.
+
+    Each phase is a version of its own, counted while it is written, and the next
+    one reads it.
+    """
+    stored = VersionedTable(t.spark, new_work_path(t.spark, "round"))
+    first = stored.write(crud.insert(state(t), order_flows(t), "frame_number", "frame_number"))
+    changes = {
+        "delete sample": lambda table: crud.delete_sample(table, first.rows * 3 // 10, "frame_number"),
+        "update first": lambda table: crud.fifo_update(table, first.rows // 5, "frame_number", {"protocol": F.lit("UDP")}),
+        "delete all": lambda table: crud.delete_ids(table, table.select("frame_number"), "frame_number"),
     }
-    stacked = None
-    for phase, table in phases.items():
-        counted = table.agg(F.count(F.lit(1)).alias("rows")).withColumn("phase", F.lit(phase))
-        stacked = counted if stacked is None else stacked.unionByName(counted)
-    return stacked
+    phases, version = [("insert all", first.rows)], first
+    for phase, change in changes.items():
+        version = stored.write(change(version.table))
+        phases.append((phase, version.rows))
+    return t.spark.createDataFrame(phases, "phase string, rows long")
 
 
 @query("crud_recreate", f"select {STATE} from {ORDER_FLOWS}")

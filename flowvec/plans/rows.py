@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,6 +208,43 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query("src_resource_csv", """
+select 'cpu' as kind, count(*) as samples, round(sum(value), 4) as total, round(max(event_id * 0.1), 4) as last from events
+union all select 'memory', count(*), round(sum(value * 10), 4), round(max(event_id * 0.5), 4) from events""")
+def _(t: Tables) -> DataFrame:
+    """Load and memory logs with a header line."""
+    path = new_work_path(t.spark, "resource-csv")
+    number = F.col("event_id")
+    cpu = t.events.select((number * 0.1).alias("time_offset"), F.col("value").alias("cpu_percent"))
+    memory = t.events.select((number * 0.5).alias("timestamp"), (F.col("value") * 10).alias("memory_mb"), F.col("value").alias("memory_percent"))
+    cpu.write.csv(f"{path}/cpu", header=True)
+    memory.write.csv(f"{path}/memory", header=True)
+    logs = {
+        "cpu": S.read_resource_log(t.spark, f"{path}/cpu").toDF("at", "value"),
+        "memory": S.read_resource_log(t.spark, f"{path}/memory", schemas.MEMORY_LOG).select(F.col("timestamp").alias("at"), F.col("memory_mb").alias("value")),
+    }
+    parts = [
+        log.agg(F.count(F.lit(1)).alias("samples"), F.round(F.sum("value"), 4).alias("total"), F.round(F.max("at"), 4).alias("last")).withColumn("kind", F.lit(kind))
+        for kind, log in logs.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("sink_drop_tables", "select count(*) as rows_written, 2 as tables_before, 0 as tables_after from (select c_custkey from customer union all select s_suppkey from supplier)")
+def _(t: Tables) -> DataFrame:
+    """Two tables of a database are written, counted and dropped."""
+    name = f"scratch_{uuid.uuid4().hex[:12]}"
+    t.spark.sql(f"create database {name} location '{new_work_path(t.spark, name)}'")
+    for table in ("customer", "supplier"):
+        getattr(t, table).write.saveAsTable(f"{name}.{table}")
+    tables = [x.name for x in t.spark.catalog.listTables(name)]
+    rows = sum(t.spark.table(f"{name}.{x}").count() for x in tables)
+    S.drop_tables(t.spark, name)
+    left = len(t.spark.catalog.listTables(name))
+    t.spark.sql(f"drop database {name}")
+    return t.spark.range(1).select(F.lit(rows).cast("long").alias("rows_written"), F.lit(len(tables)).alias("tables_before"), F.lit(left).alias("tables_after"))
+
+
 @query("src_resource_log", """
 select count(*) as samples, round(sum(value), 4) as total, true as offsets_fit from events""")
 def _(t: Tables) -> DataFrame:

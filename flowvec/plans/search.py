@@ -18,7 +18,7 @@ from flowvec.operators import evaluation as E
 from flowvec.operators import knn as K
 from flowvec.operators import sparse as SP
 from flowvec.plans.registry import query
-from flowvec.session import checkpoint, new_work_path
+from flowvec.session import checkpoint, lookup_join, new_work_path
 from flowvec.sources.tables import Tables
 from flowvec.sources.versions import VersionedTable
 
@@ -510,6 +510,16 @@ def same_label_join(t: Tables, k: int, metric: str) -> DataFrame:
     )
 
 
+@query("agg_weighted_parts", f"""
+select round(avg(s), 6) as avg_distance, rank from {pairs_sql('cosine_distance', 5, 'a.label = b.label')} group by rank""")
+def _(t: Tables) -> DataFrame:
+    """Means of the parts of a result, a part per label, merged by their sizes."""
+    labels = vectors(t).select(F.col("id").alias("query_id"), "label")
+    hits = same_label_join(t, 5, "cosine_distance").join(labels, "query_id")
+    parts = hits.groupBy("label", "rank").agg(F.avg("score").alias("avg_distance"), F.count(F.lit(1)).alias("n"))
+    return A.weighted_parts(parts, "avg_distance", "n", ["rank"]).withColumn("avg_distance", F.round("avg_distance", 6))
+
+
 @query("agg_distance_summary", f"""
 select round(avg(s), 6) as avg_distance, round(min(s), 6) as min_distance, round(max(s), 6) as max_distance
 from {pairs_sql('cosine_distance', 5)}""")
@@ -537,6 +547,21 @@ def _(t: Tables) -> DataFrame:
     return ann.recall(self_join(t, 5, "l2"), same_label_join(t, 5, "l2"))
 
 
+@query("eval_recall_times", f"""
+select e.event_type as method, count(*) as queries, round(avg(r.recall), 6) as avg_recall, round(avg(e.value), 6) as avg_seconds
+from (select t.query_id, count(f.id) / 5.0::double as recall from {pairs_sql('l2', 5)} t
+      left join {pairs_sql('l2', 5, 'a.label = b.label')} f on f.query_id = t.query_id and f.id = t.id group by t.query_id) r
+join events e on e.event_id = r.query_id group by e.event_type""")
+def _(t: Tables) -> DataFrame:
+    """Mean recall beside mean time; the events stand for the log of the searches."""
+    recall = ann.recall(self_join(t, 5, "l2"), same_label_join(t, 5, "l2"))
+    timed = t.events.select(F.col("event_id").alias("query_id"), F.col("event_type").alias("method"), F.col("value").alias("seconds"))
+    joined = lookup_join(timed, recall, ["query_id"], "inner")
+    return joined.groupBy("method").agg(
+        F.count(F.lit(1)).alias("queries"), F.round(F.avg("recall"), 6).alias("avg_recall"), F.round(F.avg("seconds"), 6).alias("avg_seconds")
+    )
+
+
 @query("eval_kmeans")
 def _(t: Tables) -> DataFrame:
     found = E.kmeans(vectors(t), "id", "embedding", 10)
@@ -574,6 +599,19 @@ def _(t: Tables) -> DataFrame:
     return points.select("id", "cluster", F.round("silhouette", 6).alias("silhouette"))
 
 
+@query("eval_silhouette_sq", """
+with sums as (select a.id, a.label as own, b.label as other, sum(list_distance(a.v, b.v) ** 2) as total, count(*) as n
+              from $vectors a, $vectors b group by all),
+     ab as (select id, own, max(case when own = other and n > 1 then total / (n - 1) end) as a,
+                   min(case when own <> other then total / n end) as b from sums group by id, own)
+select count(*) as n, round(avg(case when a is null then 0 else (b - a) / greatest(a, b) end), 5) as silhouette from ab""")
+def _(t: Tables) -> DataFrame:
+    """The mean silhouette under squared distances, from sums per class: linear in the rows."""
+    rows = vectors(t)
+    value = E.silhouette_sq(rows, "embedding", "label")
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.lit(round(value, 5)).alias("silhouette"))
+
+
 @query("eval_pca2")
 def _(t: Tables) -> DataFrame:
     return E.pca2(vectors(t), "id", "embedding")

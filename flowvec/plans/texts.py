@@ -195,6 +195,20 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query("embed_blank_text", r"""
+select doc_id, x = 'empty' as replaced, case when regexp_matches(lower(x), '[\p{L}\p{N}]') then 1.0::double else 0.0::double end as norm
+from (select doc_id, case when regexp_replace(t, '\s+', '', 'g') = '' then 'empty' else t end as x
+      from (select doc_id, case doc_id % 7 when 0 then '' when 1 then ' ' || chr(9) || ' ' else text end as t from documents))""")
+def _(t: Tables) -> DataFrame:
+    """Blank texts are replaced before they are embedded."""
+    blanked = docs(t).withColumn(
+        "text", F.when(F.col("doc_id") % 7 == 0, "").when(F.col("doc_id") % 7 == 1, " \t ").otherwise(F.col("text"))
+    )
+    filled = blanked.withColumn("text", M.text_or_default(F.col("text")))
+    made = M.hashed_text(filled, "text")
+    return made.select("doc_id", (F.col("text") == M.DEFAULT_TEXT).alias("replaced"), F.round(V.norm(F.col("embedding")), 5).alias("norm"))
+
+
 def letter_encoder():
     """A tiny stand-in for a user's model: relative letter and digit frequencies."""
     signs = "abcdefghijklmnopqrstuvwxyz0123456789"

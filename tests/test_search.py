@@ -225,9 +225,9 @@ def test_inserts_and_deletes_add_up(spark, state):
     assert sorted(r.id for r in moved.collect()) == [3, 4, 5, 6, 7, 8]
 
 
-def test_exact_match_takes_the_lowest_id_and_needs_an_equal_neighbour(spark, state):
-    nearest = spark.createDataFrame([("a", "a"), ("bb", "b")], "text string, hit_text string")
-    assert as_set(crud.exact_match(state, nearest, "id", "text")) == {("a", 1)}
+def test_equal_texts_take_the_lowest_id(spark, state):
+    texts = spark.createDataFrame([("a",), ("bb",), ("a",)], "text string")
+    assert as_set(crud.equal_texts(state, texts, "id", "text")) == {("a", 1)}
 
 
 # --- evaluation -------------------------------------------------------------
@@ -242,7 +242,44 @@ def test_best_matching_against_all_permutations():
             sum(wide[i, c] for i, c in enumerate(chosen))
             for chosen in itertools.permutations(range(wide.shape[1]), wide.shape[0])
         )
-        assert E.best_matching(gain) == best
+        i, j = np.nonzero(gain)
+        assert E.best_matching(i, j, gain[i, j]) == best
+
+
+def test_best_matching_of_many_sparse_classes():
+    rng = np.random.default_rng(6)
+    for _ in range(30):
+        cells = {(int(a), int(b)): int(g) for a, b, g in zip(rng.integers(0, 6, 12), rng.integers(0, 5, 12), rng.integers(1, 9, 12))}
+        best = 0
+        for chosen in itertools.permutations(range(6), 5):
+            best = max(best, sum(cells.get((a, b), 0) for b, a in enumerate(chosen)))
+        rows, columns = zip(*cells)
+        assert E.best_matching(np.array(rows), np.array(columns), np.array(list(cells.values()))) == best
+    # Classes as one block each, renamed, with some strays: more than any dense table would hold.
+    n = 3000
+    names = rng.permutation(n)
+    rows, columns = np.append(np.arange(n), rng.integers(0, n, 4 * n)), np.append(names, rng.integers(0, n, 4 * n))
+    gain = np.append(np.full(n, 1000), rng.integers(1, 5, 4 * n))
+    table = {}
+    for a, b, g in zip(rows.tolist(), columns.tolist(), gain.tolist()):
+        table[a, b] = table.get((a, b), 0) + g
+    own = sum(table[a, int(names[a])] for a in range(n))
+    assert E.best_matching(*map(np.array, zip(*table)), np.array(list(table.values()))) == own
+
+
+def test_purity_needs_no_limit_of_classes(spark):
+    rows = spark.range(4000).select((F.col("id") % 2000).alias("label"), (F.col("id") % 2000 + 7).alias("cluster"))
+    assert E.purity(rows, "label", "cluster") == 1
+    assert E.purity(rows.limit(0), "label", "cluster") == 0
+    odd = spark.createDataFrame([(1, 1), (1, None), (None, 2), (2, 1)], "label int, cluster int")
+    assert E.purity(odd, "label", "cluster") == 0.25
+
+
+def test_nearest_class_on_both_paths(table, monkeypatch):
+    key = lambda df: sorted((r.id, r.label, r.cluster) for r in df.collect())
+    few = key(E.nearest_class(table, "id", "label", "embedding"))
+    monkeypatch.setattr(E, "CENTROIDS", 2)
+    assert key(E.nearest_class(table, "id", "label", "embedding")) == few
 
 
 @pytest.mark.parametrize("blocks", [{}, {"broadcast_cells": 8, "block_rows": 60}])
