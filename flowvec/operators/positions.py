@@ -31,11 +31,14 @@ def order_buckets(
     Limits come from approximate quantiles: they steer bucket sizes only, the
     order of the buckets is exact.  Rows of one key only get no number.
     """
-    buckets = _bucket_count(df.count(), rows_per_bucket)
-    cuts: list[float] = []
-    if buckets > 1:
+    number = F.col(key).cast("double")
+    # One job counts the rows and cuts a small table; only a larger one is cut finer.
+    few = [i / MIN_BUCKETS for i in range(1, MIN_BUCKETS)]
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.percentile_approx(number, few, 100).alias("cuts")).first()
+    buckets, cuts = _bucket_count(seen["rows"], rows_per_bucket), seen["cuts"] or []
+    if buckets > MIN_BUCKETS:
         error = max(0.25 / buckets, 2e-5)
-        numeric = df.select(F.col(key).cast("double").alias(key))
+        numeric = df.select(number.alias(key))
         cuts = numeric.approxQuantile(key, [i / buckets for i in range(1, buckets)], error)
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     if len(splits) < 3:

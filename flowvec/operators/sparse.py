@@ -17,7 +17,7 @@ from flowvec.functions import vectors as V
 from flowvec.operators.knn import HIT_SCHEMA, best_hits, rank_hits
 from flowvec.session import checkpoint, lookup_join
 
-DOCS_PER_BLOCK = 4_096
+DOCS_PER_BLOCK = 1_024
 # Slack of a bound: it is summed in another order than the scores.
 SLACK = 1e-8
 
@@ -39,14 +39,19 @@ def _visit(visits: DataFrame, postings: DataFrame, queries: DataFrame, k: int) -
             start = np.searchsorted(mine[order], np.arange(len(both.dictionary) + 1))
             place, weight = place[order], docs["weight"].to_numpy()[order]
             query_ids, q_weight = terms["query_id"].to_numpy(), terms["q_weight"].to_numpy()
-            for query in np.unique(query_ids):
-                total, touched = np.zeros(len(ids)), np.zeros(len(ids), bool)
-                for i in np.flatnonzero(query_ids == query):
-                    run = slice(start[theirs[i]], start[theirs[i] + 1])
-                    np.add.at(total, place[run], weight[run] * q_weight[i])
-                    touched[place[run]] = True
-                hit = np.flatnonzero(touched)
+            by_query = np.argsort(query_ids, kind="stable")
+            names, begin = np.unique(query_ids[by_query], return_index=True)
+            for query, mine in zip(names.tolist(), np.split(by_query, begin[1:]), strict=True):
+                size = start[theirs[mine] + 1] - start[theirs[mine]]
+                # The postings of all terms of the query, one run after the other.
+                at = np.repeat(start[theirs[mine]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                total = np.bincount(place[at], weight[at] * np.repeat(q_weight[mine], size), len(ids))
+                hit = np.flatnonzero(np.bincount(place[at], minlength=len(ids)))
                 value = np.round(total[hit], V.TIE_DECIMALS)
+                if len(hit) > 4 * k:
+                    # Ties of the k-th best stay in, ids decide between them.
+                    reach = np.partition(value, len(value) - k)[len(value) - k]
+                    hit, value = hit[value >= reach], value[value >= reach]
                 found.append(best_hits(np.full(len(hit), query), ids[hit], value, k, False))
         return pa.concat_tables(found) if found else best_hits([], [], [], k, False)
 
