@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from flowvec.functions import templates as TP
 from flowvec.functions import vectors as V
 from flowvec.operators import analytics as A
+from flowvec.operators import ann
 from flowvec.operators import bpe
 from flowvec.operators import cooccurrence as CO
 from flowvec.operators import embedding as M
@@ -20,7 +21,6 @@ from flowvec.plans.registry import query
 from flowvec.session import checkpoint
 from flowvec.plans.rows import TOKEN_SQL
 from flowvec.plans.search import scored, vectors
-from flowvec.sources import synthetic as G
 from flowvec.sources.tables import Tables
 
 # --- chunks -----------------------------------------------------------------
@@ -389,30 +389,28 @@ def _(t: Tables) -> DataFrame:
 
 @query("eval_encoder_compare")
 def _(t: Tables) -> DataFrame:
-    """The same labelled flows under three encoders: purity and silhouette."""
-    families = G.family_flows(t.events, "event_id")
-    codes = A.encode_labels(families, "family", "label").withColumnRenamed("event_id", "id")
-    model = M.train_word2vec(codes, "tokens", size=10, window=2, epochs=5)
-    mean = M.mean_of_tokens(codes, "id", "tokens", M.token_vectors(model), 10)
+    """The flows under three encoders: how well they part the protocols, and how near and how surely neighbours are found."""
+    words = F.filter(TP.tokens(), lambda token: ~token.startswith("proto:"))
+    flows = t.flows.select(F.col("frame_number").alias("id"), "protocol", words.alias("tokens"))
+    codes = checkpoint(A.encode_labels(flows, "protocol", "label").select("id", "label", "tokens"))
+    near = M.mean_of_tokens(codes, "id", "tokens", checkpoint(CO.token_vectors(codes, "tokens", cells=32)), 32)
     encoders = {
-        "word2vec": codes.select("id", "label").join(mean, "id"),
+        "neighbours_32": codes.select("id", "label").join(near, "id"),
         "hashed_32": M.hashed(codes, "tokens", 32),
         "hashed_256": M.hashed(codes, "tokens", 256),
     }
-    stacked = None
+    lines = []
     for encoder, embedded in encoders.items():
-        rows = embedded.select("id", "label", "embedding")
-        clusters = E.kmeans(rows, "id", "embedding", 4, restarts=3)
-        labelled = rows.join(clusters, "id")
-        line = t.spark.createDataFrame(
-            [
-                (
-                    encoder,
-                    float(E.purity(labelled, "label", "cluster")),
-                    E.silhouette_sq(labelled, "embedding", "cluster"),
-                )
-            ],
-            "encoder string, purity double, silhouette_sq double",
+        rows = checkpoint(embedded.select("id", "label", "embedding"))
+        labelled = rows.join(E.kmeans(rows, "id", "embedding", 5, restarts=10), "id")
+        queries = K.as_queries(rows.where("id % 50 = 0"), "id", "embedding")
+        truth = checkpoint(K.knn_join(queries, K.as_rows(rows, "id", "embedding"), 5, "cosine_distance"))
+        found = ann.build_ivf(rows, space="unit").search(queries, 5, "cosine_distance", nprobe=3)
+        scores = (
+            E.purity(labelled, "label", "cluster"),
+            E.silhouette_sq(labelled, "embedding", "cluster"),
+            A.query_similarity(truth).agg(F.avg("similarity")).first()[0],
+            ann.recall(truth, found).agg(F.avg("recall")).first()[0],
         )
-        stacked = line if stacked is None else stacked.unionByName(line)
-    return stacked
+        lines.append((encoder, *(float(x) for x in scores)))
+    return t.spark.createDataFrame(lines, "encoder string, purity double, silhouette_sq double, similarity double, recall double")
