@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowvec.llm.common import BLANKS, keyed, write_table
+from flowvec.llm.common import BLANKS, free_name, keyed, write_table
 
 BLOCK_CHARS = 4096
 # Stands for the missing right neighbour of the last name of an odd row of names.
@@ -133,22 +133,21 @@ def exact_groups(
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all its columns unchanged.
 
-    Rows that repeat a kept id and text are reduced to one.
+    Rows that repeat a kept id and text are reduced to one.  Other columns may have any names.
     """
     verdict = write_table(exact_groups(docs), "verdict")
-    kept = verdict.where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_text")
-    )
+    digest, kept_id, kept_text, same_id, same_text = (free_name(docs, n) for n in ("_sha", "_kept_id", "_kept_text", "_id", "_text"))
+    kept = verdict.where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_text))
     sha = F.sha2(normalised(F.coalesce(F.col("text").cast("string"), F.lit(""))), 256)
-    met = docs.withColumn("_sha", sha).join(
-        kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_text")), "left_semi"
+    met = docs.withColumn(digest, sha).join(
+        kept, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(digest) == F.col(kept_text)), "left_semi"
     )
     repeated = verdict.groupBy("doc_id", "text_sha256").count().where("count > 1")
     if not repeated.limit(1).count():
         return met.select(*[F.col(f"`{c}`") for c in docs.columns])
     # Rows that repeat id and text: the first by their other columns stays.
-    marks = repeated.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_text"))
-    again = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_text"))
+    marks = repeated.select(F.col("doc_id").alias(same_id), F.col("text_sha256").alias(same_text))
+    again = F.col("doc_id").eqNullSafe(F.col(same_id)) & (F.col(digest) == F.col(same_text))
     single = met.join(marks, again, "left_anti")
-    several = met.join(marks, again, "left_semi").dropDuplicates(["doc_id", "_sha"])
+    several = met.join(marks, again, "left_semi").dropDuplicates(["doc_id", digest])
     return single.unionByName(several).select(*[F.col(f"`{c}`") for c in docs.columns])

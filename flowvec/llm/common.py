@@ -28,6 +28,14 @@ def wide_rows(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with as many underscores behind it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(name: str = "text") -> Column:
     """The text of a row; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -17,6 +17,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from flowvec.llm.common import in_chunks, text_of
 
@@ -257,9 +258,12 @@ def masked(text: str) -> str:
 def mask_personal(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with personal data masked in the text; a null text stays null.
 
-    ``length_col``, if there is one, follows the new text.
+    ``length_col``, if there is one of whole numbers, follows the new text; of
+    another type it stays as it is, like all other columns.  Empty texts and ids,
+    null or repeated, stay too; an empty table gives an empty result.
     """
     schema = docs.schema
+    counted = length_col in docs.columns and isinstance(schema[length_col].dataType, IntegralType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,7 +271,8 @@ def mask_personal(docs: DataFrame, text_col: str = "text", length_col: str = "n_
             texts = [t if t is None else masked(t) for t in batch.column(at).to_pylist()]
             columns = list(batch.columns)
             columns[at] = pa.array(texts, batch.schema.field(at).type)
-            if (n := batch.schema.get_field_index(length_col)) >= 0:
+            if counted:
+                n = batch.schema.get_field_index(length_col)
                 lengths = [None if t is None else len(t) for t in texts]
                 columns[n] = pa.array(lengths, batch.schema.field(n).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)

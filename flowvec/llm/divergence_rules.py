@@ -216,7 +216,12 @@ def quality(docs: DataFrame, common: int = 64, limits: Limits = Limits()) -> Dat
 
 
 def keep_good(docs: DataFrame, common: int = 64, limits: Limits = Limits()) -> DataFrame:
-    """The rows of ``docs`` that pass, all columns unchanged."""
+    """The rows of ``docs`` that pass, all columns unchanged.
+
+    A null text counts as empty and fails, as it has too few words; a null
+    language is one of its own.  Repeated rows are judged one by one, ids are not
+    read; an empty table gives an empty result.
+    """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
     refs = references(docs.select(lang.alias("lang"), text_of().alias("text")), common)
 

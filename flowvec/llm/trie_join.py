@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowvec.llm.common import in_chunks, keyed, write_table
+from flowvec.llm.common import free_name, in_chunks, keyed, write_table
 from flowvec.llm.components import components
 from flowvec.llm.wordhash import hash_words, in_groups, mix
 
@@ -36,6 +36,8 @@ SPARE = 3
 FEW_EMPTY = 6
 # Signatures of a task that looks for equal ones, and sets of a task that joins.
 BUCKET_SIGNATURES = 2_000_000
+# Bytes of text whose words a task hashes together.
+TEXT_BYTES = 6_000_000
 BLOCK = 512
 # N-grams of a block of a large group, and the least sets of a block.
 BLOCK_GRAMS, BLOCK_SETS = 1_000_000, 64
@@ -350,7 +352,7 @@ def candidate_edges(rows: DataFrame, grams: int, words: int, percent: int) -> Da
     per_gram = 2.5 * (100 - percent) / (100 + percent) * 2
     buckets = max(1, int(grams * per_gram) // BUCKET_SIGNATURES + 1)
     blocks = rows.select("key", "text").mapInArrow(
-        in_chunks(_signature_blocks(buckets, words, percent)), "bucket long, left binary, right binary"
+        in_chunks(_signature_blocks(buckets, words, percent), chars=TEXT_BYTES), "bucket long, left binary, right binary"
     )
     return blocks.groupBy("bucket").applyInArrow(_equal_signatures, "a long, b long")
 
@@ -377,7 +379,7 @@ def candidate_sets(rows: DataFrame, groups: DataFrame, words: int) -> DataFrame:
         return pa.table({"node": table["key"], "grams": pa.array(grams, pa.binary())})
 
     hashed = rows.select("key", F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)).alias("at"), "text")
-    sets = hashed.mapInArrow(in_chunks(work), "node long, grams binary")
+    sets = hashed.mapInArrow(in_chunks(work, chars=TEXT_BYTES), "node long, grams binary")
     return groups.join(sets, "node")
 
 
@@ -446,12 +448,17 @@ def _overlaps(percent: int):
     return run
 
 
-def _explode_grams(batches):
+def _gram_counts(batches):
+    """Members of each component that have an n-gram, counted within the batch: members of a large group share most."""
     for batch in batches:
         sets = [np.frombuffer(g, np.int64) for g in batch.column("grams").to_pylist()]
         component = np.repeat(batch.column("component").to_numpy(), [len(s) for s in sets])
         gram = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(component, pa.int64()), pa.array(gram, pa.int64())], names=["component", "gram"])
+        order = np.lexsort((gram, component))
+        component, gram = component[order], gram[order]
+        new = np.flatnonzero(np.append(True, (np.diff(component) != 0) | (np.diff(gram) != 0))) if len(gram) else np.zeros(0, np.int64)
+        columns = [component[new], gram[new], np.diff(np.append(new, len(gram)))]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["component", "gram", "n"])
 
 
 def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
@@ -465,7 +472,7 @@ def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
     """
     sets = sets.select("component", "node", "grams")
     shape = "component long, node long, grams binary, score double, linked boolean, far boolean"
-    counts = sets.mapInArrow(_explode_grams, "component long, gram long").groupBy("component", "gram").agg(F.count(F.lit(1)).alias("n"))
+    counts = sets.mapInArrow(_gram_counts, "component long, gram long, n long").groupBy("component", "gram").agg(F.sum("n").alias("n"))
     sizes = sets.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     common = counts.join(sizes, "component").where("2 * n > members")
 
@@ -527,7 +534,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     Shingles are told apart by 64-bit hashes, whole sets by 128 bits.
     """
     rows = keyed(docs)
-    slim = write_table(rows.mapInArrow(in_chunks(_sizes(words)), "key long, doc_id long, n long, first long, second long"), "set-sizes")
+    slim = write_table(rows.mapInArrow(in_chunks(_sizes(words), chars=TEXT_BYTES), "key long, doc_id long, n long, first long, second long"), "set-sizes")
     # Equal sets are one node from here on.
     alike = [F.col(c) for c in ("n", "first", "second")]
     reps = write_table(slim.where("n > 0").groupBy(*alike).agg(F.min("key").alias("rep")), "representatives")
@@ -565,8 +572,10 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     """``docs`` with one document, the smallest id, of each group of near duplicates; all columns unchanged.
 
     Texts without words stay.  Rows that share an id stay together; a null id stays.
+    Other columns may have any names.
     """
     found = near_duplicates(docs, words, percent)
-    dropped = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_dropped")).distinct()
+    name = free_name(docs, "_dropped")
+    dropped = found.where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
     dropped = write_table(dropped, "dropped")
-    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    return docs.join(dropped, docs["doc_id"] == dropped[name], "left_anti")

@@ -18,6 +18,7 @@ from flowvec.llm.induced_dedup import remove_repeats
 from flowvec.llm.recurrent_lm import Model, Shape, Trainer, score, score_documents
 from flowvec.llm.retrieval_packing import retrieval_pack, whole_powers
 from flowvec.llm.secret_links import find_secrets
+from flowvec.llm.trie_join import drop_near_duplicates
 from flowvec.llm.word_transducer import Encoder, Transducer, encode_documents, tokenizer_path
 
 LONG = " ".join(f"word{i % 97} the{i % 5}" for i in range(6000))
@@ -405,3 +406,19 @@ def test_scores(docs, empty):
     base = sorted(sum(np.log10((counts.get(x, 0) + 1) / (n + v + 1)) for x in w) for w in words.values())
     assert sorted(r.base_score for r in got) == pytest.approx(base)
     assert all(np.isfinite(r.score) and r.score < 0 for r in got) and score_documents(empty).collect() == []
+
+
+def test_stages_leave_clashing_columns_alone(spark):
+    names = ("_sha", "_kept_id", "_kept_text", "_id", "_text", "_dropped", "least", "rep", "n_chars")
+    texts = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "mail bob@example.com now"), (2, "a b c d e f g"), (None, None), (4, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    docs = docs.withColumns({name: F.concat(F.lit(name), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for name in names})
+    for stage in (drop_copies, drop_near_duplicates, mask_personal, keep_good):
+        for table in (docs, docs.limit(0)):
+            kept = stage(table)
+            assert kept.columns == docs.columns
+            assert all(r[name] == f"{name}{'-' if r.doc_id is None else r.doc_id}" for r in kept.collect() for name in names)
+    # The row without text counts as empty, like the fourth; the smallest id stays.
+    assert sorted(r.doc_id or 0 for r in drop_copies(docs).collect()) == [1, 3, 4]
+    assert {r.doc_id for r in drop_near_duplicates(docs).collect()} == {1, 3, 4, None}
+    assert {r.text for r in mask_personal(docs).collect() if r.doc_id == 3} == {"mail <EMAIL> now"}
