@@ -6,8 +6,6 @@ from check import compare, connect
 from flowvec import plans
 
 QUERIES, ORACLES = plans.queries(), plans.oracle_sql()
-# Trained or iterative queries take long; check.py runs them, here they are sampled by family.
-SLOW = {"index_compare", "eval_encoder_compare", "embed_word2vec", "eval_purity"}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +19,7 @@ def test_matches_sql(spark, con, folder, name):
     assert ok, message
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES and n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])
 def test_runs(spark, con, folder, name):
     ok, message = compare(spark, con, folder, QUERIES[name], None)
     assert ok and message != "rows only: 0", message
