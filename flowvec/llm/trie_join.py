@@ -36,6 +36,8 @@ SPARE = 3
 FEW_EMPTY = 6
 # Signatures of a task that looks for equal ones, and sets of a task that joins.
 BUCKET_SIGNATURES = 2_000_000
+# Buckets of n-grams in which those that most members of a large group have are looked for, and n-grams of one.
+GRAM_BUCKETS, BUCKET_GRAMS = 16, 4_000_000
 # Bytes of text whose words a task hashes together.
 TEXT_BYTES = 6_000_000
 BLOCK = 512
@@ -448,17 +450,41 @@ def _overlaps(percent: int):
     return run
 
 
-def _gram_counts(batches):
-    """Members of each component that have an n-gram, counted within the batch: members of a large group share most."""
-    for batch in batches:
-        sets = [np.frombuffer(g, np.int64) for g in batch.column("grams").to_pylist()]
-        component = np.repeat(batch.column("component").to_numpy(), [len(s) for s in sets])
-        gram = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-        order = np.lexsort((gram, component))
-        component, gram = component[order], gram[order]
-        new = np.flatnonzero(np.append(True, (np.diff(component) != 0) | (np.diff(gram) != 0))) if len(gram) else np.zeros(0, np.int64)
-        columns = [component[new], gram[new], np.diff(np.append(new, len(gram)))]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["component", "gram", "n"])
+def _gram_blocks(buckets: int):
+    """Members of each component that have an n-gram, counted within the batch: a row for each component and bucket of n-grams."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [np.frombuffer(g, np.int64) for g in batch.column("grams").to_pylist()]
+            component = np.repeat(batch.column("component").to_numpy(), [len(s) for s in sets])
+            gram = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+            bucket = (gram.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((gram, bucket, component))
+            component, gram, bucket = component[order], gram[order], bucket[order]
+            block = np.append(True, (np.diff(component) != 0) | (np.diff(bucket) != 0))[: len(gram)]
+            new = np.flatnonzero(block | np.append(True, np.diff(gram) != 0)[: len(gram)])
+            times = np.diff(np.append(new, len(gram)))
+            first = np.flatnonzero(block[new])
+            last = np.append(first[1:], len(new))[: len(first)]
+            grams = gram[new]
+            columns = [
+                pa.array(component[new][first], pa.int64()), pa.array(bucket[new][first], pa.int64()),
+                pa.array([grams[i:j].tobytes() for i, j in zip(first, last, strict=True)], pa.binary()),
+                pa.array([times[i:j].tobytes() for i, j in zip(first, last, strict=True)], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["component", "bucket", "grams", "times"])
+
+    return run
+
+
+def _most_have(table: pa.Table) -> pa.Table:
+    """The n-grams of a bucket that more than half of the members have."""
+    grams = np.frombuffer(b"".join(table["grams"].to_pylist()), np.int64)
+    times = np.frombuffer(b"".join(table["times"].to_pylist()), np.int64)
+    distinct, place = np.unique(grams, return_inverse=True)
+    n = np.bincount(place, times, len(distinct)).astype(np.int64)
+    common = distinct[2 * n > table["members"][0].as_py()]
+    return pa.table({"component": pa.array(np.full(len(common), table["component"][0].as_py()), pa.int64()), "gram": pa.array(common, pa.int64())})
 
 
 def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
@@ -472,9 +498,12 @@ def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
     """
     sets = sets.select("component", "node", "grams")
     shape = "component long, node long, grams binary, score double, linked boolean, far boolean"
-    counts = sets.mapInArrow(_gram_counts, "component long, gram long, n long").groupBy("component", "gram").agg(F.sum("n").alias("n"))
+    grams = sets.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
+    buckets = max(GRAM_BUCKETS, grams // 8 // BUCKET_GRAMS)
+    blocks = sets.mapInArrow(_gram_blocks(buckets), "component long, bucket long, grams binary, times binary")
     sizes = sets.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    common = counts.join(sizes, "component").where("2 * n > members")
+    counted = blocks.join(sizes, "component").groupBy("component", "bucket")
+    common = counted.applyInArrow(_most_have, "component long, gram long")
 
     def pack(table: pa.Table) -> pa.Table:
         grams = np.sort(table["gram"].to_numpy().view(np.uint64))
