@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowvec.llm.common import free_name, in_chunks, keyed, write_table
+from flowvec.llm.common import free_name, in_chunks, keyed, per_group, write_table
 from flowvec.llm.components import components
 from flowvec.llm.wordhash import hash_words, in_groups, mix
 
@@ -35,9 +35,9 @@ WORDS, PERCENT = 4, 85
 SPARE = 3
 FEW_EMPTY = 6
 # Signatures of a task that looks for equal ones, and sets of a task that joins.
-BUCKET_SIGNATURES = 2_000_000
+BUCKET_SIGNATURES = 1_000_000
 # Buckets of n-grams in which those that most members of a large group have are looked for, and n-grams of one.
-GRAM_BUCKETS, BUCKET_GRAMS = 16, 4_000_000
+GRAM_BUCKETS, BUCKET_GRAMS = 16, 1_000_000
 # Bytes of text whose words a task hashes together.
 TEXT_BYTES = 6_000_000
 BLOCK = 512
@@ -356,7 +356,7 @@ def candidate_edges(rows: DataFrame, grams: int, words: int, percent: int) -> Da
     blocks = rows.select("key", "text").mapInArrow(
         in_chunks(_signature_blocks(buckets, words, percent), chars=TEXT_BYTES), "bucket long, left binary, right binary"
     )
-    return blocks.groupBy("bucket").applyInArrow(_equal_signatures, "a long, b long")
+    return blocks.groupBy("bucket").applyInArrow(per_group(_equal_signatures), "a long, b long")
 
 
 def _filter_of(keys: DataFrame) -> np.ndarray:
@@ -503,7 +503,7 @@ def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
     blocks = sets.mapInArrow(_gram_blocks(buckets), "component long, bucket long, grams binary, times binary")
     sizes = sets.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     counted = blocks.join(sizes, "component").groupBy("component", "bucket")
-    common = counted.applyInArrow(_most_have, "component long, gram long")
+    common = counted.applyInArrow(per_group(_most_have), "component long, gram long")
 
     def pack(table: pa.Table) -> pa.Table:
         grams = np.sort(table["gram"].to_numpy().view(np.uint64))
@@ -548,7 +548,7 @@ def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
     outside = probes.join(per_class, place).select(*cell, F.lit(1).alias("side"), steps(F.col("blocks")).alias("x"), (F.col("h") % F.col("outer")).alias("y"))
     # By number, so that small but slow cells are not put together in few tasks.
     met = members.unionByName(outside).repartition(int(tasks), *place, "x", "y")
-    cells = met.groupBy(*place, "x", "y").applyInArrow(_cell_links(percent), "a long, b long")
+    cells = met.groupBy(*place, "x", "y").applyInArrow(per_group(_cell_links(percent)), "a long, b long")
     return starred.where("linked").select(F.col("node").alias("a"), F.col("star").alias("b")).unionByName(cells)
 
 
@@ -581,7 +581,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         sets = write_table(candidate_sets(rows, groups, words), "sets").join(sizes, "component")
         tasks = max(1, int(sizes.where(F.col("members") <= block).agg(F.coalesce(F.sum("members"), F.lit(0))).first()[0]) // (2 * block) + 1)
         small = sets.where(F.col("members") <= block).withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(tasks)))
-        label = small.select("bucket", "component", "node", "grams").groupBy("bucket").applyInArrow(_joined(percent), "a long, b long")
+        label = small.select("bucket", "component", "node", "grams").groupBy("bucket").applyInArrow(per_group(_joined(percent)), "a long, b long")
         large = sets.where(F.col("members") > block)
         if sizes.where(F.col("members") > block).limit(1).count():
             links = large_group_links(large, percent)

@@ -118,3 +118,24 @@ def test_shingles_follow_words():
     sets = list(shingle_sets([b"a b  c\td", b"A b c d", None, b"a b", b"a  B", b"b a"]))
     assert sets[0].tolist() == sets[1].tolist() and sets[3].tolist() == sets[4].tolist()
     assert not len(sets[2]) and sets[3].tolist() != sets[5].tolist()
+
+
+def test_a_full_bucket_of_ngrams_is_counted_in_little_memory():
+    """Two tasks share what an executor has beside its heap."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from flowvec.llm.common import per_group
+    from flowvec.llm.trie_join import BUCKET_GRAMS, _most_have
+
+    grams = np.arange(BUCKET_GRAMS)
+    blocks = [g.tobytes() for g in np.array_split(grams, 8)]
+    times = [np.full(len(b) // 8, 5).tobytes() for b in blocks]
+    table = pa.table({"component": [1] * 8, "bucket": [0] * 8, "grams": blocks, "times": times, "members": [20] * 8})
+    del blocks, times
+    tracemalloc.start()
+    found = per_group(_most_have)(table)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 0 and most < 150e6
