@@ -435,21 +435,42 @@ def _scored(counts: Broadcast, weights: Broadcast, start: Model, buckets: int):
     return work
 
 
-def _answer(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Log counts of the rare words asked for in a bucket, summed by document."""
-    read = lambda t, name, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(b, kind) for b in t[name].to_pylist())])
-    words, keys, ns = read(left, "words", np.uint64), read(left, "keys", np.int64), read(left, "ns", np.int32)
-    known, counts = read(right, "words", np.uint64), read(right, "counts", np.int64)
-    c = np.zeros(len(words))
-    if len(known) and len(words):
-        at = np.minimum(np.searchsorted(known, words), len(known) - 1)
-        c = np.where(known[at] == words, counts[at], 0)
-    key, at = np.unique(keys, return_inverse=True)
+_ANSWER = "part long, keys binary, logs binary, knowns binary"
+
+
+def _answer(parts: int):
+    """Log counts of the rare words asked for in a bucket, summed by document: a row for each part of the documents."""
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        words, keys, ns = _read(left, "words", np.uint64), _read(left, "keys", np.int64), _read(left, "ns", np.int32)
+        known, counts = _read(right, "words", np.uint64), _read(right, "counts", np.int64)
+        c = np.zeros(len(words))
+        if len(known) and len(words):
+            at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            c = np.where(known[at] == words, counts[at], 0)
+        key, at = np.unique(keys, return_inverse=True)
+        logs = np.bincount(at, ns * np.log10(c + 1.0), len(key))
+        knowns = np.bincount(at, ns * (c > 0), len(key)).astype(np.int64)
+        part = (mix(key.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        columns = list(zip(*_split(part, key, logs, knowns), strict=True)) or [[] for _ in range(4)]
+        kinds = [pa.int64()] + [pa.binary()] * 3
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "keys", "logs", "knowns"])
+
+    return work
+
+
+def _read(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(b, kind) for b in table[name].to_pylist())])
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """The answers of all buckets to a part of the documents, summed by document."""
+    key, at = np.unique(_read(table, "keys", np.int64), return_inverse=True)
     return pa.table(
         {
             "key": pa.array(key, pa.int64()),
-            "rare_log": pa.array(np.bincount(at, ns * np.log10(c + 1.0), len(key)), pa.float64()),
-            "rare_known": pa.array(np.bincount(at, ns * (c > 0), len(key)).astype(np.int64), pa.int64()),
+            "rare_log": pa.array(np.bincount(at, _read(table, "logs", np.float64), len(key)), pa.float64()),
+            "rare_known": pa.array(np.bincount(at, _read(table, "knowns", np.int64), len(key)).astype(np.int64), pa.int64()),
         }
     )
 
@@ -477,8 +498,8 @@ def score_documents(docs: DataFrame, shape: Shape = Shape(), training: Column |
     scored = rows.select("key", "doc_id", "held_out", "text").mapInArrow(in_chunks(_scored(counts, weights, model, buckets)), _SCORED)
     scored = write_table(scored, "scored")
     asked = scored.where("bucket is not null").select("bucket", "words", "keys", "ns").groupBy("bucket")
-    answers = asked.cogroup(table.select("bucket", "words", "counts").groupBy("bucket")).applyInArrow(_answer, "key long, rare_log double, rare_known long")
-    rare = answers.groupBy("key").agg(F.sum("rare_log").alias("rare_log"), F.sum("rare_known").alias("rare_known"))
+    answers = asked.cogroup(table.select("bucket", "words", "counts").groupBy("bucket")).applyInArrow(_answer(buckets), _ANSWER)
+    rare = answers.groupBy("part").applyInArrow(_by_document, "key long, rare_log double, rare_known long")
     each = scored.where("bucket is null").join(rare, "key", "left")
     rare_log = F.coalesce("rare_log", F.lit(0.0))
     return each.select(

@@ -278,6 +278,23 @@ def test_repeats_of_hot_places_and_segments(spark, monkeypatch):
         assert bytes(1 if any(a <= i < b for a, b in spans) else 0 for i in range(len(t))) == bytes(gone), d
 
 
+def test_answers_go_by_part_of_the_documents():
+    """A bucket of counts answers in a row for each part of the documents, not for each document."""
+    from flowvec.llm.recurrent_lm import _answer, _by_document
+
+    words, keys = np.arange(6000, dtype=np.uint64) % 50, np.arange(6000) % 3000
+    asked = pa.table({"words": [words.tobytes()], "keys": [keys.tobytes()], "ns": [np.full(6000, 2, np.int32).tobytes()]})
+    known = pa.table({"words": [np.arange(0, 50, 2, dtype=np.uint64).tobytes()], "counts": [np.full(25, 9).tobytes()]})
+    answers = _answer(3)(asked, known)
+    assert answers.num_rows == 3
+    both = pa.concat_tables([answers, answers])
+    got = sorted(tuple(r.values()) for p in range(3) for r in _by_document(both.filter(pa.compute.equal(both["part"], p))).to_pylist())
+    # Each document asks twice for one word, and each answer comes twice.
+    want = [(k, 8.0 * (k % 2 == 0), 8 * (k % 2 == 0)) for k in range(3000)]
+    assert got == want
+    assert _answer(3)(asked.slice(0, 0), known).num_rows == 0
+
+
 def test_personal(docs, empty):
     assert find_personal(docs).count() == len(ROWS) and find_personal(empty).collect() == []
     out = mask_personal(docs)
