@@ -9,9 +9,9 @@ strings have the same sampled place and lie at the same distance from it.
    content occurs once carry no repeat and go no further.
 2. The runs of strings that a repeated place stands for are sorted by the hashes
    of their contexts.  All but the first of equal contexts are repeats as a whole.
-3. Only places with different contexts send those contexts themselves.  The strings
-   that they share are induced: each is found at its distance from the place, and
-   all but the first repeat.
+3. Only places with different contexts send those contexts themselves, each from
+   where it occurs first.  The strings that they share are induced: each is found at
+   its distance from the place, and all but the first repeat.
 
 The shuffle's sort, which spills to disk, is the queue that carries the tuples.
 A place that very many documents share is not gathered in one task: its strings
@@ -41,7 +41,9 @@ CONTEXT_BYTES = 12_000_000
 # Bytes of text and strings that a task holds at once.
 PIECE = 8_000_000
 STRINGS = 500_000
-# Slices of the filter of places with several contexts, as a power of two.
+# Bytes of text whose documents' repeats are brought together.
+PART_BYTES = 32_000_000
+# Slices of the filters of places with several contexts and of the first of each, as a power of two.
 SLICES = 7
 # Bits of the filter of repeated places.  It only saves traffic: a place that
 # passes by chance is found to be alone later.
@@ -187,9 +189,17 @@ def _tuple_table(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _TUPLES.split(", ")])
 
 
-def _contexts(repeated, hot, several, buckets: int, length: int):
+def _mark(place: np.ndarray, key: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A hash of an occurrence of a place, in the slice of the place."""
+    own = mix(place ^ mix(mix(key.astype(np.uint64)) + start.astype(np.uint64)))
+    left = np.uint64(64 - SLICES)
+    return (place >> left << left) | (own >> np.uint64(SLICES))
+
+
+def _contexts(repeated, hot, several, buckets: int, length: int, firsts=None):
     """Of a piece of input, the first of equal ones of: contexts of repeated places (kind 0) and strings of hot ones
-    (1); repeats found here (2).  With ``several``, contexts of its places only, in full.
+    (1); repeats found here (2).  With ``several``, contexts of its places only, in full; with ``firsts`` only
+    occurrences in that filter.
     """
 
     def work(table: pa.Table) -> pa.Table:
@@ -198,6 +208,8 @@ def _contexts(repeated, hot, several, buckets: int, length: int):
         text = []
         for row, at, part, (_, first, last, place) in runs_of(table["text"].cast(pa.binary()).to_pylist(), length):
             hit = _in_filter((repeated if several is None else several).value, place)
+            if firsts is not None:
+                hit[hit] = _in_filter(firsts.value, _mark(place[hit], np.full(hit.sum(), keys[row]), at + first[hit]))
             if not hit.any():
                 continue
             first, last, place = first[hit], last[hit], place[hit]
@@ -234,27 +246,70 @@ def _contexts(repeated, hot, several, buckets: int, length: int):
     return work
 
 
-_FOUND = "key long, runs binary, slice long, places binary"
+_FOUND = "key long, runs binary, slice long, places binary, marks binary"
 
 
 def _read(part: pa.Table, name: str, kind: type) -> np.ndarray:
     return np.concatenate([np.frombuffer(b, kind) for b in part[name].to_pylist()])
 
 
-def _runs_table(found: list[tuple], places: np.ndarray) -> pa.Table:
-    """Runs by document, and places by slice of their filter."""
+def _runs_table(found: list[tuple], places: np.ndarray, marks: np.ndarray) -> pa.Table:
+    """Runs by document; places, and marks of their contexts, by slice of their filters."""
     key, start, size = (np.concatenate(c) for c in zip(*found, strict=True))
-    rows = [(k, np.stack(c, 1).tobytes(), None, None) for k, _, c in _bucket_rows(key, start, size)]
-    by = (places >> np.uint64(64 - SLICES)).astype(np.int64)
-    rows += [(None, None, k, c[0].tobytes()) for k, _, c in _bucket_rows(by, places)]
-    kinds = [pa.int64(), pa.binary()] * 2
+    rows = [(k, np.stack(c, 1).tobytes(), None, None, None) for k, _, c in _bucket_rows(key, start, size)]
+    by = [(x >> np.uint64(64 - SLICES)).astype(np.int64) for x in (places, marks)]
+    # Every place has marks, in its own slice.
+    both = zip(_bucket_rows(by[0], places), _bucket_rows(by[1], marks), strict=True)
+    rows += [(None, None, k, c[0].tobytes(), m[0].tobytes()) for (k, _, c), (_, _, m) in both]
+    kinds = [pa.int64(), pa.binary()] * 2 + [pa.binary()]
     columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "runs", "slice", "places"])
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _FOUND.split(", ")])
+
+
+_PACKED = "part long, keys binary, widths binary, runs binary, slice long, places binary, marks binary"
+
+
+def _by_part(work, parts: int):
+    """The runs that ``work`` finds in a row for each part of the documents, not for each document."""
+
+    def run(table: pa.Table) -> pa.Table:
+        found = work(table)
+        mine = found.filter(pa.compute.is_valid(found["key"]))
+        key, runs = mine["key"].to_numpy(), mine["runs"].to_pylist()
+        part = (mix(key.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        width = np.array([len(r) // 16 for r in runs], np.int64)
+        rows = [(p, k.tobytes(), n.tobytes(), b"".join([runs[i] for i in at])) for p, at, (k, n) in _bucket_rows(part, key, width)]
+        columns = list(zip(*rows, strict=True)) or [[] for _ in range(4)]
+        rest = found.filter(pa.compute.is_null(found["key"])).select(["slice", "places", "marks"])
+        kinds = [pa.int64()] + [pa.binary()] * 3
+        packed = pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["part", "keys", "widths", "runs"])
+        return pa.concat_tables([packed, rest], promote_options="default").select([c.split()[0] for c in _PACKED.split(", ")])
+
+    return run
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """The runs of each document of a part, those that touch as one."""
+    key = np.repeat(_read(table, "keys", np.int64), _read(table, "widths", np.int64))
+    start, size = _read(table, "runs", np.int64).reshape(-1, 2).T
+    order = np.lexsort((start, key))
+    key, start, end = key[order], start[order], (start + size)[order]
+    # Documents one after the other on one line, so that the ends so far can be taken over all of them at once.
+    new = np.append(True, key[1:] != key[:-1])[: len(key)]
+    base = (np.cumsum(new) - 1) * (int(end.max(initial=0)) + 1)
+    far = np.maximum.accumulate(base + end)
+    head = np.flatnonzero(new | (base + start > np.append(0, far[:-1])[: len(key)]))
+    last = np.append(head[1:], len(key))[: len(head)] - 1
+    runs = np.stack([start[head], (far - base)[last] - start[head]], 1)
+    cuts = np.flatnonzero(new[head])
+    ends = np.append(cuts[1:], len(head))[: len(cuts)]
+    blobs = [[runs[x:y].tobytes()] for x, y in zip(cuts, ends, strict=True)]
+    return pa.table({"key": pa.array(key[head][cuts], pa.int64()), "runs": pa.array(blobs, pa.list_(pa.binary()))})
 
 
 def _repeats(table: pa.Table) -> pa.Table:
-    """Repeated contexts and strings of a bucket, and the places whose contexts differ."""
-    found, places = [], [np.zeros(0, np.uint64)]
+    """Repeated contexts and strings of a bucket, the places whose contexts differ, and where each of these is first."""
+    found, places, marks = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
     for kind in (0, 1, 2):
         part = table.filter(pa.compute.equal(table["kind"], kind))
         if not part.num_rows:
@@ -268,17 +323,28 @@ def _repeats(table: pa.Table) -> pa.Table:
         first, others = _all_but_first(place, _read(part, "hash", np.uint64), key, start)
         found.append((key[others], start[others], size[others]))
         if kind == 0:
-            ordered = place[first]
-            places.append(np.unique(ordered[1:][ordered[1:] == ordered[:-1]]))
-    return _runs_table(found, np.concatenate(places))
+            first = _several(place, first)
+            places.append(np.unique(place[first]))
+            marks.append(_mark(place[first], key[first], start[first]))
+    return _runs_table(found, np.concatenate(places), np.concatenate(marks))
+
+
+def _several(place: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Of rows sorted by place those whose place has more than one."""
+    same = np.append(False, place[first][1:] == place[first][:-1])[: len(first)]
+    return first[same | np.append(same[1:], False)[: len(first)]]
 
 
 def _slice_bits(table: pa.Table) -> pa.Table:
-    """The slice of a filter that the places set."""
+    """The slices of the filters that the places and marks set."""
     size = 1 << (FILTER_BITS - SLICES)
-    flags = np.zeros(size, np.uint8)
-    flags[((_read(table, "places", np.uint64) >> np.uint64(64 - FILTER_BITS)) & np.uint64(size - 1)).astype(np.int64)] = 1
-    return pa.table({"slice": table["slice"].slice(0, 1), "bits": pa.array([np.packbits(flags).tobytes()], pa.binary())})
+    out = {"slice": table["slice"].slice(0, 1)}
+    for name, of in (("bits", "places"), ("firsts", "marks")):
+        if of in table.column_names:
+            flags = np.zeros(size, np.uint8)
+            flags[((_read(table, of, np.uint64) >> np.uint64(64 - FILTER_BITS)) & np.uint64(size - 1)).astype(np.int64)] = 1
+            out[name] = pa.array([np.packbits(flags).tobytes()], pa.binary())
+    return pa.table(out)
 
 
 def _shared_strings(length: int):
@@ -288,11 +354,9 @@ def _shared_strings(length: int):
         key, start = _read(table, "key", np.int64), _read(table, "start", np.int64)
         size, place = _read(table, "size", np.uint8).astype(np.int64), _read(table, "place", np.uint64)
         first, _ = _all_but_first(place, _read(table, "hash", np.uint64), key, start)
-        ordered = place[first]
-        same = np.append(False, ordered[1:] == ordered[:-1])[: len(first)]
-        several = first[same | np.append(same[1:], False)[: len(first)]]
+        several = _several(place, first)
         contexts = b"".join(table["context"].to_pylist())
-        return _runs_table([_induced(place, key, start, size, several, contexts, length)], place[:0])
+        return _runs_table([_induced(place, key, start, size, several, contexts, length)], place[:0], place[:0])
 
     return work
 
@@ -377,17 +441,20 @@ def repeated_runs(rows: DataFrame, n_bytes: int, length: int) -> DataFrame:
     repeated, hot, n = place_filter(rows, n_bytes, length)
     ship = rows.sparkSession.sparkContext.broadcast
     buckets = int(n * (length - GRAM + 2 + length) // 2 // CONTEXT_BYTES + 1)
+    parts = int(n_bytes // PART_BYTES + 1)
     texts, repeated, hot = rows.select("key", "text"), ship(repeated), ship(hot)
     tuples = texts.mapInArrow(in_chunks(_contexts(repeated, hot, None, buckets, length), chars=PIECE), _TUPLES)
-    whole = write_table(tuples.groupBy("bucket").applyInArrow(_repeats, _FOUND), "repeated-contexts")
-    slices = whole.where("slice is not null").select("slice", "places").groupBy("slice").applyInArrow(_slice_bits, "slice long, bits binary")
-    several, width = np.zeros((1 << FILTER_BITS) // 8, np.uint8), (1 << (FILTER_BITS - SLICES)) // 8
+    whole = write_table(tuples.groupBy("bucket").applyInArrow(_by_part(_repeats, parts), _PACKED), "repeated-contexts")
+    slices = whole.where("slice is not null").select("slice", "places", "marks").groupBy("slice").applyInArrow(_slice_bits, "slice long, bits binary, firsts binary")
+    width = (1 << (FILTER_BITS - SLICES)) // 8
+    several, firsts = np.zeros((1 << FILTER_BITS) // 8, np.uint8), np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for r in slices.collect():
-        several[r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
-    tuples = texts.mapInArrow(in_chunks(_contexts(repeated, hot, ship(several), buckets, length), chars=PIECE), _TUPLES)
-    shared = tuples.groupBy("bucket").applyInArrow(_shared_strings(length), _FOUND)
-    found = whole.where("key is not null").unionByName(shared).select("key", "runs")
-    return found.groupBy("key").agg(F.collect_list("runs").alias("runs"))
+        here = slice(r["slice"] * width, (r["slice"] + 1) * width)
+        several[here], firsts[here] = np.frombuffer(r["bits"], np.uint8), np.frombuffer(r["firsts"], np.uint8)
+    tuples = texts.mapInArrow(in_chunks(_contexts(repeated, hot, ship(several), buckets, length, ship(firsts)), chars=PIECE), _TUPLES)
+    shared = tuples.groupBy("bucket").applyInArrow(_by_part(_shared_strings(length), parts), _PACKED)
+    found = whole.where("part is not null").unionByName(shared).select("part", "keys", "widths", "runs")
+    return found.groupBy("part").applyInArrow(_by_document, "key long, runs array<binary>")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -278,6 +278,34 @@ def test_repeats_of_hot_places_and_segments(spark, monkeypatch):
         assert bytes(1 if any(a <= i < b for a, b in spans) else 0 for i in range(len(t))) == bytes(gone), d
 
 
+def test_repeats_go_by_part_of_the_documents(spark):
+    """A bucket tells its repeats in a row for each part of the documents, and contexts go on from their first occurrence only."""
+    import flowvec.llm.induced_dedup as induced
+
+    size = np.full(4000, 5)
+    bucket = [(0, 2, b"", b"", np.arange(4000).tobytes(), np.zeros(4000, np.int64).tobytes(), size.tobytes(), b"")] * 2
+    packed = induced._by_part(induced._repeats, 3)(induced._tuple_table(bucket))
+    assert packed.num_rows == 3
+    found = [r for p in range(3) for r in induced._by_document(packed.filter(pa.compute.equal(packed["part"], p))).to_pylist()]
+    assert sorted((r["key"], induced.removed(r["runs"], 100)) for r in found) == [(k, [(0, 104)]) for k in range(4000)]
+    # Two contexts of one place, the first of them in three documents.
+    place, key = np.full(4, 7, np.uint64), np.arange(4)
+    columns = [place, np.array([1, 1, 1, 2], np.uint64), key, key * 10, np.full(4, 9, np.uint8)]
+    found = induced._repeats(induced._tuple_table([(0, 0, *(c.tobytes() for c in columns), b"")]))
+    marks = np.frombuffer(b"".join(m for m in found["marks"].to_pylist() if m), np.uint64)
+    assert sorted(marks) == sorted(induced._mark(place, key, key * 10)[[0, 3]])
+    assert [r["key"] for r in found.to_pylist() if r["runs"]] == [1, 2]
+
+
+def test_runs_that_touch_are_one():
+    import flowvec.llm.induced_dedup as induced
+
+    keys, runs = np.array([4, 2, 4]), np.array([[5, 10], [900, 3], [0, 6], [15, 2], [18, 1], [0, 9]])
+    table = pa.table({"keys": [keys.tobytes()], "widths": [np.array([1, 2, 3]).tobytes()], "runs": [runs.tobytes()]})
+    got = {r["key"]: np.frombuffer(r["runs"][0], np.int64).reshape(-1, 2).tolist() for r in induced._by_document(table).to_pylist()}
+    assert got == {2: [[0, 6], [900, 3]], 4: [[0, 17], [18, 1]]}
+
+
 def test_answers_go_by_part_of_the_documents():
     """A bucket of counts answers in a row for each part of the documents, not for each document."""
     from flowvec.llm.recurrent_lm import _answer, _by_document
