@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowvec.llm.common import in_chunks, keyed, write_table
+from flowvec.llm.common import in_chunks, keyed, per_group, write_table
 from flowvec.llm.wordhash import BASE, BYTE, INVERSE, mix, powers
 
 LENGTH = 100
@@ -189,6 +189,34 @@ def _tuple_table(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _TUPLES.split(", ")])
 
 
+_BLOBS = ("place", "hash", "key", "start", "size", "context")
+
+
+def _changed(table: pa.Table, change) -> pa.Table:
+    for name in _BLOBS:
+        at = table.schema.get_field_index(name)
+        table = table.set_column(at, name, pa.array([change(b) for b in table[name].to_pylist()], pa.binary()))
+    return table
+
+
+def _squeezed(work):
+    """What ``work`` makes with its binary columns compressed: contexts overlap, and most numbers are small."""
+
+    def small(blob: bytes) -> bytes:
+        return len(blob).to_bytes(8, "little") + pa.compress(blob, codec="zstd", asbytes=True) if blob else b""
+
+    return lambda table: _changed(work(table), small)
+
+
+def _restored(work):
+    """``work`` on a table whose binary columns are compressed."""
+
+    def whole(blob: bytes) -> bytes:
+        return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True) if blob else b""
+
+    return lambda table: work(_changed(table, whole))
+
+
 def _mark(place: np.ndarray, key: np.ndarray, start: np.ndarray) -> np.ndarray:
     """A hash of an occurrence of a place, in the slice of the place."""
     own = mix(place ^ mix(mix(key.astype(np.uint64)) + start.astype(np.uint64)))
@@ -443,16 +471,16 @@ def repeated_runs(rows: DataFrame, n_bytes: int, length: int) -> DataFrame:
     buckets = int(n * (length - GRAM + 2 + length) // 2 // CONTEXT_BYTES + 1)
     parts = int(n_bytes // PART_BYTES + 1)
     texts, repeated, hot = rows.select("key", "text"), ship(repeated), ship(hot)
-    tuples = texts.mapInArrow(in_chunks(_contexts(repeated, hot, None, buckets, length), chars=PIECE), _TUPLES)
-    whole = write_table(tuples.groupBy("bucket").applyInArrow(_by_part(_repeats, parts), _PACKED), "repeated-contexts")
+    tuples = texts.mapInArrow(in_chunks(_squeezed(_contexts(repeated, hot, None, buckets, length)), chars=PIECE), _TUPLES)
+    whole = write_table(tuples.groupBy("bucket").applyInArrow(per_group(_by_part(_restored(_repeats), parts)), _PACKED), "repeated-contexts")
     slices = whole.where("slice is not null").select("slice", "places", "marks").groupBy("slice").applyInArrow(_slice_bits, "slice long, bits binary, firsts binary")
     width = (1 << (FILTER_BITS - SLICES)) // 8
     several, firsts = np.zeros((1 << FILTER_BITS) // 8, np.uint8), np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for r in slices.collect():
         here = slice(r["slice"] * width, (r["slice"] + 1) * width)
         several[here], firsts[here] = np.frombuffer(r["bits"], np.uint8), np.frombuffer(r["firsts"], np.uint8)
-    tuples = texts.mapInArrow(in_chunks(_contexts(repeated, hot, ship(several), buckets, length, ship(firsts)), chars=PIECE), _TUPLES)
-    shared = tuples.groupBy("bucket").applyInArrow(_by_part(_shared_strings(length), parts), _PACKED)
+    tuples = texts.mapInArrow(in_chunks(_squeezed(_contexts(repeated, hot, ship(several), buckets, length, ship(firsts))), chars=PIECE), _TUPLES)
+    shared = tuples.groupBy("bucket").applyInArrow(per_group(_by_part(_restored(_shared_strings(length)), parts)), _PACKED)
     found = whole.where("part is not null").unionByName(shared).select("part", "keys", "widths", "runs")
     return found.groupBy("part").applyInArrow(_by_document, "key long, runs array<binary>")
 

@@ -297,6 +297,16 @@ def test_repeats_go_by_part_of_the_documents(spark):
     assert [r["key"] for r in found.to_pylist() if r["runs"]] == [1, 2]
 
 
+def test_tuples_travel_compressed():
+    import flowvec.llm.induced_dedup as induced
+
+    text = "".join(PASSAGE[i : i + 60] for i in range(40)).encode() * 20
+    table = induced._tuple_table([(0, 0, b"p" * 8, b"", np.arange(900).tobytes(), np.arange(900).tobytes(), b"", text)])
+    small = induced._squeezed(lambda t: t)(table)
+    assert 3 * small.nbytes < table.nbytes
+    assert induced._restored(lambda t: t)(small).equals(table)
+
+
 def test_runs_that_touch_are_one():
     import flowvec.llm.induced_dedup as induced
 
