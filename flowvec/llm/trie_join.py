@@ -9,8 +9,10 @@ branch once the n-grams that remain cannot lift the overlap to the threshold.
 Sets that may be similar meet in one task by signatures that lose no pair: two
 sets at Jaccard ``t`` differ in at most ``d`` n-grams, so if the n-grams are dealt
 to ``d + 1`` or more parts by hash, some part is the same in both.  The parts of
-a set are its signatures.  Groups connected by signatures are small unless they
-hold near copies; a group too large for one task is joined in blocks.
+a set are its signatures.  Groups connected by signatures may be large, since
+texts that share some passages are chained by them.  Of a group too large for one
+task, sets go no further whose n-grams are mostly in no other set of the group;
+what stays is grouped again, and what is still too large is joined in blocks.
 """
 
 from __future__ import annotations
@@ -36,8 +38,12 @@ SPARE = 3
 FEW_EMPTY = 6
 # Signatures of a task that looks for equal ones, and sets of a task that joins.
 BUCKET_SIGNATURES = 1_000_000
+# What a task tells signatures of a bucket apart by; those that agree by chance only connect too much.
+SIGNATURE_BITS = np.uint64(2**40 - 1)
 # Buckets of n-grams in which those that most members of a large group have are looked for, and n-grams of one.
 GRAM_BUCKETS, BUCKET_GRAMS = 16, 1_000_000
+# Bytes of sets of large groups whose n-grams are sent together, and n-grams of a bucket that counts them.
+SET_BYTES, MARKS = 8_000_000, 2_000_000
 # Bytes of text whose words a task hashes together.
 TEXT_BYTES = 6_000_000
 BLOCK = 512
@@ -298,12 +304,16 @@ def _sizes(words: int):
 
 
 def _signature_blocks(buckets: int, words: int, percent: int):
+    """Signatures of texts, or of sets that are at hand, and what they connect here, by bucket."""
     ends = size_classes(percent)
 
     def work(table: pa.Table) -> pa.Table:
         sigs, counts = [], []
-        keys = table["key"].to_numpy()
-        for grams in shingle_sets(table["text"].cast(pa.binary()).to_pylist(), words):
+        if "text" in table.column_names:
+            keys, sets = table["key"].to_numpy(), shingle_sets(table["text"].cast(pa.binary()).to_pylist(), words)
+        else:
+            keys, sets = table["node"].to_numpy(), (np.frombuffer(g, np.uint64) for g in table["grams"].to_pylist())
+        for grams in sets:
             found = signatures(grams, ends, percent) if len(grams) else grams
             sigs.append(found)
             counts.append(len(found))
@@ -316,20 +326,41 @@ def _signature_blocks(buckets: int, words: int, percent: int):
         hub = key[np.maximum.accumulate(np.where(new, np.arange(len(sig)), 0))] if len(sig) else key
         a, b = _once(key[~new], hub[~new])
         edge_bucket = -1 - (mix(a.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-        bucket = (mix(sig[new]) % np.uint64(buckets)).astype(np.int64)
-        rows = []
-        for where, left, right in ((bucket, sig[new].astype(np.int64), key[new]), (edge_bucket, a, b)):
-            order = np.argsort(where, kind="stable")
-            where, left, right = where[order], left[order], right[order]
-            cuts = np.flatnonzero(np.append(True, where[1:] != where[:-1])[: len(where)])
-            for x, y in zip(cuts, np.append(cuts[1:], len(where))[: len(cuts)], strict=True):
-                rows.append((int(where[x]), left[x:y].tobytes(), right[x:y].tobytes()))
-        columns = list(zip(*rows, strict=True)) or [[], [], []]
-        return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], names=["bucket", "left", "right"])
+        spread = mix(sig[new])
+        bucket = (((spread >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+        left = spread & SIGNATURE_BITS
+        named, place = np.unique(key[new], return_inverse=True)
+        order = np.argsort(bucket.astype(np.uint64) << np.uint64(40) | left)
+        rows = [(x, *_packed(sig, at, named)) for x, sig, at in _by_bucket(bucket, order, left, place)]
+        order = np.argsort(edge_bucket, kind="stable")
+        rows += [(x, one.tobytes(), other.tobytes(), b"") for x, one, other in _by_bucket(edge_bucket, order, a, b)]
+        columns = list(zip(*rows, strict=True)) or [[] for _ in range(4)]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, [pa.int64()] + [pa.binary()] * 3, strict=True)], names=["bucket", "left", "right", "place"])
 
     return work
 
 
+def _by_bucket(bucket: np.ndarray, order: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    bucket, columns = bucket[order], [c[order] for c in columns]
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+    for x, y in zip(cuts, np.append(cuts[1:], len(bucket))[: len(cuts)], strict=True):
+        yield int(bucket[x]), *(c[x:y] for c in columns)
+
+
+def _packed(left: np.ndarray, place: np.ndarray, keys: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Sorted numbers of 40 bits, low bytes first and the highest of all behind them, and each one's key by its place among those that occur."""
+    used = np.bincount(place, minlength=len(keys)) > 0
+    keys, place = keys[used], (np.cumsum(used) - 1)[place]
+    place = place.astype(np.uint16 if len(keys) <= 2**16 else np.uint32)
+    return left.astype(np.uint32).tobytes() + (left >> np.uint64(32)).astype(np.uint8).tobytes(), keys.tobytes(), place.tobytes()
+
+
+def _unpacked(left: bytes, keys: bytes, place: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(left) // 5
+    value = np.frombuffer(left, np.uint32, n).astype(np.int64) | np.frombuffer(left, np.uint8, n, 4 * n).astype(np.int64) << 32
+    return value, np.frombuffer(keys, np.int64)[np.frombuffer(place, np.uint16 if len(place) == 2 * n else np.uint32)]
+
+
 def _once(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs of different numbers."""
     pairs = np.unique(np.stack([a, b], 1)[a != b], axis=0)
@@ -337,9 +368,11 @@ def _once(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _equal_signatures(table: pa.Table) -> pa.Table:
-    left = np.concatenate([np.frombuffer(b, np.int64) for b in table["left"].to_pylist()])
-    right = np.concatenate([np.frombuffer(b, np.int64) for b in table["right"].to_pylist()])
-    if table["bucket"][0].as_py() >= 0:
+    found = zip(*(table[c].to_pylist() for c in ("left", "right", "place")), strict=True)
+    signed = table["bucket"][0].as_py() >= 0
+    sides = [_unpacked(*row) if signed else tuple(np.frombuffer(b, np.int64) for b in row[:2]) for row in found]
+    left, right = (np.concatenate(c) for c in zip(*sides, strict=True))
+    if signed:
         order = np.lexsort((right, left))
         left, right = left[order], right[order]
         new = np.append(True, left[1:] != left[:-1])
@@ -353,12 +386,99 @@ def candidate_edges(rows: DataFrame, grams: int, words: int, percent: int) -> Da
     """``a, b``: documents with an equal signature, each hung on the first of its signature."""
     per_gram = 2.5 * (100 - percent) / (100 + percent) * 2
     buckets = max(1, int(grams * per_gram) // BUCKET_SIGNATURES + 1)
-    blocks = rows.select("key", "text").mapInArrow(
-        in_chunks(_signature_blocks(buckets, words, percent), chars=TEXT_BYTES), "bucket long, left binary, right binary"
-    )
+    text, size = ("text", TEXT_BYTES) if "text" in rows.columns else ("grams", SET_BYTES)
+    work = in_chunks(_signature_blocks(buckets, words, percent), text, size)
+    blocks = rows.select("key" if text == "text" else "node", text).mapInArrow(work, "bucket long, left binary, right binary, place binary")
     return blocks.groupBy("bucket").applyInArrow(per_group(_equal_signatures), "a long, b long")
 
 
+def _gram_marks(bits, buckets: int, words: int):
+    """The n-grams of the sets of a batch: a row for each bucket of n-grams, with how many each set has there and 32
+    bits of each; and one row with the sets themselves and their sizes, which no bucket has to look at.
+    """
+
+    def work(table: pa.Table) -> pa.Table:
+        table = _in_bits(table, bits.value)
+        node = table["key"].to_numpy()
+        kinds, names = [pa.int64()] * 3 + [pa.binary()] * 3, ["bucket", "batch", "sets", "nodes", "n", "marks"]
+        if not len(node):
+            return pa.table([pa.array([], k) for k in kinds], names=names)
+        sets = list(shingle_sets(table["text"].cast(pa.binary()).to_pylist(), words))
+        width = np.array([len(x) for x in sets], np.uint32)
+        owner = np.repeat(np.arange(len(sets)), width)
+        spread = mix(np.concatenate(sets))
+        bucket = (((spread >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        rows = [(-1 - int(node[0]) % buckets, int(node[0]), len(sets), node.tobytes(), _small(width), b"")]
+        for b, (x, y) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+            if y > x:
+                here = order[x:y]
+                n = np.bincount(owner[here], minlength=len(sets)).astype(np.uint32)
+                rows.append((b, int(node[0]), len(sets), b"", _small(n), spread[here].astype(np.uint32).tobytes()))
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    return work
+
+
+def _small(n: np.ndarray) -> bytes:
+    return pa.compress(n.astype(np.uint32).tobytes(), codec="zstd", asbytes=True)
+
+
+def _counts(table: pa.Table) -> list[np.ndarray]:
+    rows = zip(table["n"].to_pylist(), table["sets"].to_pylist(), strict=True)
+    return [np.frombuffer(pa.decompress(n, 4 * sets, codec="zstd", asbytes=True), np.uint32).astype(np.int64) for n, sets in rows]
+
+
+def _shared_marks(table: pa.Table) -> pa.Table:
+    """How many n-grams of a bucket each set shares with another; those with equal bits count as equal."""
+    names = ["batch", "sets", "nodes", "n"]
+    if table["bucket"][0].as_py() < 0:
+        return table.select(names)
+    counts = _counts(table)
+    marks = np.frombuffer(b"".join(table["marks"].to_pylist()), np.uint32)
+    order = np.argsort(marks)
+    equal = marks[order[1:]] == marks[order[:-1]]
+    shared = np.zeros(len(marks), bool)
+    shared[order] = np.append(False, equal) | np.append(equal, False)
+    so_far = np.append(0, np.cumsum(shared))
+    ends = np.cumsum(np.concatenate(counts))
+    n = so_far[ends] - so_far[ends - np.concatenate(counts)]
+    cuts = np.cumsum([len(c) for c in counts])[:-1]
+    found = pa.array([_small(x) for x in np.split(n, cuts)], pa.binary())
+    return table.select(names).set_column(3, "n", found)
+
+
+def _supported(percent: int):
+    """The sets of a batch that share enough n-grams to be similar to any other."""
+
+    def work(table: pa.Table) -> pa.Table:
+        named = np.array([len(b) > 0 for b in table["nodes"].to_pylist()])
+        counts = _counts(table)
+        first = int(np.flatnonzero(named)[0])
+        node, size = np.frombuffer(table["nodes"][first].as_py(), np.int64), counts[first]
+        shared = sum((c for c, own in zip(counts, named, strict=True) if not own), np.zeros(len(node), np.int64))
+        return pa.table({"node": pa.array(node[100 * shared >= percent * size], pa.int64())})
+
+    return work
+
+
+def supported(rows: DataFrame, groups: DataFrame, words: int, percent: int) -> DataFrame:
+    """``node``: documents of ``groups`` that may have a similar one among them.
+
+    Two similar sets share at least ``percent`` of the n-grams of each, so a set
+    with fewer n-grams that any other has cannot be in a pair.  N-grams are told
+    apart by bucket and 32 bits; equal bits of different ones keep a set too many.
+    """
+    bits = rows.sparkSession.sparkContext.broadcast(_filter_of(groups))
+    grams = groups.agg(F.sum("n")).first()[0] or 0
+    buckets = max(GRAM_BUCKETS, grams // MARKS)
+    shape = "bucket long, batch long, sets long, nodes binary, n binary, marks binary"
+    marks = _hashed(rows).mapInArrow(in_chunks(_gram_marks(bits, buckets, words), chars=TEXT_BYTES), shape)
+    shared = marks.groupBy("bucket").applyInArrow(per_group(_shared_marks), "batch long, sets long, nodes binary, n binary")
+    return write_table(shared.groupBy("batch").applyInArrow(_supported(percent), "node long"), "supported")
+
+
 def _filter_of(keys: DataFrame) -> np.ndarray:
     """A bit for each hash of a key; a fixed number of bits whatever the number of keys."""
     at = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
@@ -369,19 +489,25 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
     return out
 
 
+def _hashed(rows: DataFrame) -> DataFrame:
+    return rows.select("key", F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)).alias("at"), "text")
+
+
+def _in_bits(table: pa.Table, bits: np.ndarray) -> pa.Table:
+    at = table["at"].to_numpy()
+    return table.filter(pa.array(((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)))
+
+
 def candidate_sets(rows: DataFrame, groups: DataFrame, words: int) -> DataFrame:
-    """``node, component, n, grams`` of the documents in ``groups``."""
+    """The rows of ``groups`` with the ``grams`` of their documents."""
     bits = rows.sparkSession.sparkContext.broadcast(_filter_of(groups))
 
     def work(table: pa.Table) -> pa.Table:
-        at = table["at"].to_numpy()
-        hit = (bits.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-        table = table.filter(pa.array(hit.astype(bool)))
+        table = _in_bits(table, bits.value)
         grams = [g.tobytes() for g in shingle_sets(table["text"].cast(pa.binary()).to_pylist(), words)]
         return pa.table({"node": table["key"], "grams": pa.array(grams, pa.binary())})
 
-    hashed = rows.select("key", F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)).alias("at"), "text")
-    sets = hashed.mapInArrow(in_chunks(work, chars=TEXT_BYTES), "node long, grams binary")
+    sets = _hashed(rows).mapInArrow(in_chunks(work, chars=TEXT_BYTES), "node long, grams binary")
     return groups.join(sets, "node")
 
 
@@ -552,6 +678,13 @@ def large_group_links(sets: DataFrame, percent: int) -> DataFrame:
     return starred.where("linked").select(F.col("node").alias("a"), F.col("star").alias("b")).unionByName(cells)
 
 
+def _with_members(groups: DataFrame) -> DataFrame:
+    """``groups`` with the size of each component."""
+    groups = write_table(groups, "groups")
+    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    return write_table(groups.join(sizes, "component").select("node", "component", "members"), "group-sizes")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id``.
 
@@ -576,14 +709,27 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     edges = write_table(edges.select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a <> b").distinct(), "representative-edges")
     label = None
     if edges.limit(1).count():
-        groups = write_table(components(edges), "groups")
-        sizes = write_table(groups.groupBy("component").agg(F.count(F.lit(1)).alias("members")), "group-sizes")
-        sets = write_table(candidate_sets(rows, groups, words), "sets").join(sizes, "component")
-        tasks = max(1, int(sizes.where(F.col("members") <= block).agg(F.coalesce(F.sum("members"), F.lit(0))).first()[0]) // (2 * block) + 1)
-        small = sets.where(F.col("members") <= block).withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(tasks)))
+        groups = _with_members(components(edges))
+        small, large = groups.where(F.col("members") <= block), None
+        if groups.where(F.col("members") > block).limit(1).count():
+            chained = groups.where(F.col("members") > block).join(named.select(F.col("key").alias("node"), "n"), "node")
+            kept = groups.join(supported(rows, chained, words, percent), "node", "left_semi").where(F.col("members") > block)
+            sets = write_table(candidate_sets(rows, small.unionByName(kept), words), "sets")
+            kept = sets.where(F.col("members") > block).select("node", "grams")
+            grams = (kept.agg(F.sum(F.octet_length("grams"))).first()[0] or 0) // 8
+            edges = write_table(candidate_edges(kept, grams, words, percent), "supported-edges")
+            # Without the others most of what stays is in small groups.
+            groups = _with_members(components(edges))
+            regrouped = write_table(kept.join(groups, "node").select(*sets.columns), "regrouped")
+            small = sets.where(F.col("members") <= block).unionByName(regrouped.where(F.col("members") <= block))
+            if groups.where(F.col("members") > block).limit(1).count():
+                large = regrouped.where(F.col("members") > block)
+        else:
+            small = write_table(candidate_sets(rows, small, words), "sets")
+        tasks = max(1, small.count() // (2 * block) + 1)
+        small = small.withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(tasks)))
         label = small.select("bucket", "component", "node", "grams").groupBy("bucket").applyInArrow(per_group(_joined(percent)), "a long, b long")
-        large = sets.where(F.col("members") > block)
-        if sizes.where(F.col("members") > block).limit(1).count():
+        if large is not None:
             links = large_group_links(large, percent)
             found = components(links).select(F.col("node").alias("a"), F.col("component").alias("b"))
             label = label.unionByName(found)

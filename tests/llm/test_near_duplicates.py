@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from flowvec.llm.trie_join import Tree, drop_near_duplicates, join_sets, near_duplicates, shingle_sets, signatures, size_classes
+from flowvec.llm.wordhash import mix
 
 
 def shingles(text, k=4):
@@ -139,3 +140,44 @@ def test_a_full_bucket_of_ngrams_is_counted_in_little_memory():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found.num_rows == 0 and most < 150e6
+
+
+def test_chained_sets_without_a_partner_do_not_meet_in_blocks(spark, monkeypatch):
+    """Texts that share half of their words are one group by signatures, and none is similar to another."""
+    from flowvec.llm import trie_join
+
+    half = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(half + [f"y{i}_{j}" for j in range(40)])) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " end") for i in range(2)]
+    met, compared = [], trie_join.large_group_links
+    monkeypatch.setattr(trie_join, "large_group_links", lambda sets, percent: met.append(sets.count()) or compared(sets, percent))
+    signed = {}
+    for i, (_, text) in enumerate(rows):
+        for x in signatures(next(shingle_sets([text.encode()])), size_classes(85), 85).tolist():
+            signed.setdefault(x, []).append(i)
+    assert max(map(len, signed.values())) > 8
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=4)
+    assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == brute(rows)
+    assert not met
+
+
+def test_signatures_travel_in_few_bytes():
+    import pyarrow as pa
+
+    from flowvec.llm.trie_join import SIGNATURE_BITS, _signature_blocks, _unpacked
+
+    rows = texts(150, 8)
+    keys = np.array([k for k, _ in rows]) + 2**40
+    blocks = _signature_blocks(3, 4, 85)(pa.table({"key": keys, "text": [t.encode() for _, t in rows]}))
+    blocks = blocks.filter(pa.compute.greater_equal(blocks["bucket"], 0))
+    ends, want = size_classes(85), {}
+    for key, grams in zip(keys.tolist(), shingle_sets([t.encode() for _, t in rows]), strict=True):
+        for x in (mix(signatures(grams, ends, 85)) & SIGNATURE_BITS).tolist():
+            want.setdefault(x, key)
+            want[x] = min(want[x], key)
+    found, size = {}, 0
+    for row in blocks.drop_columns(["bucket"]).to_pylist():
+        value, key = _unpacked(row["left"], row["right"], row["place"])
+        found.update(zip(value.tolist(), key.tolist(), strict=True))
+        size += sum(map(len, row.values()))
+    assert found == want and size < 10 * len(want)
