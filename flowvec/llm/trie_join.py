@@ -38,6 +38,8 @@ SPARE = 3
 FEW_EMPTY = 6
 # Signatures of a task that looks for equal ones, and sets of a task that joins.
 BUCKET_SIGNATURES = 1_000_000
+# Buckets of signatures for each part of the documents whose edges are brought together.
+PART_BUCKETS = 8
 # What a task tells signatures of a bucket apart by; those that agree by chance only connect too much.
 SIGNATURE_BITS = np.uint64(2**40 - 1)
 # Buckets of n-grams in which those that most members of a large group have are looked for, and n-grams of one.
@@ -322,9 +324,10 @@ def _signature_blocks(buckets: int, words: int, percent: int):
         order = np.lexsort((key, sig))
         sig, key = sig[order], key[order]
         new = np.append(True, sig[1:] != sig[:-1])[: len(sig)]
-        # Of equal signatures one goes on; the others are edges to it right here.
+        # Of equal signatures one goes on, under the first document that its own is connected with right here.
         hub = key[np.maximum.accumulate(np.where(new, np.arange(len(sig)), 0))] if len(sig) else key
-        a, b = _once(key[~new], hub[~new])
+        a, b = forest(key[~new], hub[~new])
+        key = _renamed(key, a, b)
         edge_bucket = -1 - (mix(a.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         spread = mix(sig[new])
         bucket = (((spread >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
@@ -361,35 +364,68 @@ def _unpacked(left: bytes, keys: bytes, place: bytes) -> tuple[np.ndarray, np.nd
     return value, np.frombuffer(keys, np.int64)[np.frombuffer(place, np.uint16 if len(place) == 2 * n else np.uint32)]
 
 
-def _once(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of different numbers."""
-    pairs = np.unique(np.stack([a, b], 1)[a != b], axis=0)
-    return pairs[:, 0], pairs[:, 1]
-
-
-def _equal_signatures(table: pa.Table) -> pa.Table:
-    found = zip(*(table[c].to_pylist() for c in ("left", "right", "place")), strict=True)
-    signed = table["bucket"][0].as_py() >= 0
-    sides = [_unpacked(*row) if signed else tuple(np.frombuffer(b, np.int64) for b in row[:2]) for row in found]
-    left, right = (np.concatenate(c) for c in zip(*sides, strict=True))
-    if signed:
-        order = np.lexsort((right, left))
-        left, right = left[order], right[order]
-        new = np.append(True, left[1:] != left[:-1])
-        hub = right[np.maximum.accumulate(np.where(new, np.arange(len(left)), 0))]
-        left, right = right, hub
-    a, b = _once(left, right)
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the numbers that the pairs connect, each with the least of its component; the least ones are left out."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while (apart := label[x] != label[y]).any():
+        x, y = x[apart], y[apart]
+        left, right = label[x], label[y]
+        np.minimum.at(label, np.maximum(left, right), np.minimum(left, right))
+        while ((up := label[label]) != label).any():
+            label = up
+    moved = label != np.arange(len(nodes))
+    return nodes[moved], nodes[label[moved]]
+
+
+def _renamed(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``key`` with each of ``a``, which is sorted, replaced by its ``b``."""
+    if not len(a):
+        return key
+    at = np.minimum(np.searchsorted(a, key), len(a) - 1)
+    return np.where(a[at] == key, b[at], key)
+
+
+def _equal_signatures(parts: int):
+    """What the signatures of a bucket connect: a row for each part of the documents."""
+
+    def work(table: pa.Table) -> pa.Table:
+        found = zip(*(table[c].to_pylist() for c in ("left", "right", "place")), strict=True)
+        signed = table["bucket"][0].as_py() >= 0
+        sides = [_unpacked(*row) if signed else tuple(np.frombuffer(b, np.int64) for b in row[:2]) for row in found]
+        left, right = (np.concatenate(c) for c in zip(*sides, strict=True))
+        if signed:
+            order = np.lexsort((right, left))
+            left, right = left[order], right[order]
+            new = np.append(True, left[1:] != left[:-1])
+            hub = right[np.maximum.accumulate(np.where(new, np.arange(len(left)), 0))]
+            left, right = right[~new], hub[~new]
+        a, b = forest(left, right)
+        part = (mix(a.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        rows = [(x, one.tobytes(), other.tobytes()) for x, one, other in _by_bucket(part, np.argsort(part, kind="stable"), a, b)]
+        columns = list(zip(*rows, strict=True)) or [[] for _ in range(3)]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.binary(), pa.binary()], strict=True)], names=["part", "a", "b"])
+
+    return work
+
+
+def _connected(table: pa.Table) -> pa.Table:
+    """Edges that connect what all those of a part connect: documents meet in many buckets."""
+    a, b = forest(*(np.frombuffer(b"".join(table[c].to_pylist()), np.int64) for c in ("a", "b")))
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def candidate_edges(rows: DataFrame, grams: int, words: int, percent: int) -> DataFrame:
-    """``a, b``: documents with an equal signature, each hung on the first of its signature."""
+    """``a, b``: edges that connect the documents that equal signatures connect, once for each part of the documents."""
     per_gram = 2.5 * (100 - percent) / (100 + percent) * 2
     buckets = max(1, int(grams * per_gram) // BUCKET_SIGNATURES + 1)
     text, size = ("text", TEXT_BYTES) if "text" in rows.columns else ("grams", SET_BYTES)
     work = in_chunks(_signature_blocks(buckets, words, percent), text, size)
     blocks = rows.select("key" if text == "text" else "node", text).mapInArrow(work, "bucket long, left binary, right binary, place binary")
-    return blocks.groupBy("bucket").applyInArrow(per_group(_equal_signatures), "a long, b long")
+    parts = buckets // PART_BUCKETS + 1
+    found = blocks.groupBy("bucket").applyInArrow(per_group(_equal_signatures(parts)), "part long, a binary, b binary")
+    return found.groupBy("part").applyInArrow(per_group(_connected), "a long, b long")
 
 
 def _gram_marks(bits, buckets: int, words: int):
