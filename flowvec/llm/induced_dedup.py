@@ -45,6 +45,8 @@ STRINGS = 500_000
 PART_BYTES = 32_000_000
 # Slices of the filters of places with several contexts and of the first of each, as a power of two.
 SLICES = 7
+# Bits that places and contexts are told apart by: 88 together.
+PLACE_BITS, CONTEXT_BITS = np.uint64((2**40 - 1) << 24), np.uint64((2**48 - 1) << 16)
 # Bits of the filter of repeated places.  It only saves traffic: a place that
 # passes by chance is found to be alone later.
 FILTER_BITS = 26
@@ -98,7 +100,8 @@ def runs_of(texts: list[bytes], length: int) -> Iterator[tuple[int, int, bytes,
     for row, text in enumerate(texts):
         for at in range(0, max(0, len(text) - length + 1), SEGMENT):
             part = text[at : at + SEGMENT + length - 1]
-            yield row, at, part, sampled(BYTE[np.frombuffer(part, np.uint8)], length)
+            *found, place = sampled(BYTE[np.frombuffer(part, np.uint8)], length)
+            yield row, at, part, (*found, place & PLACE_BITS)
 
 
 def _bucket_rows(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
@@ -149,8 +152,8 @@ def place_filter(rows: DataFrame, n_bytes: int, length: int) -> tuple[np.ndarray
     """Filters of repeated and of hot places, of a fixed size, and how often repeated places occur."""
     per_place = (length - GRAM + 2) / 2
     bits = min(FILTER_BITS - 6, max(0, int(n_bytes / per_place / PLACES).bit_length()))
-    places = rows.select("text").mapInArrow(in_chunks(_places(bits, length), chars=PIECE), "bucket long, places binary, counts binary")
-    maps = places.groupBy("bucket").applyInArrow(_repeated(bits), "bucket long, repeated binary, hot binary, n long")
+    places = rows.select("text").mapInArrow(in_chunks(_squeezed(_places(bits, length)), chars=PIECE), "bucket long, places binary, counts binary")
+    maps = places.groupBy("bucket").applyInArrow(_restored(_repeated(bits)), "bucket long, repeated binary, hot binary, n long")
     width = (1 << (FILTER_BITS - bits)) // 8
     repeated, hot, n = np.zeros((1 << FILTER_BITS) // 8, np.uint8), np.zeros((1 << FILTER_BITS) // 8, np.uint8), 0
     for r in maps.collect():
@@ -189,21 +192,28 @@ def _tuple_table(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _TUPLES.split(", ")])
 
 
-_BLOBS = ("place", "hash", "key", "start", "size", "context")
+# Binary columns with the bytes of one of their entries.
+_ENTRIES = {"place": 8, "hash": 8, "key": 8, "start": 8, "size": 1, "context": 1, "places": 8, "counts": 2, "marks": 8, "keys": 8, "widths": 8, "runs": 16}
 
 
 def _changed(table: pa.Table, change) -> pa.Table:
-    for name in _BLOBS:
-        at = table.schema.get_field_index(name)
-        table = table.set_column(at, name, pa.array([change(b) for b in table[name].to_pylist()], pa.binary()))
+    for at, name in enumerate(table.column_names):
+        if name in _ENTRIES:
+            table = table.set_column(at, name, pa.array([change(b, _ENTRIES[name]) if b else b for b in table[name].to_pylist()], pa.binary()))
     return table
 
 
+def _turned(blob: bytes, rows: int) -> bytes:
+    return np.frombuffer(blob, np.uint8).reshape(rows, -1).T.tobytes()
+
+
 def _squeezed(work):
-    """What ``work`` makes with its binary columns compressed: contexts overlap, and most numbers are small."""
+    """What ``work`` makes with its binary columns compressed, the first bytes of all numbers first: most numbers are
+    small or sorted, and contexts overlap.
+    """
 
-    def small(blob: bytes) -> bytes:
-        return len(blob).to_bytes(8, "little") + pa.compress(blob, codec="zstd", asbytes=True) if blob else b""
+    def small(blob: bytes, width: int) -> bytes:
+        return len(blob).to_bytes(8, "little") + pa.compress(_turned(blob, len(blob) // width), codec="zstd", asbytes=True)
 
     return lambda table: _changed(work(table), small)
 
@@ -211,8 +221,8 @@ def _squeezed(work):
 def _restored(work):
     """``work`` on a table whose binary columns are compressed."""
 
-    def whole(blob: bytes) -> bytes:
-        return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True) if blob else b""
+    def whole(blob: bytes, width: int) -> bytes:
+        return _turned(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True), width)
 
     return lambda table: work(_changed(table, whole))
 
@@ -245,14 +255,14 @@ def _contexts(repeated, hot, several, buckets: int, length: int, firsts=None):
             warm = _in_filter(hot.value, place)
             a, b, p = first[~warm], last[~warm], place[~warm]
             if len(a):
-                kept[0].append((p, span_hashes(codes, a, b + length), np.full(len(a), keys[row]), at + a, b - a + 1))
+                kept[0].append((p, span_hashes(codes, a, b + length) & CONTEXT_BITS, np.full(len(a), keys[row]), at + a, b - a + 1))
                 if several is not None:
                     text += [part[x : y + length] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
             a, b, p = first[warm], last[warm], place[warm]
             if len(a) and several is None:
                 n = b - a + 1
                 start = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
-                kept[1].append((np.repeat(p, n), span_hashes(codes, start, start + length), np.full(len(start), keys[row]), at + start, np.ones(len(start), np.int64)))
+                kept[1].append((np.repeat(p, n), span_hashes(codes, start, start + length) & CONTEXT_BITS, np.full(len(start), keys[row]), at + start, np.ones(len(start), np.int64)))
         rows, dropped = [], []
         for kind, found in kept.items():
             if not found:
@@ -472,17 +482,17 @@ def repeated_runs(rows: DataFrame, n_bytes: int, length: int) -> DataFrame:
     parts = int(n_bytes // PART_BYTES + 1)
     texts, repeated, hot = rows.select("key", "text"), ship(repeated), ship(hot)
     tuples = texts.mapInArrow(in_chunks(_squeezed(_contexts(repeated, hot, None, buckets, length)), chars=PIECE), _TUPLES)
-    whole = write_table(tuples.groupBy("bucket").applyInArrow(per_group(_by_part(_restored(_repeats), parts)), _PACKED), "repeated-contexts")
-    slices = whole.where("slice is not null").select("slice", "places", "marks").groupBy("slice").applyInArrow(_slice_bits, "slice long, bits binary, firsts binary")
+    whole = write_table(tuples.groupBy("bucket").applyInArrow(per_group(_squeezed(_by_part(_restored(_repeats), parts))), _PACKED), "repeated-contexts")
+    slices = whole.where("slice is not null").select("slice", "places", "marks").groupBy("slice").applyInArrow(_restored(_slice_bits), "slice long, bits binary, firsts binary")
     width = (1 << (FILTER_BITS - SLICES)) // 8
     several, firsts = np.zeros((1 << FILTER_BITS) // 8, np.uint8), np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for r in slices.collect():
         here = slice(r["slice"] * width, (r["slice"] + 1) * width)
         several[here], firsts[here] = np.frombuffer(r["bits"], np.uint8), np.frombuffer(r["firsts"], np.uint8)
     tuples = texts.mapInArrow(in_chunks(_squeezed(_contexts(repeated, hot, ship(several), buckets, length, ship(firsts))), chars=PIECE), _TUPLES)
-    shared = tuples.groupBy("bucket").applyInArrow(per_group(_by_part(_restored(_shared_strings(length)), parts)), _PACKED)
+    shared = tuples.groupBy("bucket").applyInArrow(per_group(_squeezed(_by_part(_restored(_shared_strings(length)), parts))), _PACKED)
     found = whole.where("part is not null").unionByName(shared).select("part", "keys", "widths", "runs")
-    return found.groupBy("part").applyInArrow(_by_document, "key long, runs array<binary>")
+    return found.groupBy("part").applyInArrow(_restored(_by_document), "key long, runs array<binary>")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -493,7 +503,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Null counts as empty; texts shorter than ``length`` lose nothing.  Rows with
     repeated or null ids are documents of their own, null last.  Other columns
     are not read; an empty table gives an empty result.  Strings are told apart
-    by two 64-bit hashes, of the string and of its sampled place.
+    by two hashes, 48 or 64 bits of the string and 40 bits of its sampled place.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")

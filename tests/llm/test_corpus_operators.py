@@ -307,6 +307,27 @@ def test_tuples_travel_compressed():
     assert induced._restored(lambda t: t)(small).equals(table)
 
 
+def test_a_place_travels_in_few_bytes():
+    """What a task tells of 100-byte strings that it holds once, and of the contexts of those it holds again."""
+    import flowvec.llm.induced_dedup as induced
+
+    random = np.random.default_rng(6)
+    texts = ["".join(random.choice(list("abcdefghijklmnop "), 2000)) for _ in range(300)]
+    table = pa.table({"key": np.arange(300) + 2**40, "text": texts})
+    places = induced._squeezed(induced._places(0, 100))(table)
+    n = sum(len(p) // 8 for p in induced._restored(lambda t: t)(places)["places"].to_pylist())
+    assert places.nbytes < 6 * n
+
+    class All:
+        value = np.full((1 << induced.FILTER_BITS) // 8, 255, np.uint8)
+
+    class Nothing:
+        value = np.zeros((1 << induced.FILTER_BITS) // 8, np.uint8)
+
+    tuples = induced._squeezed(induced._contexts(All, Nothing, None, 1, 100))(table)
+    assert tuples.nbytes < 17 * n
+
+
 def test_runs_that_touch_are_one():
     import flowvec.llm.induced_dedup as induced
 
