@@ -196,6 +196,36 @@ def test_packing_finds_related_documents_all_over_the_table(spark, monkeypatch):
         assert share(cut) > 0.8, (share(cut), share(whole))
 
 
+def test_every_fiftieth_document_is_a_query_of_all(spark, monkeypatch):
+    import flowvec.llm.retrieval_packing as packing
+
+    random = np.random.default_rng(8)
+    names = [["".join(random.choice(list("bdfgklmnprstvaeiou"), 7)) for _ in range(30)] for _ in range(3)]
+    texts = [" ".join(["the", *random.choice(names[i % 3], 12)]) for i in range(300)]
+    # What the rounds get, where every unused document meets every open window.
+    came, rounds = [], packing.rounds
+
+    def counted(pool, *rest):
+        came.append(pool.selectExpr("sum(size)").first()[0])
+        return rounds(pool, *rest)
+
+    monkeypatch.setattr(packing, "rounds", counted)
+    total = sum(len(encoded(t)[0]) + 1 for t in texts)
+    monkeypatch.setattr(packing, "LAST_TOKENS", total // 2)
+    # Every topic is asked for; no document is a query; all are.
+    for step, first, most in ((1, 0, 0.5), (50, 1, 1), (50, 0, 1)):
+        table = spark.createDataFrame([(step * i + first, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        found = retrieval_pack(table, row=512).collect()
+        assert sum(r.length for r in found) == total and came.pop() <= most * total
+        at = {}
+        for doc, start, length in sorted((r.doc_id, r.start, r.length) for r in found):
+            assert start == at.get(doc, 0)
+            at[doc] = start + length
+        assert at == {r.doc_id: r.doc_tokens for r in found} and len(at) == len(texts)
+        places = sorted((r.sequence_id, r.offset, r.length) for r in found)
+        assert all(b[1] == (a[1] + a[2] if a[0] == b[0] else 0) for a, b in zip(places, places[1:]))
+
+
 def test_best_seed_against_brute_force():
     from flowvec.llm.retrieval_packing import Seeds
 
