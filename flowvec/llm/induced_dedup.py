@@ -43,6 +43,8 @@ PIECE = 8_000_000
 STRINGS = 500_000
 # Bytes of text whose documents' repeats are brought together.
 PART_BYTES = 32_000_000
+# Of compression: what is shuffled fills the disk.
+LEVEL = 6
 # Slices of the filters of places with several contexts and of the first of each, as a power of two.
 SLICES = 7
 # Bits that places and contexts are told apart by: 88 together.
@@ -207,13 +209,17 @@ def _turned(blob: bytes, rows: int) -> bytes:
     return np.frombuffer(blob, np.uint8).reshape(rows, -1).T.tobytes()
 
 
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=LEVEL)
+
+
 def _squeezed(work):
     """What ``work`` makes with its binary columns compressed, the first bytes of all numbers first: most numbers are
     small or sorted, and contexts overlap.
     """
 
     def small(blob: bytes, width: int) -> bytes:
-        return len(blob).to_bytes(8, "little") + pa.compress(_turned(blob, len(blob) // width), codec="zstd", asbytes=True)
+        return len(blob).to_bytes(8, "little") + _codec().compress(_turned(blob, len(blob) // width), asbytes=True)
 
     return lambda table: _changed(work(table), small)
 
@@ -268,7 +274,8 @@ def _contexts(repeated, hot, several, buckets: int, length: int, firsts=None):
             if not found:
                 continue
             place, digest, key, start, size = (np.concatenate(c) for c in zip(*found, strict=True))
-            first, others = _all_but_first(place, digest, key, start)
+            # In the order of the text, in which keys, starts and overlapping contexts compress best.
+            first, others = map(np.sort, _all_but_first(place, digest, key, start))
             if several is None:
                 dropped.append((key[others], start[others], size[others]))
             by = place if kind == 0 else digest
@@ -462,6 +469,7 @@ def _cut(table: pa.Table, length: int) -> pa.Table:
     for doc_id, n, sha, text, runs in zip(*(table[c].to_pylist() for c in ("doc_id", "n_bytes", "sha", "text", "runs")), strict=True):
         spans = []
         if runs:
+            text = pa.decompress(text, n, codec="zstd", asbytes=True)
             spans, done, digest = removed(runs, length), 0, hashlib.sha256()
             for a, b in spans:
                 digest.update(text[done:a])
@@ -522,7 +530,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 "doc_id": table["doc_id"],
                 "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
                 "sha": pa.array([None if h else hashlib.sha256(t).hexdigest() for t, h in zip(texts, hit, strict=True)], pa.string()),
-                "text": pa.array([t if h else None for t, h in zip(texts, hit, strict=True)], pa.binary()),
+                "text": pa.array([_codec().compress(t, asbytes=True) if h else None for t, h in zip(texts, hit, strict=True)], pa.binary()),
             }
         )
 
@@ -533,7 +541,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def finish(batches):
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            sha = [hashlib.sha256(t).hexdigest() if s is None and not r else s for s, t, r in zip(table["sha"].to_pylist(), table["text"].to_pylist(), table["runs"].to_pylist(), strict=True)]
+            columns = (table[c].to_pylist() for c in ("sha", "text", "n_bytes", "runs"))
+            sha = [hashlib.sha256(pa.decompress(t, n, codec="zstd", asbytes=True)).hexdigest() if s is None and not r else s for s, t, n, r in zip(*columns, strict=True)]
             table = table.set_column(table.schema.get_field_index("sha"), "sha", pa.array(sha, pa.string()))
             yield from _cut(table, length).to_batches()
 

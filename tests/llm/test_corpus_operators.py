@@ -262,6 +262,24 @@ def test_repeats(docs, empty):
     assert remove_repeats(empty).collect() == []
 
 
+def test_contexts_travel_in_the_order_of_the_text():
+    from types import SimpleNamespace
+
+    from flowvec.llm.induced_dedup import FILTER_BITS, _contexts
+
+    random = np.random.default_rng(9)
+    texts = [random.integers(97, 123, 600, np.uint8).tobytes() for _ in range(30)]
+    every, none = (SimpleNamespace(value=np.full((1 << FILTER_BITS) // 8, b, np.uint8)) for b in (255, 0))
+    for several in (None, every):
+        found = _contexts(every, none, several, 3, 100)(pa.table({"key": list(range(30)), "text": pa.array(texts, pa.binary())}))
+        assert set(found["kind"].to_pylist()) == {0}
+        for key, start, size, context in zip(*(found[c].to_pylist() for c in ("key", "start", "size", "context")), strict=True):
+            at = list(zip(np.frombuffer(key, np.int64).tolist(), np.frombuffer(start, np.int64).tolist()))
+            assert at == sorted(at) and len(at) > 30
+            if several is not None:
+                assert context == b"".join(texts[k][s : s + n + 99] for (k, s), n in zip(at, size))
+
+
 def test_repeats_of_hot_places_and_segments(spark, monkeypatch):
     import flowvec.llm.induced_dedup as induced
 
