@@ -112,6 +112,35 @@ def test_tokens_of_any_characters():
         assert next(iter(own.encode([text.encode()]))).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_tokens_of_words_of_any_length():
+    own, library = Encoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    random = np.random.default_rng(9)
+    pool = ["a", "b", "'", "'s", "'ll", "\0", "1", "é", "Ä", "!", "²", "\xad", "\u212a", "İ", "<|", "<|endoftext|>", "漢", "ne", "\u0301"]
+    words = ["ab", "ab\0", "ab\0\0", "\0", "a" * 16, "a" * 17, "é" * 8, "é" * 8 + "e", "x's's'", "''s", "12345678'", "<|", "a" * 15 + "\0"]
+    words += ["".join(random.choice(pool, random.integers(1, 12), p=[0.2, 0.2] + [0.6 / (len(pool) - 2)] * (len(pool) - 2))) for _ in range(6000)]
+    texts = [" ".join(random.choice(words, 40)) for _ in range(400)] + ["", " \n", *words[:13]]
+    # Known words and new ones are told apart in either order.
+    for part in (texts[:200], texts[100:], texts):
+        for text, ids in zip(part, own.encode([t.encode() for t in part]), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_parts_of_words_are_merged_once(monkeypatch):
+    import flowvec.llm.word_transducer as words
+
+    own, library = Encoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    merged, merge = [], own.merge
+    monkeypatch.setattr(own, "merge", lambda pieces: (merged.extend(pieces), merge(pieces))[1])
+    # More words than are remembered: those of every text stay, those of one text go.
+    monkeypatch.setattr(words, "REMEMBERED", 100)
+    for i in range(60):
+        text = " ".join(["Often again, often! again", *(f"only{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j)}" for j in range(20))])
+        assert next(iter(own.encode([text.encode()]))).tolist() == library.encode(text, add_special_tokens=False).ids
+    # Of old a part was merged with each word that has it, and with all words once too many were remembered.
+    assert merged.count(b"often") == merged.count(b"again") == 1
+    assert len(own.words.keys) <= 130 and len(own.parts.keys) <= 130
+
+
 def test_transducer_shares_suffixes(tmp_path):
     words = sorted({f"{a}{b}ation".encode() for a in "abcdefgh" for b in "stuvwxyz"} | {b"a", b"ab"})
     ids = [[i, i + 1] for i in range(len(words))]
