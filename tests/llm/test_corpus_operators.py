@@ -255,6 +255,37 @@ def test_every_fiftieth_document_is_a_query_of_all(spark, monkeypatch):
         assert all(b[1] == (a[1] + a[2] if a[0] == b[0] else 0) for a, b in zip(places, places[1:]))
 
 
+def test_each_window_has_a_query_of_its_own(spark, monkeypatch):
+    import flowvec.llm.retrieval_packing as packing
+
+    random = np.random.default_rng(8)
+    names = [["".join(random.choice(list("bdfgklmnprstvaeiou"), 7)) for _ in range(30)] for _ in range(3)]
+    texts = [" ".join(["the", *random.choice(names[i % 3], 12)]) for i in range(300)]
+    total = sum(len(encoded(t)[0]) + 1 for t in texts)
+    monkeypatch.setattr(packing, "LAST_TOKENS", total // 2)
+    asked, came, shipped, rounds = [], [], packing.shipped, packing.rounds
+
+    def seen(asking, offer):
+        asked.append(asking.count())
+        return shipped(asking, offer)
+
+    def counted(pool, *rest):
+        came.append(pool.selectExpr("sum(size)").first()[0])
+        return rounds(pool, *rest)
+
+    monkeypatch.setattr(packing, "shipped", seen)
+    monkeypatch.setattr(packing, "rounds", counted)
+    # Whatever the ids are, also where none of them is divisible by fifty.
+    for step, first in ((1, 0), (50, 1)):
+        table = spark.createDataFrame([(step * i + first, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        found = retrieval_pack(table, row=256).collect()
+        assert sum(r.length for r in found) == total and came.pop() <= 0.5 * total
+        assert asked[0] > 0.6 * total / 256, (asked, total / 256)
+        places = sorted((r.sequence_id, r.offset, r.length) for r in found)
+        assert all(b[1] == (a[1] + a[2] if a[0] == b[0] else 0) for a, b in zip(places, places[1:]))
+        asked.clear()
+
+
 def test_best_seed_against_brute_force():
     from flowvec.llm.retrieval_packing import Seeds
 
