@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowvec.functions import vectors as V
-from flowvec.operators.pairwise import best_pairs, compare_blocks, keep_best, to_matrix, with_dim
+from flowvec.operators.pairwise import best_pairs, compare_blocks, keep_best, to_vectors, with_dim
 from flowvec.session import lookup_join
 
 HIT_SCHEMA = "query_id long, id long, score double"
@@ -75,7 +75,7 @@ def top_kernel(k: int, metric: str, ascending: bool, dim: int):
         if not left.num_rows or not right.num_rows:
             return best_hits([], [], [], k, ascending)
         q, r, value = best_pairs(
-            metric, to_matrix(left["q"]), to_matrix(right["v"]), k, ascending, V.TIE_DECIMALS
+            metric, to_vectors(left["q"]), to_vectors(right["v"]), k, ascending, V.TIE_DECIMALS
         )
         query_ids, ids = left["query_id"].to_numpy(), right["id"].to_numpy()
         return best_hits(query_ids[q], ids[r], value, k, ascending)
