@@ -103,3 +103,23 @@ def test_space_must_fit_the_metric(spark):
         balls.ball_join(side, side, 1, "cosine")
     with pytest.raises(ValueError):
         balls.ball_join(side, side, 1, "nearest")
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "ip"])
+def test_vectors_travel_once_a_shelf(spark, clustered, metric, monkeypatch):
+    monkeypatch.setattr(balls, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(balls, "GRID_CELLS", 120 * DIM)
+    sent, stream = [], balls.stream_cells
+
+    def counted(sides, cells, *rest):
+        sent.append((cells, sides[1].count(), sides[-1].count()))
+        return stream(sides, cells, *rest)
+
+    monkeypatch.setattr(balls, "stream_cells", counted)
+    table = frame(spark, clustered)
+    queries, rows = K.as_queries(table, "id", "embedding"), K.as_rows(table, "id", "embedding")
+    side = balls.place(rows, ann.train_centroids(rows, 40, "id", "v"), balls.space_of(metric), 16)
+    assert hits(balls.ball_join(side, side, 5, metric).hits) == hits(K.knn_join(queries, rows, 5, metric))
+    # Some forty blocks on a side; four or five shelves of it at last.
+    cells, mine, theirs = sent[1]
+    assert cells > 1 and mine <= 6 * 360 and theirs <= 6 * 360
