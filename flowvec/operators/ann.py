@@ -127,14 +127,44 @@ class InvertedLists:
         """
         if nprobe is None:
             return self.bounded(queries, k, metric).hits
-        probes = self._probes(queries, k, min(nprobe, self.lists))
+        if nprobe >= self.lists:
+            return self._all_lists(queries, k, metric)
+        probes = self._probes(queries, k, nprobe)
         rows = self.rows
-        if self.stored and nprobe < self.lists:
+        if self.stored:
             # At most one number per list; as literals they prune the folders.
             probed = [r[0] for r in probes.select("list_id").distinct().collect()]
             rows = rows.where(F.col("list_id").isin(probed))
         return K.knn_join(probes, rows.select("id", "v", "list_id"), k, metric, dim=self.centroids.shape[1], on=("list_id",))
 
+    def _all_lists(self, queries: DataFrame, k: int, metric: str) -> DataFrame:
+        """Top-``k`` of each query where it reads every list: no row for each query and list, the lists pass by the queries."""
+        if metric not in V.METRICS:
+            raise ValueError(f"unknown metric {metric!r}; choose from {sorted(V.METRICS)}")
+        ascending, dim = V.METRICS[metric], self.centroids.shape[1]
+        best = K.top_kernel(k, metric, ascending, dim)
+
+        def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+            number = right["list_id"].to_numpy()
+            order = np.argsort(number, kind="stable")
+            heads = np.flatnonzero(np.diff(number[order], prepend=-1))
+            found = [best(left, right.take(pa.array(rows))) for rows in np.split(order, heads[1:])]
+            return shrink(pa.concat_tables(found))
+
+        def shrink(hits: pa.Table) -> pa.Table:
+            """The best of what a query meets, a row once."""
+            query_ids, ids, value = (hits[c].to_numpy() for c in ("query_id", "id", "score"))
+            order = np.lexsort((value if ascending else -value, ids, query_ids))
+            query_ids, ids, value = query_ids[order], ids[order], value[order]
+            once = np.r_[True, (np.diff(query_ids) != 0) | (np.diff(ids) != 0)][: len(ids)]
+            return K.best_hits(query_ids[once], ids[once], value[once], k, ascending)
+
+        parts = max(1, int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        # A list lies in few batches.
+        rows = self.rows.select("id", "v", "list_id").repartitionByRange(parts, "list_id", "id").sortWithinPartitions("list_id")
+        hits = compare_blocks(queries.select("query_id", "q"), rows, kernel, K.HIT_SCHEMA, dim=dim, combine=shrink)
+        return K.rank_hits(hits.dropDuplicates(["query_id", "id"]), k, metric)
+
     def bounded(self, queries: DataFrame, k: int, metric: str = "l2") -> balls.Found:
         """Exact hits by the bounds of the blocks, and how many pairs had to be compared."""
         space = balls.space_of(metric)
