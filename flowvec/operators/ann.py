@@ -22,8 +22,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from flowvec.functions import vectors as V
 from flowvec.operators import balls
 from flowvec.operators import knn as K
-from flowvec.operators.pairwise import best_pairs, compare_blocks, shared_groups, to_matrix
-from flowvec.session import fits, run_together
+from flowvec.operators.pairwise import BLOCK_ROWS, GRID_CELLS, best_pairs, compare_blocks, shared_groups, to_matrix, to_vectors
+from flowvec.session import run_together
 
 # Fixed value: lists that a search of product codes probes unless the caller says otherwise.
 MAX_PROBES = 10
@@ -319,20 +319,13 @@ class HashBuckets:
         """Top-``k`` among the rows that share a bucket with the query in any table.
 
         A bounded set of queries visits the rows where they are.  A larger one
-        meets them by table and bucket, hot buckets being cut into blocks.
+        meets them in blocks; no vector travels for each of its buckets.
         """
         asked = _bucketed(self.model, queries, "q")
-        if not fits(queries, max_queries):
-            placed = F.posexplode("buckets").alias("slot", "bucket")
-            return K.knn_join(
-                asked.select("query_id", "q", placed),
-                self.rows.select("id", "v", placed),
-                k, metric, on=("slot", "bucket"),
-            )
         ascending = V.METRICS[metric]
 
         def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
-            vectors, rows = to_matrix(left["q"]), to_matrix(right["v"])
+            vectors, rows = to_vectors(left["q"]), to_vectors(right["v"])
             mine, theirs = _integers(left["buckets"]), _integers(right["buckets"])
             query_ids, ids = left["query_id"].to_numpy(), right["id"].to_numpy()
             found = []
@@ -347,11 +340,16 @@ class HashBuckets:
                 return K.best_hits(nothing, nothing, np.zeros(0), k, ascending)
             q, r, value = (np.concatenate(parts) for parts in zip(*found))
             # The tables may bring the same row more than once.
-            _, once = np.unique(np.column_stack([q, r]), axis=0, return_index=True)
+            _, once = np.unique(q * len(rows) + r, return_index=True)
             return K.best_hits(query_ids[q[once]], ids[r[once]], value[once], k, ascending)
 
+        def shrink(hits: pa.Table) -> pa.Table:
+            return K.best_hits(*(hits[c].to_numpy() for c in ("query_id", "id", "score")), k, ascending)
+
+        first = asked.select(F.size("q") + F.size("buckets")).first()
+        block_rows = max(BLOCK_ROWS, GRID_CELLS // max(1, first[0] if first else 1))
         hits = compare_blocks(
-            asked, self.rows, kernel, K.HIT_SCHEMA, dim=1, broadcast_cells=max_queries
+            asked, self.rows, kernel, K.HIT_SCHEMA, dim=1, combine=shrink, block_rows=block_rows, broadcast_cells=max_queries
         )
         return K.rank_hits(hits, k, metric)
 
