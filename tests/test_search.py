@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from flowvec.functions import vectors as V
 from flowvec.operators import ann, crud
 from flowvec.operators import embedding as M
 from flowvec.operators import evaluation as E
@@ -355,3 +356,116 @@ def test_bounded_ingest_stops_and_replays(spark, tmp_path):
         query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 25
     assert I.progress(query).columns == ["batch_id", "rows", "rows_per_second"]
+
+
+# --- blocks of pairs --------------------------------------------------------
+
+
+def best_of(found, n, k, ascending):
+    q, r, value = found
+    order = np.lexsort((r, value if ascending else -value, q))
+    q, r, value = q[order], r[order], value[order]
+    return [(r[q == i][:k].tolist(), value[q == i][:k]) for i in range(n)]
+
+
+@pytest.mark.parametrize("metric", sorted(V.METRICS))
+@pytest.mark.parametrize("farthest", [False, True])
+def test_single_precision_ranks_like_double(metric, farthest):
+    from flowvec.operators.pairwise import all_pairs, best_pairs
+
+    rng = np.random.default_rng(5)
+    ascending = V.METRICS[metric] != farthest
+    made = {
+        "plain": lambda n: rng.normal(size=(n, 12)),
+        "far away": lambda n: rng.normal(size=(n, 12)) + 300,
+        "tight": lambda n: rng.normal(size=(20, 12))[rng.integers(0, 20, n)] * 30 + rng.normal(size=(n, 12)) * 0.01,
+        "copies": lambda n: rng.normal(size=(30, 12))[rng.integers(0, 30, n)],
+        "zeros": lambda n: np.where(rng.random((n, 1)) < 0.3, 0, rng.normal(size=(n, 12))),
+    }
+    for name, make in made.items():
+        queries, rows = make(60).astype(np.float32), make(1500).astype(np.float32)
+        queries[:20] = rows[:20]
+        got = best_of(best_pairs(metric, queries, rows, 5, ascending, 9), 60, 5, ascending)
+        want = best_of(all_pairs(metric, queries.astype(float), rows.astype(float), 5, ascending, 9), 60, 5, ascending)
+        # Products of large numbers have errors of their own in double precision.
+        for (a, x), (b, y) in zip(got, want, strict=True):
+            assert (a == b or name in ("far away", "tight")) and x == pytest.approx(y, rel=1e-9, abs=2e-8), name
+
+
+def test_a_large_grid_has_few_blocks(table, monkeypatch):
+    from flowvec.operators import pairwise
+
+    sent, stream = [], pairwise.stream_cells
+
+    def counted(sides, *rest):
+        sent.append([side.count() for side in sides])
+        return stream(sides, *rest)
+
+    monkeypatch.setattr(pairwise, "stream_cells", counted, raising=False)
+    # As many blocks as four parts of the rows, not as blocks of a fixed small number of rows.
+    monkeypatch.setattr(pairwise, "BLOCK_ROWS", 10)
+    queries, rows = sides(table)
+    found = by_query(K.knn_join(queries, rows, 5, "l2", broadcast_cells=8))
+    assert sent == [[4 * N, 4 * N]] and found == by_query(K.knn_join(queries, rows, 5, "l2"))
+
+
+@pytest.mark.parametrize("cells", [8_000_000, 8])
+def test_a_full_probe_has_no_row_for_each_list(table, monkeypatch, cells):
+    sent, compare = [], ann.compare_blocks
+
+    def counted(left, right, *rest, **more):
+        sent.append(left.count())
+        return compare(left, right, *rest, **more, broadcast_cells=cells, block_rows=100)
+
+    monkeypatch.setattr(ann, "compare_blocks", counted)
+    queries, rows = sides(table)
+    index = ann.build_ivf(table, nlist=12)
+    assert by_query(index.search(queries, 5, nprobe=index.lists)) == by_query(K.knn_join(queries, rows, 5, "l2"))
+    assert sent == [N]
+
+
+def test_hash_buckets_send_a_query_once_a_block(table, monkeypatch):
+    sent, compare = [], ann.compare_blocks
+
+    def counted(left, right, *rest, **more):
+        sent.append(left.count())
+        return compare(left, right, *rest, **more)
+
+    monkeypatch.setattr(ann, "compare_blocks", counted)
+    ann.build_lsh(table, tables=4, width=0.5).search(sides(table)[0], 5, max_queries=10)
+    assert sent == [N]
+
+
+def test_code_scores_are_not_held_for_all_pairs(table, monkeypatch):
+    queries, _ = sides(table)
+    index = ann.build_ivfpq(table, nlist=2, parts=4)
+    whole = by_query(index.search(queries, 7))
+    # Two queries at once.
+    monkeypatch.setattr(ann, "CODE_CELLS", 2 * N)
+    assert by_query(index.search(queries, 7)) == whole
+
+
+def test_silhouettes_meet_two_blocks_once(table, monkeypatch):
+    distances = E.distances
+    data = np.random.default_rng(2).normal(size=(50, 8))
+    near = np.concatenate([data, data + 1e-7]) + 1000
+    from flowvec.operators.pairwise import plain_distances
+
+    assert distances(near, near) == pytest.approx(plain_distances(near, near), rel=1e-9, abs=1e-12)
+    whole = E.silhouettes(table, "id", "embedding", "label", DIM, broadcast_cells=8, block_rows=60)
+    plain = E.silhouettes(table, "id", "embedding", "label", DIM)
+    rows = lambda df: sorted((r.id, r.cluster, round(r.silhouette, 9)) for r in df.collect())
+    assert rows(whole) == rows(plain)
+    # Four blocks of a grid: six pairs of two blocks and four of one, not sixteen.
+    copies = [side.count() for side in _grid_sides(table, monkeypatch)]
+    assert copies[0] + copies[1] == 5 * N
+
+
+def _grid_sides(table, monkeypatch):
+    from flowvec.operators import pairwise
+
+    found, stream = [], pairwise.stream_cells
+    monkeypatch.setattr(pairwise, "stream_cells", lambda sides, *rest: found.extend(sides) or stream(sides, *rest), raising=False)
+    monkeypatch.setattr(pairwise, "BLOCK_ROWS", 10)
+    E.silhouettes(table, "id", "embedding", "label", DIM, broadcast_cells=8)
+    return found
