@@ -2,7 +2,8 @@
 
 Times are cut into buckets of bounded size.  The last sample inside a bucket comes
 from a window over series and bucket, the one before it from one row per series
-and bucket, so no task gets a whole series.
+and bucket, so no task gets a whole series.  Rows pass the samples with all they
+hold, so that nothing is joined back to them.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowvec.operators.positions import ROWS_PER_BUCKET, order_buckets
-from flowvec.session import lookup_join
+from flowvec.session import checkpoint
 
 
 def _bucketed(df: DataFrame, time: str, rows_per_bucket: int) -> DataFrame:
@@ -39,21 +40,10 @@ def as_of(
     kinds = {c: right.schema[c].dataType for c in columns}
     value = F.struct(*columns)
     marks = right.where(F.col(by).isNotNull() & F.col(ts).isNotNull()).groupBy(by, F.col(ts).alias("_t")).agg(F.max(value).alias("_v"))
-    # A time that many rows share is looked up once.
-    asked = left.select(F.col(by), F.col(at).alias("_t")).where(F.col(by).isNotNull() & F.col("_t").isNotNull()).distinct()
-    empty = F.lit(None).cast(marks.schema["_v"].dataType)
-    both = marks.withColumn("_side", F.lit(1)).unionByName(asked.select(by, "_t", empty.alias("_v")).withColumn("_side", F.lit(0 if before else 2)))
-    bucketed = _bucketed(both, "_t", rows_per_bucket)
-    inside = F.last("_v", ignorenulls=True).over(Window.partitionBy(by, "_bucket").orderBy("_t", "_side"))
-    carried = _carried(bucketed, by, F.max_by("_v", F.when(F.col("_side") == 1, F.col("_t"))), F.last("_end", ignorenulls=True))
-    found = (
-        bucketed.withColumn("_inside", inside)
-        .where("_side <> 1")
-        .join(carried, [by, "_bucket"])
-        .select(F.col(by), F.col("_t").alias(at), F.coalesce("_inside", "_carried").alias("_v"))
-    )
-    joined = lookup_join(left, found, [by, at], "left")
-    return joined.select(*left.columns, *[F.col(f"_v.{c}").cast(kinds[c]).alias(c) for c in columns])
+    rows = left.select(F.struct(*left.columns).alias("_row"), by, F.col(at).alias("_t"))
+    found = _passed(rows, marks.withColumnRenamed("_t", ts), by, ts, rows_per_bucket)
+    last = "_before" if before else "_until"
+    return found.select("_row.*", *[F.col(f"{last}.{c}").cast(kinds[c]).alias(c) for c in columns])
 
 
 def running_sums(df: DataFrame, by: str, ts: str, columns: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -78,12 +68,13 @@ def span_resources(
     last memory at the end less that at the start, 0 where one of them is unknown.
     """
     sums = running_sums(samples.select(by, ts, F.col(cpu).alias("_cpu"), F.lit(1).cast("long").alias("_n")), by, ts, ["_cpu", "_n"], rows_per_bucket)
-    size = {"rows_per_bucket": rows_per_bucket}
-    found = as_of(spans, sums, by, start, ts, ["_cpu", "_n"], before=True, **size).withColumnsRenamed({"_cpu": "_cpu0", "_n": "_n0"})
-    found = as_of(found, sums, by, end, ts, ["_cpu", "_n"], **size)
-    held = samples.select(by, ts, F.col(memory).alias("_m"))
-    found = as_of(found, held, by, start, ts, ["_m"], **size).withColumnRenamed("_m", "_m0")
-    found = as_of(found, held, by, end, ts, ["_m"], **size)
+    held = samples.where(F.col(by).isNotNull() & F.col(ts).isNotNull()).groupBy(by, ts).agg(F.max(F.struct(F.col(memory).alias("_m"))).alias("_held"))
+    # A row for each series and time of a sample, written: it is read at the start and at the end of the spans.
+    marks = checkpoint(sums.join(held, [by, ts]).select(by, ts, F.struct("_cpu", "_n", "_held._m").alias("_v")))
+    found = _passed(spans.select(F.struct(*spans.columns).alias("_row"), by, F.col(start).alias("_t")), marks, by, ts, rows_per_bucket)
+    found = found.select("_row", by, F.col(f"_row.{end}").alias("_t"), F.col("_before._cpu").alias("_cpu0"), F.col("_before._n").alias("_n0"), F.col("_until._m").alias("_m0"))
+    found = _passed(found.select(F.struct("_row", "_cpu0", "_n0", "_m0").alias("_row"), by, "_t"), marks, by, ts, rows_per_bucket)
+    found = found.select("_row._row.*", *[f"_row.{c}" for c in ("_cpu0", "_n0", "_m0")], *[f"_until.{c}" for c in ("_cpu", "_n", "_m")])
     number = F.coalesce("_n", F.lit(0)) - F.coalesce("_n0", F.lit(0))
     spent = F.coalesce("_cpu", F.lit(0.0)) - F.coalesce("_cpu0", F.lit(0.0))
     return found.select(
@@ -94,6 +85,43 @@ def span_resources(
     )
 
 
+def _passed(rows: DataFrame, marks: DataFrame, by: str, ts: str, rows_per_bucket: int) -> DataFrame:
+    """``rows`` (``_row``, the series, ``_t``) with the last of ``marks`` before ``_t`` and until it, as ``_before`` and ``_until``.
+
+    A row goes past the marks once, with all it holds, and is joined to nothing.
+    ``marks`` have series, time and a value ``_v`` once.
+    """
+    kind = marks.schema["_v"].dataType
+    nothing = F.lit(None).cast(kind)
+    usable = F.col(by).isNotNull() & F.col("_t").isNotNull()
+    asked = rows.where(usable)
+    # A time that very many rows share is looked up once; there are few of these.
+    hot = checkpoint(asked.groupBy(by, "_t").count().where(F.col("count") > rows_per_bucket).select(by, "_t"))
+    busy = hot.limit(1).count() > 0
+    cold = asked.join(F.broadcast(hot), [by, "_t"], "left_anti") if busy else asked
+    placed = cold.select(by, "_t", "_row")
+    if busy:
+        placed = placed.unionByName(hot.select(by, "_t", F.lit(None).cast(rows.schema["_row"].dataType).alias("_row")))
+    both = placed.select(by, "_t", "_row", nothing.alias("_v"), F.lit(0).alias("_side")).unionByName(
+        marks.select(by, F.col(ts).alias("_t"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), "_v", F.lit(1).alias("_side"))
+    )
+    bucketed = _bucketed(both, "_t", rows_per_bucket)
+    carried = _carried(bucketed, by, F.max_by("_v", F.when(F.col("_side") == 1, F.col("_t"))), F.last("_end", ignorenulls=True))
+    inside = Window.partitionBy(by, "_bucket")
+    last = F.last("_v", ignorenulls=True)
+    found = (
+        bucketed.withColumn("_inside", last.over(inside.orderBy("_t", "_side")))
+        .withColumn("_with", last.over(inside.orderBy("_t")))
+        .where("_side = 0")
+        .join(carried, [by, "_bucket"])
+        .select("_row", by, "_t", F.coalesce("_inside", "_carried").alias("_before"), F.coalesce("_with", "_carried").alias("_until"))
+    )
+    if busy:
+        met = F.broadcast(found.where("_row is null").drop("_row"))
+        found = found.where("_row is not null").unionByName(asked.join(met, [by, "_t"]).select(*found.columns))
+    return found.unionByName(rows.where(~usable).select("_row", by, "_t", nothing.alias("_before"), nothing.alias("_until")))
+
+
 def cpu_share(spans: DataFrame, seconds: str) -> DataFrame:
     """``operations, seconds, cpu_share`` of a run: the mean load of its operations, weighted by their time."""
     total = F.sum(seconds)

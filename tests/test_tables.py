@@ -124,6 +124,28 @@ def test_as_of_and_span_resources(spark, rows_per_bucket):
         assert got[i].memory_delta == (known[1] - known[0] if None not in known else 0)
 
 
+@pytest.mark.parametrize("rows_per_bucket", [500_000, 20])
+def test_spans_pass_the_samples_in_one_small_plan(spark, rows_per_bucket):
+    rng = np.random.default_rng(4)
+    # Half of the spans begin at one time, which is also that of a sample; some have no series or no time.
+    spans = [(i, None if i % 17 == 0 else "ab"[i % 2], None if i % 19 == 0 else 50.0 if i % 2 else float(rng.integers(0, 100)), float(rng.integers(0, 9))) for i in range(120)]
+    spans = [(i, s, t, None if t is None else t + d) for i, s, t, d in spans]
+    samples = [("ab"[i % 2], float(i // 2), float(rng.integers(0, 50)), int(rng.integers(0, 1000))) for i in range(200)] + [("b", 50.0, 7.0, 5000)]
+    left = spark.createDataFrame(spans, "id long, s string, start double, end double")
+    right = spark.createDataFrame(samples, "s string, t double, cpu double, memory long")
+    found = asof.span_resources(left, right, "s", "start", "end", "t", "cpu", "memory", rows_per_bucket)
+    # Of old each step of four stood in the plan of the next one several times.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") < 40
+    got = {r.id: r for r in found.collect()}
+    assert len(got) == 120
+    for i, series, start, end in spans:
+        mine = [x for x in samples if x[0] == series and start is not None]
+        inside = [c for _, t, c, _ in mine if start <= t <= end]
+        at = lambda limit: max(((t, m) for _, t, _, m in mine if t <= limit), default=None)
+        delta = at(end)[1] - at(start)[1] if mine and at(start) else 0
+        assert (got[i].samples, got[i].cpu_mean, got[i].memory_delta) == (len(inside), pytest.approx(np.mean(inside) if inside else 0), delta)
+
+
 def test_cpu_share_of_an_idle_run(spark):
     rows = spark.createDataFrame([(0.0, 0.5)], "seconds double, cpu_mean double")
     assert asof.cpu_share(rows, "seconds").first()["cpu_share"] == 0
