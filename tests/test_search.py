@@ -469,3 +469,19 @@ def _grid_sides(table, monkeypatch):
     monkeypatch.setattr(pairwise, "BLOCK_ROWS", 10)
     E.silhouettes(table, "id", "embedding", "label", DIM, broadcast_cells=8)
     return found
+
+
+def test_trainings_take_sparse_points_in_several_partitions(spark, table, monkeypatch):
+    from pyspark.ml.linalg import DenseVector, SparseVector
+
+    thin = spark.createDataFrame([(i, [float(j == i % 9) for j in range(40)]) for i in range(90)], "id long, embedding array<float>").coalesce(1)
+    forms = {type(r.features) for r in ann.training_points(thin, "id", "embedding").collect()}
+    assert forms == {SparseVector}
+    assert {type(r.features) for r in ann.training_points(table, "id", "embedding").collect()} == {DenseVector}
+    parts = lambda: ann.training_points(thin, "id", "embedding").select(F.spark_partition_id()).distinct().count()
+    assert parts() == 1
+    monkeypatch.setattr(ann, "POINTS", 10)
+    assert parts() > 1
+    clusters = E.kmeans(thin, "id", "embedding", 9, restarts=4)
+    assert clusters.groupBy("cluster").count().count() <= 9 and clusters.count() == 90
+    assert all(len({c.cluster for c in clusters.where(f"id % 9 = {i}").collect()}) == 1 for i in range(2))
