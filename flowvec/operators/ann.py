@@ -165,8 +165,13 @@ class InvertedLists:
             number = right["list_id"].to_numpy()
             order = np.argsort(number, kind="stable")
             heads = np.flatnonzero(np.diff(number[order], prepend=-1))
-            found = [best(left, right.take(pa.array(rows))) for rows in np.split(order, heads[1:])]
-            return shrink(pa.concat_tables(found))
+            lists = [right.take(pa.array(rows)) for rows in np.split(order, heads[1:])]
+            # Some queries at a time: each has hits in every list before the best are taken.
+            found = []
+            for i in range(0, max(1, left.num_rows), BLOCK_ROWS):
+                part = left.slice(i, BLOCK_ROWS)
+                found.append(shrink(pa.concat_tables([best(part, rows) for rows in lists])))
+            return pa.concat_tables(found)
 
         def shrink(hits: pa.Table) -> pa.Table:
             """The best of what a query meets, a row once."""
